@@ -96,34 +96,34 @@ def pack_rows(df: DataFrame, size: int = S.ROWS_PER_RECORD) -> DataFrame:
     key = partition_key() if "vehicle_id" in df.columns else partition_key("route_id", "route_id")
     lines = df.select(key.alias("key"), F.to_json(F.struct(*df.columns)).alias("line"))
 
+    # Self-contained, so that workers need no copy of this package.
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def records(keys: list[str], lines: list[str]) -> pd.DataFrame:
+            starts = range(0, len(lines), size)
+            packed = [lines[i:i + size] for i in starts]
+            return pd.DataFrame(
+                {
+                    "partition_key": [keys[i] for i in starts],
+                    "value": ["\n".join(p) + "\n" for p in packed],
+                    "rows": [len(p) for p in packed],
+                }
+            )
+
         keys: list[str] = []
         held: list[str] = []
         for batch in batches:
             keys += batch["key"].tolist()
             held += batch["line"].tolist()
-            cuts = range(0, len(held) - len(held) % size, size)
-            if cuts:
-                yield _records(keys, held, cuts, size)
-            rest = len(held) % size
-            keys, held = keys[len(keys) - rest:], held[len(held) - rest:]
+            full = len(held) - len(held) % size
+            if full:
+                yield records(keys[:full], held[:full])
+                keys, held = keys[full:], held[full:]
         if held:
-            yield _records(keys, held, range(0, len(held), size), size)
+            yield records(keys, held)
 
     return lines.mapInPandas(pack, PACKED_SCHEMA)
 
 
-def _records(keys: list[str], lines: list[str], cuts: range, size: int) -> pd.DataFrame:
-    packed = [lines[i:i + size] for i in cuts]
-    return pd.DataFrame(
-        {
-            "partition_key": [keys[i] for i in cuts],
-            "value": ["\n".join(p) + "\n" for p in packed],
-            "rows": [len(p) for p in packed],
-        }
-    )
-
-
 def unpack_rows(df: DataFrame, col: str = "value") -> DataFrame:
     """One line per row again; works on batch and streaming frames."""
     line = F.trim(F.col("_line"))

@@ -420,8 +420,8 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
       SELECT service_date, count(*) AS events FROM silver GROUP BY service_date"""),
     "completeness": (("gold",), """
       SELECT count(*) AS rows, count(DISTINCT service_date) AS days,
-        count_if(hist_median_delay IS NULL) AS missing_prior,
-        count_if(delay_t_minus_15 IS NULL) AS missing_snapshot FROM gold"""),
+        CAST(count_if(hist_median_delay IS NULL) AS BIGINT) AS missing_prior,
+        CAST(count_if(delay_t_minus_15 IS NULL) AS BIGINT) AS missing_snapshot FROM gold"""),
     "null_rates": (("gold",), NULL_RATES),
     "recent_days": (("silver",), """
       SELECT *, events >= 40 AS enough_events, label_rate >= 0.85 AS enough_labels,
@@ -495,8 +495,8 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
                          ("n", "PredictionsScored")))),
     "model_degraded": (("daily_metrics",), """
       SELECT service_date AS day,
-        CAST(coalesce(mae_ratio_vs_persistence > 0.95, false) AS INTEGER)
-          + CAST(coalesce(prior > 0.95, false) AS INTEGER) AS breaches,
+        CAST(coalesce(mae_ratio_vs_persistence > 0.95, false) AS BIGINT)
+          + CAST(coalesce(prior > 0.95, false) AS BIGINT) AS breaches,
         CASE WHEN mae_ratio_vs_persistence <= 0.95 OR prior <= 0.95 THEN 'ok'
           WHEN mae_ratio_vs_persistence > 0.95 AND prior > 0.95 THEN 'degraded'
           ELSE 'unknown' END AS status
@@ -581,10 +581,10 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
     "missing_runs": (("event_days", "runs"), """
       SELECT day FROM event_days WHERE day NOT IN (SELECT day FROM runs)"""),
     "run_status": (("event_days", "runs"), """
-      SELECT e.day, CASE WHEN r.day IS NULL THEN NULL ELSE 1 END AS runs,
+      SELECT e.day, CASE WHEN r.day IS NULL THEN NULL ELSE CAST(1 AS BIGINT) END AS runs,
         CASE WHEN r.day IS NULL THEN NULL ELSE CAST(extract(dow FROM e.day) = 1 AS BIGINT) END
           AS failed,
-        CASE WHEN r.day IS NULL THEN NULL ELSE 8.0 END AS minutes,
+        CASE WHEN r.day IS NULL THEN NULL ELSE CAST(8 AS DOUBLE) END AS minutes,
         CASE WHEN r.day IS NULL THEN 'missing' WHEN extract(dow FROM e.day) = 1 THEN 'failed'
           ELSE 'ok' END AS verdict
       FROM event_days e LEFT JOIN runs r ON e.day = r.day"""),
@@ -600,8 +600,9 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
               ON a.day = b.day + 1 AND a.service = b.service)
       WHERE day IN (SELECT day FROM cost_daily) AND day - 1 IN (SELECT day FROM cost_daily)"""),
     "cost_top_services": (("cost_daily",), """
-      SELECT day, service, round(amount, 9) AS amount, rank FROM (SELECT *, row_number() OVER
-        (PARTITION BY day ORDER BY amount DESC, service) AS rank FROM cost_daily)
+      SELECT day, service, round(amount, 9) AS amount, rank
+      FROM (SELECT *, CAST(row_number() OVER (PARTITION BY day ORDER BY amount DESC, service)
+        AS INTEGER) AS rank FROM cost_daily)
       WHERE rank <= 3"""),
     "cost_run_rate": (("cost_rate",), """
       SELECT day, round(total, 9) AS total, round(prior_total, 9) AS prior_total,
@@ -627,5 +628,32 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+# Dates come out as ISO text on both sides, whatever client reads them.
+BY_SERVICE_DATE = (
+    "silver_enriched silver_terminus silver_clamped silver_upsert gold_prev_stop "
+    "gold_upstream_mean gold_preceding_trip gold_route_hour gold_route_strict "
+    "gold_weather_join gold_features feature_vector feature_csv fill_rate feature_mismatches "
+    "dq_stats dq_rules dedupe_check coverage null_rates recent_days gold_days layer_diff "
+    "backtest_daily time_split stream_silver"
+).split()
+BY_DAY = (
+    "model_degraded missing_runs run_status cost_daily cost_totals cost_delta "
+    "cost_top_services cost_run_rate cost_verdict cost_drivers cost_credits"
+).split()
+DATES: dict[str, tuple[str, ...]] = {
+    **{name: ("service_date",) for name in BY_SERVICE_DATE},
+    **{name: ("day",) for name in BY_DAY},
+    "gold_priors": ("as_of",),
+    "collection_progress": ("first_day", "last_day"),
+    "stream_landing": ("dt",),
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: with_ctes(needs, sql) for name, (needs, sql) in ORACLES.items()}
+    out = {}
+    for name, (needs, sql) in ORACLES.items():
+        if name in DATES:
+            as_text = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in DATES[name])
+            sql = f"SELECT * REPLACE ({as_text}) FROM ({sql})"
+        out[name] = with_ctes(needs, sql)
+    return out

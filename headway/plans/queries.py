@@ -29,10 +29,15 @@ DQ_MIN_ROWS = 40
 
 def query(fn: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
     """Register a function of the warehouse under its own name."""
-    _QUERIES[fn.__name__] = lambda spark, sf_dir: fn(Warehouse(spark, sf_dir))
+    _QUERIES[fn.__name__] = lambda spark, sf_dir: dates_as_text(fn(Warehouse(spark, sf_dir)))
     return fn
 
 
+def dates_as_text(df: DataFrame) -> DataFrame:
+    """ISO text for dates, so that every client reads the same value."""
+    return df.withColumns({n: F.col(n).cast("string") for n, t in df.dtypes if t == "date"})
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
