@@ -139,12 +139,11 @@ def parse_rows(df: DataFrame, schema: T.StructType = S.BRONZE_ROW) -> tuple[Data
     """Parsed rows, and the lines that are no such JSON object."""
     corrupt = "_corrupt"
     with_corrupt = T.StructType(schema.fields + [T.StructField(corrupt, T.StringType())])
-    parsed = df.withColumn(
-        "_row",
-        F.from_json(
-            "line", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
-        ),
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    # Behind a generator the parsed row is a value, so the filters below test it instead of
+    # parsing the line once more each.
+    row = F.explode(F.array(F.from_json("line", with_corrupt, options))).alias("_row")
+    parsed = df.select("*", row)
     others = [c for c in df.columns if c != "line"]
     is_bad = F.col("_row").isNull() | F.col(f"_row.{corrupt}").isNotNull()
     good = parsed.where(~is_bad).select(*others, *[F.col(f"_row.{n}") for n in schema.names])

@@ -75,16 +75,23 @@ def historical_priors_by_day(silver: DataFrame, days: DataFrame,
     """The same profile for many run dates in one pass; ``days`` has a column ``as_of``.
 
     Each day is reduced to its histogram before being handed to the run dates it counts
-    for, so what fans out is distinct delays per cell and day, not arrivals.
+    for, so what fans out is distinct delays per cell and day, not arrivals. ``days`` may
+    also hold the cell columns; then only those cells are profiled on each date, and the
+    history meets its cells before it fans out.
     """
     daily = value_counts(labelled(silver), ("service_date", *CELL), S.TARGET)
-    later = F.sequence(F.date_add("service_date", 1), F.date_add("service_date", lookback))
-    counts = (
-        daily.withColumn("as_of", F.explode(later))
-        .join(days.select("as_of").distinct(), "as_of", "left_semi")
-        .groupBy("as_of", *CELL, S.TARGET)
-        .agg(F.sum("n").alias("n"))
-    )
+    if set(CELL) <= set(days.columns):
+        asked = days.select("as_of", *CELL).distinct()
+        trailing = (F.col("service_date") < F.col("as_of")) & (
+            F.col("service_date") >= F.date_sub("as_of", lookback)
+        )
+        spread = daily.join(asked, list(CELL)).where(trailing)
+    else:
+        later = F.sequence(F.date_add("service_date", 1), F.date_add("service_date", lookback))
+        spread = daily.withColumn("as_of", F.explode(later)).join(
+            days.select("as_of").distinct(), "as_of", "left_semi"
+        )
+    counts = spread.groupBy("as_of", *CELL, S.TARGET).agg(F.sum("n").alias("n"))
     return _priors(counts, ("as_of", *CELL), min_count)
 
 
@@ -194,7 +201,7 @@ def build_features(silver: DataFrame, as_of: date | Sequence[date] | None,
         prior_keys = list(CELL)
     else:
         today = silver if as_of is None else silver.where(F.col("service_date").isin(list(as_of)))
-        days = today.select(F.col("service_date").alias("as_of"))
+        days = today.select(F.col("service_date").alias("as_of"), *CELL)
         priors = historical_priors_by_day(silver, days, lookback, min_count)
         priors = priors.withColumnRenamed("as_of", "service_date")
         prior_keys = ["service_date", *CELL]

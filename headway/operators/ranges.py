@@ -1,21 +1,35 @@
 """Ordered computations inside groups of any size.
 
-A plain window puts a whole group into one task. Where a group may hold a large part of
-the table, the group is cut into chunks along its order: each chunk is windowed on its
-own, and what it needs from earlier chunks (last value, running sum and count) comes from
-one small summary row per chunk.
+A plain window puts a whole group into one task. A group too large for that is cut into
+chunks along its order: each chunk is windowed on its own, and what it needs from earlier
+chunks (last value, running sum and count) comes from one small summary row per chunk.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-_GROUP, _CHUNK = "_group", "_chunk"
+_GROUP, _CHUNK, _LARGE = "_group", "_chunk", "_large"
 _BEFORE = (Window.unboundedPreceding, -1)
 
+# A task windows this many rows with ease; larger groups are cut up.
+GROUP_ROWS = 1_000_000
+# At most this many large groups are handled by name; beyond, every group is cut up.
+NAMED_GROUPS = 10_000
+
+
+def _context(spec: WindowSpec, lag: Mapping[str, str], running: Mapping[str, str]
+             ) -> dict[str, Column]:
+    earlier = spec.rowsBetween(*_BEFORE)
+    columns = {name: F.lag(source).over(spec) for name, source in lag.items()}
+    for name, source in running.items():
+        columns[f"{name}_sum"] = F.sum(source).over(earlier)
+        columns[f"{name}_n"] = F.count(source).over(earlier)
+    return columns
+
 
 def ordered_context(
     df: DataFrame,
@@ -24,6 +38,7 @@ def ordered_context(
     chunk: Column,
     lag: Mapping[str, str] | None = None,
     running: Mapping[str, str] | None = None,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Add values of the earlier rows of each group.
 
@@ -31,39 +46,46 @@ def ordered_context(
     ``running``: {prefix: source}, adds ``<prefix>_sum`` and ``<prefix>_n`` over all
     earlier rows, NULLs left out. ``order`` must be total within a group and ascending;
     ``chunk`` must never decrease along it. NULL keys form a group of their own.
+
+    Group sizes are counted first (one aggregate over the keys). Mostly no group is too
+    large, and a plain window does; otherwise only the large ones pay for the cutting.
     """
     lag, running = dict(lag or {}), dict(running or {})
-    # A struct key compares equal on NULL fields, so NULL groups survive the join below,
-    # and the join can reuse the window's partitioning as it is.
-    keyed = df.withColumns(
-        {
-            _GROUP: F.struct(*keys),
-            _CHUNK: F.coalesce(chunk.cast("bigint"), F.lit(-(2**62))),
-        }
+    large = (
+        df.groupBy(F.struct(*keys).alias(_GROUP)).count().where(F.col("count") > group_rows)
+        .select(_GROUP).limit(NAMED_GROUPS + 1).collect()
     )
+    if not large:
+        spec = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumns(_context(spec, lag, running))
+
+    # A struct key compares equal on NULL fields, so NULL groups survive the joins, and
+    # the join on chunks can reuse the window's partitioning.
+    keyed = df.withColumn(_GROUP, F.struct(*keys))
+    if len(large) > NAMED_GROUPS:
+        keyed = keyed.withColumn(_LARGE, F.lit(True))
+    else:
+        key_type = keyed.select(_GROUP).schema
+        named = df.sparkSession.createDataFrame(large, key_type).withColumn(_LARGE, F.lit(True))
+        keyed = keyed.join(named, _GROUP, "left")
+    piece = F.coalesce(chunk.cast("bigint"), F.lit(-(2**62)))
+    keyed = keyed.withColumn(_CHUNK, F.when(F.col(_LARGE), piece).otherwise(F.lit(0)))
+
     inner = Window.partitionBy(_GROUP, _CHUNK).orderBy(*order)
-    earlier = inner.rowsBetween(*_BEFORE)
-    local = {"_first": F.row_number().over(inner) == 1}
-    for name, source in lag.items():
-        local[name] = F.lag(source).over(inner)
-    for name, source in running.items():
-        local[f"{name}_sum"] = F.sum(source).over(earlier)
-        local[f"{name}_n"] = F.count(source).over(earlier)
+    local = {**_context(inner, lag, running), "_first": F.row_number().over(inner) == 1}
 
-    per_chunk = []
+    per_chunk, carried = [], {}
+    across = Window.partitionBy(_GROUP).orderBy(_CHUNK)
     for name, source in lag.items():
         tail = F.max(F.struct(*order, F.col(source).alias("_value")))
         per_chunk.append(tail["_value"].alias(f"_{name}"))
+        carried[f"_{name}"] = F.lag(f"_{name}").over(across)
     for name, source in running.items():
         per_chunk += [F.sum(source).alias(f"_{name}_sum"), F.count(source).alias(f"_{name}_n")]
-    across = Window.partitionBy(_GROUP).orderBy(_CHUNK)
-    carried = {f"_{n}": F.lag(f"_{n}").over(across) for n in lag}
-    for name in running:
-        for part in ("sum", "n"):
-            carried[f"_{name}_{part}"] = F.sum(f"_{name}_{part}").over(
-                across.rowsBetween(*_BEFORE)
-            )
-    carry = keyed.groupBy(_GROUP, _CHUNK).agg(*per_chunk).withColumns(carried)
+        for part in (f"_{name}_sum", f"_{name}_n"):
+            carried[part] = F.sum(part).over(across.rowsBetween(*_BEFORE))
+    summary = keyed.where(F.col(_LARGE)).groupBy(_GROUP, _CHUNK).agg(*per_chunk)
+    carry = summary.withColumns(carried)
 
     joined = keyed.withColumns(local).join(carry, [_GROUP, _CHUNK], "left")
     final = {n: F.when(F.col("_first"), F.col(f"_{n}")).otherwise(F.col(n)) for n in lag}
@@ -74,8 +96,7 @@ def ordered_context(
             F.coalesce(F.col(total), F.lit(0)) + F.coalesce(F.col(f"_{total}"), F.lit(0)),
         )
         final[count] = F.col(count) + F.coalesce(F.col(f"_{count}"), F.lit(0))
-    helpers = [_GROUP, _CHUNK, "_first"] + [c for c in carry.columns if c not in (_GROUP, _CHUNK)]
-    return joined.withColumns(final).drop(*helpers)
+    return joined.withColumns(final).drop("_first", _LARGE, *carry.columns)
 
 
 def with_group_values(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from headway import schemas as S
 from headway.functions.columns import local_time, null_outside, weekend
 from headway.operators.ranges import with_group_values
+from headway.session import stage
 
 # Total order of "latest": ingest time, then arrival time and delay, then the payload,
 # so that equal timestamps always give the same row. NULL sorts below any value.
@@ -154,32 +155,39 @@ def join_dimensions(events: DataFrame, stop_times: DataFrame, stops: DataFrame,
     )
 
 
+def place_in_trip(events: DataFrame) -> DataFrame:
+    """Stops remaining and terminus flag, against the last stop observed that day."""
+    last = F.max("stop_sequence").alias("_last_stop")
+    placed = with_group_values(events, ["start_date", "trip_id"], last)
+    return placed.withColumns(
+        {
+            "stops_remaining": F.col("_last_stop") - F.col("stop_sequence"),
+            "is_terminus": (F.col("stop_sequence") == F.col("_last_stop")).cast("int"),
+        }
+    ).drop("_last_stop")
+
+
 def derive(events: DataFrame, zone: str = "UTC") -> DataFrame:
     """Service date, clock features, place in the trip, and bounded labels."""
     clock = local_time(F.col("observed_arrival_epoch"), zone)
-    timed = events.withColumns(
+    return place_in_trip(events).withColumns(
         {
             "service_date": F.try_to_timestamp("start_date", F.lit("yyyyMMdd")).cast("date"),
             "observed_arrival_ts": F.timestamp_seconds("observed_arrival_epoch"),
             "hour_of_day": F.hour(clock),
             "day_of_week": F.dayofweek(clock),
-        }
-    ).withColumn("is_weekend", weekend(F.col("day_of_week")))
-    placed = with_group_values(
-        timed, ["start_date", "trip_id"], F.max("stop_sequence").alias("_last_stop")
-    )
-    return placed.withColumns(
-        {
-            "stops_remaining": F.col("_last_stop") - F.col("stop_sequence"),
-            "is_terminus": (F.col("stop_sequence") == F.col("_last_stop")).cast("int"),
             "observed_delay_sec": null_outside(F.col("observed_delay_sec")),
         }
-    ).drop("_last_stop")
+    ).withColumn("is_weekend", weekend(F.col("day_of_week")))
 
 
 def build_silver(updates: DataFrame, stop_times: DataFrame, stops: DataFrame, trips: DataFrame,
                  routes: DataFrame, zone: str = "UTC") -> DataFrame:
-    """One row per (service_date, trip_id, stop_id), columns as declared."""
-    events = collapse(valid_updates(updates))
-    silver = derive(join_dimensions(events, stop_times, stops, trips, routes), zone)
+    """One row per (service_date, trip_id, stop_id), columns as declared.
+
+    The collapsed rows are written down once: the place in the trip reads them twice, and
+    without that the whole feed would be scanned and collapsed a second time.
+    """
+    events = stage(collapse(valid_updates(updates)), "collapsed")
+    silver = join_dimensions(derive(events, zone), stop_times, stops, trips, routes)
     return silver.select(*S.STOP_EVENTS_SCHEMA.names)

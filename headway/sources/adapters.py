@@ -117,44 +117,58 @@ def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- static dimensions, all text as in the CSV files -------------------------
+# Keys are made distinct as the numbers they come from, and only then written out as text.
+
+
+def _numbers(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return events(spark, sf_dir).selectExpr(*columns).distinct()
+
+
+_TRIP_NO = f"user_id div {USERS_PER_TRIP} AS trip_no"
+_ROUTE_NO = f"user_id div {USERS_PER_ROUTE} AS route_no"
+_TRIP_TEXT = "concat('T', lpad(cast(trip_no AS string), 9, '0')) AS trip_id"
+_ROUTE_TEXT = "concat('R', lpad(cast(route_no AS string), 9, '0')) AS route_id"
 
 
 def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).selectExpr(
-        f"{_ROUTE} AS route_id",
-        f"concat('line ', cast(user_id div {USERS_PER_ROUTE} AS string)) AS route_short_name",
+    return _numbers(spark, sf_dir, _ROUTE_NO).selectExpr(
+        _ROUTE_TEXT,
+        "concat('line ', cast(route_no AS string)) AS route_short_name",
         "'3' AS route_type",
-    ).distinct()
+    )
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip to route. Every fourth trip is listed twice, the second time under a wrong
     route; every eleventh was added after the schedule was published and is not listed."""
-    listed = events(spark, sf_dir).selectExpr(
-        f"{_TRIP} AS trip_id", f"{_ROUTE} AS route_id",
-        f"user_id div {USERS_PER_TRIP} AS n",
-    ).distinct().where("n % 11 <> 10")
-    again = listed.where("n % 4 = 0").withColumn("route_id", F.lit("RX-duplicate"))
-    return listed.union(again).select("trip_id", "route_id")
+    listed = _numbers(spark, sf_dir, _TRIP_NO, _ROUTE_NO).where("trip_no % 11 <> 10")
+    twice = F.when(
+        F.col("trip_no") % 4 == 0, F.array(F.lit(False), F.lit(True))
+    ).otherwise(F.array(F.lit(False)))
+    return listed.withColumn("again", F.explode(twice)).selectExpr(
+        _TRIP_TEXT, _ROUTE_TEXT, "again"
+    ).selectExpr("trip_id", "if(again, 'RX-duplicate', route_id) AS route_id")
 
 
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).selectExpr(
+    return _numbers(spark, sf_dir, "event_type").selectExpr(
         "event_type AS stop_id",
         f"cast(49 + {_SEQUENCE} / 100 AS string) AS stop_lat",
         f"cast(-123 - {_SEQUENCE} / 100 AS string) AS stop_lon",
-    ).distinct()
+    )
 
 
 def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schedule: each trip at each stop, and for every fifth trip a second visit (a loop)."""
-    visit = events(spark, sf_dir).selectExpr(
-        f"{_TRIP} AS trip_id", "event_type AS stop_id", f"{_SEQUENCE} AS seq",
-        f"user_id div {USERS_PER_TRIP} AS n",
-    ).distinct()
-    second = visit.where("n % 5 = 0").withColumn("seq", F.expr("seq - 10"))
-    return visit.union(second).selectExpr(
-        "trip_id", "stop_id", "cast(seq AS string) AS stop_sequence",
+    visits = _numbers(spark, sf_dir, _TRIP_NO, "event_type")
+    first = F.expr(_SEQUENCE)
+    visits = visits.withColumn(
+        "seq",
+        F.explode(F.when(F.col("trip_no") % 5 == 0, F.array(first, first - 10))
+                  .otherwise(F.array(first))),
+    )
+    return visits.selectExpr(
+        _TRIP_TEXT, "event_type AS stop_id", "cast(seq AS string) AS stop_sequence",
         "concat(cast(20 + seq AS string), ':10:00') AS arrival_time",
         "cast(seq * 1.5D AS string) AS shape_dist_traveled",
     )
