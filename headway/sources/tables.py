@@ -22,13 +22,18 @@ BRONZE = {
 def read_bronze(spark: SparkSession, root: str, feed: str, dt: str | date | None = None
                 ) -> DataFrame:
     """Landed rows of one feed, for one landing day or all; both prune partitions."""
-    rows = spark.read.schema(BRONZE[feed]).parquet(root).where(F.col("record_type") == feed)
-    return rows if dt is None else rows.where(F.col("dt") == str(dt))
+    schema = BRONZE[feed]
+    rows = spark.read.schema(schema).parquet(root).where(F.col("record_type") == feed)
+    if dt is not None:
+        rows = rows.where(F.col("dt") == str(dt))
+    return rows.select(*schema.names)
 
 
 def read_silver(spark: SparkSession, path: str, dates: Sequence[date] | None = None) -> DataFrame:
     rows = spark.read.schema(S.STOP_EVENTS_SCHEMA).parquet(path)
-    return rows if dates is None else rows.where(F.col("service_date").isin(list(dates)))
+    if dates is not None:
+        rows = rows.where(F.col("service_date").isin(list(dates)))
+    return rows.select(*S.STOP_EVENTS_SCHEMA.names)
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:

@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+from dataclasses import replace
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from headway import schemas as S
+from headway.operators.gold import build_features
+from headway.operators.quality import layer_diff
+from headway.operators.silver import build_silver
+from headway.plans.daily import Config, backfill, run_day
+from headway.plans.warehouse import Warehouse
+from headway.sinks.tables import write_partitions
+from headway.sources.tables import read_features, read_silver
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def setup(spark, tmp_path_factory):
+    """Bronze of a few days whose service dates trail their landing day by one."""
+    root = tmp_path_factory.mktemp("lake")
+    w = Warehouse(spark, SF)
+    rows = w.trip_updates().where("dt BETWEEN '2024-01-01' AND '2024-01-04'")
+    # Rows landed before 08:00 belong to the service day before, as a local evening would.
+    late = F.date_format(F.date_sub(F.to_date("start_date", "yyyyMMdd"), 1), "yyyyMMdd")
+    rows = rows.withColumn("start_date", F.when(F.col("hour") < "08", late).otherwise(F.col("start_date")))
+    write_partitions(rows, str(root / "bronze"), ["record_type", "dt", "hour"])
+    for name, df in w.dims().items():
+        filled = df.select(*[
+            F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)
+            for c in S.DIM_COLUMNS[name]])
+        filled.write.parquet(str(root / "static" / "version=1" / name))
+    cfg = Config(*[str(root / n) for n in ("bronze", "silver", "gold", "dq", "static")], "1",
+                 min_rows=30, min_label=0.5, min_cell=1)
+    return w, rows, cfg
+
+
+def test_backfill_rebuilds_gold_for_every_day_it_touches(spark, setup):
+    w, rows, cfg = setup
+    results = backfill(spark, cfg, date(2024, 1, 4), 4)
+    assert [r.status for r in results] == ["succeeded"] * 4
+    assert results[1].touched == [date(2024, 1, 1), date(2024, 1, 2)]
+    assert results[1].built == results[1].touched
+    silver = read_silver(spark, cfg.silver)
+    whole = build_silver(rows, **w.dims())
+    final = [*S.SILVER_KEY, "observed_delay_sec", "last_seen_ts", "route_id", "scheduled_arrival"]
+    assert sorted(map(str, silver.select(*final).collect())) == sorted(
+        map(str, whole.select(*final).collect()))
+    gold = read_features(spark, cfg.gold)
+    built = silver.where("service_date >= '2024-01-01'")
+    assert layer_diff(built, gold.where("service_date >= '2024-01-01'")).count() == 0
+    assert results[-1].gold_rows == gold.where("service_date >= '2024-01-03'").count()
+    # A repeated day changes nothing.
+    before = sorted(map(str, gold.collect()))
+    run_day(spark, cfg, "2024-01-04")
+    assert sorted(map(str, read_features(spark, cfg.gold).collect())) == before
+    expected = build_features(silver, date(2024, 1, 4), min_count=1)
+    got = gold.where("service_date = '2024-01-04'").select(*expected.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_failed_gate_keeps_gold_and_leaves_silver(spark, setup, tmp_path):
+    _, _, cfg = setup
+    strict = replace(cfg, silver=str(tmp_path / "s"), gold=str(tmp_path / "g"), dq=str(tmp_path / "q"),
+                     min_rows=10**6)
+    result = run_day(spark, strict, "2024-01-02")
+    assert result.status == "quarantined"
+    assert result.failed[date(2024, 1, 2)] == ["row_count_minimum"]
+    assert not (tmp_path / "g").exists()
+    assert read_silver(spark, strict.silver).count() > 0
+    document = spark.read.json(strict.dq).where("dt = '2024-01-02'")
+    assert {r["rule"]: r["passed"] for r in document.collect()}["row_count_minimum"] is False
+
+
+def test_day_without_bronze_is_quarantined(spark, setup, tmp_path):
+    _, _, cfg = setup
+    result = run_day(spark, replace(cfg, silver=str(tmp_path / "s")), "2024-03-01")
+    assert result.status == "quarantined" and result.touched == []
+
+
+def test_broken_job_is_not_a_data_failure(spark, setup):
+    _, _, cfg = setup
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        run_day(spark, replace(cfg, bronze="/tmp/no/such/bronze"), "2024-01-02")
