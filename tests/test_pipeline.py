@@ -57,8 +57,8 @@ def test_backfill_rebuilds_gold_for_every_day_it_touches(spark, setup):
     before = sorted(map(str, gold.collect()))
     run_day(spark, cfg, "2024-01-04")
     assert sorted(map(str, read_features(spark, cfg.gold).collect())) == before
-    expected = build_features(silver, date(2024, 1, 4), min_count=1)
-    got = gold.where("service_date = '2024-01-04'").select(*expected.columns)
+    expected = build_features(read_silver(spark, cfg.silver), date(2024, 1, 4), min_count=1)
+    got = read_features(spark, cfg.gold).where("service_date = '2024-01-04'").select(*expected.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
 
 
