@@ -147,25 +147,29 @@ def interpolated_quantile(
 ) -> DataFrame:
     """Exact quantile with linear interpolation between the two nearest ranks.
 
-    The rows are first counted per unit-wide chunk of the value, which tells the chunks
-    that hold the wanted ranks; only those chunks' distinct values are then ranked.
+    Equal values are counted together before anything moves. Counts per unit-wide chunk of
+    the value then tell which chunks hold the wanted ranks, and only those are ranked.
     """
-    rows = df.where(F.col(value).isNotNull()).withColumn(_CHUNK, F.floor(value))
+    counts = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(*keys, F.floor(value).alias(_CHUNK), value)
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
     group = Window.partitionBy(*keys)
     chunks = (
-        rows.groupBy(*keys, _CHUNK)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        counts.groupBy(*keys, _CHUNK)
+        .agg(F.sum("_n").alias("_in_chunk"))
         .withColumns(
             {
-                "_upto": F.sum("_n").over(group.orderBy(_CHUNK)),
-                "_at": F.lit(p) * (F.sum("_n").over(group) - 1),
+                "_upto": F.sum("_in_chunk").over(group.orderBy(_CHUNK)),
+                "_at": F.lit(p) * (F.sum("_in_chunk").over(group) - 1),
             }
         )
         .withColumns(
             {
                 "_low": F.floor("_at"),
                 "_high": F.ceil("_at"),
-                "_base": F.col("_upto") - F.col("_n"),
+                "_base": F.col("_upto") - F.col("_in_chunk"),
             }
         )
     )
@@ -173,17 +177,10 @@ def interpolated_quantile(
         (F.col("_base") <= F.col(rank)) & (F.col(rank) < F.col("_upto"))
         for rank in ("_low", "_high")
     ]
-    wanted = chunks.where(holds[0] | holds[1]).drop("_n", "_upto")
-    inside = rows.select(*keys, _CHUNK, value).join(wanted, [*keys, _CHUNK])
-    facts = ["_at", "_low", "_high", "_base"]
-    ranked = (
-        inside.groupBy(*keys, _CHUNK, *facts, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_upto",
-            F.col("_base")
-            + F.sum("_n").over(Window.partitionBy(*keys, _CHUNK).orderBy(value)),
-        )
+    wanted = chunks.where(holds[0] | holds[1]).drop("_in_chunk", "_upto")
+    within = Window.partitionBy(*keys, _CHUNK).orderBy(value)
+    ranked = counts.join(wanted, [*keys, _CHUNK]).withColumn(
+        "_upto", F.col("_base") + F.sum("_n").over(within)
     )
     low = F.min(F.when(F.col("_upto") > F.col("_low"), F.col(value)))
     high = F.min(F.when(F.col("_upto") > F.col("_high"), F.col(value)))
