@@ -90,6 +90,11 @@ def predict(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 def score(requests: DataFrame, stop_state: DataFrame, route_state: DataFrame, priors: DataFrame,
           model: PipelineModel, now: datetime | Column, zone: str = "UTC") -> DataFrame:
-    """Score (route_id, stop_id) requests from live state, as the capture rows to backtest."""
+    """Score (route_id, stop_id) requests from live state.
+
+    The trip is the one that live state last saw at the stop, and the service date is
+    ``now``'s, so that the rows can be captured and matched with outcomes later.
+    """
     source = request_features(requests, stop_state, route_state, priors, now, zone)
-    return predict(source.withColumn("feature_fill_rate", F.round(fill_rate(source), 3)), model)
+    rate = F.round(fill_rate(source), 3)
+    return predict(source.withColumn("feature_fill_rate", rate), model)

@@ -164,11 +164,12 @@ def request_features(requests: DataFrame, stops: DataFrame, routes: DataFrame,
             "is_weekend": weekend(F.col("day_of_week")),
             "is_peak": is_peak_hour(F.col("hour_of_day")),
             "is_holiday": F.lit(0),
+            "service_date": F.to_date(clock),
         }
     )
     have = stops.columns
     current = stops.select(
-        "route_id", "stop_id", "stop_sequence",
+        "route_id", "stop_id", "trip_id", "stop_sequence",
         F.col("current_delay").alias("delay_t_minus_15"),
         *[F.col(c) for c in ("prev_stop_delay",) if c in have],
         *[F.col("upstream_delay").alias("upstream_delay_same_trip")

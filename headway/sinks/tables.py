@@ -107,6 +107,16 @@ def write_backtest(metrics: DataFrame, path: str, run_date: str) -> None:
     write_json(document, path, ["dt"])
 
 
+def write_predictions(scored: DataFrame, root: str, source: str, run_date: str) -> None:
+    """Capture scored requests as JSON below ``<source>/<day>``, as the backtest reads them."""
+    names = ("route_id", "stop_id", "trip_id", "service_date", "predicted_delay_sec",
+             "delay_t_minus_15")
+    captured = scored.select(
+        *[F.col(n) if n in scored.columns else F.lit(None).alias(n) for n in names]
+    )
+    captured.write.mode("append").json(f"{root}/{source}/{run_date}")
+
+
 def export_csv(df: DataFrame, path: str, files: int | None = None) -> None:
     """A query result with a header line; ``files=1`` for one file of a small result."""
     laid_out = df.repartition(files) if files else df

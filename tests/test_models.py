@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from headway import schemas as S
 from headway.models import regressor as M
 from headway.operators import live as L
-from headway.operators.backtest import evaluation_report
+from headway.operators.backtest import backtest, evaluation_report, metric_points
+from headway.sinks.tables import write_backtest, write_predictions
+from headway.sources.tables import read_predictions
 
 
 @pytest.fixture(scope="module")
@@ -44,7 +46,7 @@ def test_validation_picks_the_best_prefix(spark, rows):
     assert model.stages[1].getNumTrees == errors.index(min(errors)) + 1
 
 
-def test_scoring_joins_state_and_priors(spark, rows):
+def test_scoring_joins_state_and_priors(spark, rows, tmp_path):
     model = M.train(rows, M.TrainParams(max_depth=2, rounds=2))
     now = datetime(2024, 1, 6, 17, 30, tzinfo=UTC)
     requests = spark.createDataFrame([("R", "a"), ("R", "zzz")], "route_id string, stop_id string")
@@ -64,3 +66,16 @@ def test_scoring_joins_state_and_priors(spark, rows):
     assert (a["hist_median_delay"], a["mean_route_delay_15m"]) == (90, 12.5)
     assert unknown["delay_t_minus_15"] is None and unknown["predicted_delay_sec"] is not None
     assert a["feature_fill_rate"] > unknown["feature_fill_rate"]
+    write_predictions(M.score(requests, stops, routes, priors, model, now), str(tmp_path), "m", "2024-01-06")
+    back = {r["stop_id"]: r for r in read_predictions(spark, str(tmp_path), "2024-01-06").collect()}
+    assert (back["a"]["trip_id"], back["a"]["service_date"]) == ("T", date(2024, 1, 6))
+    assert back["a"]["delay_t_minus_15"] == 60.0
+    assert back["a"]["predicted_delay_sec"] == pytest.approx(a["predicted_delay_sec"], abs=200)
+    silver = spark.createDataFrame([(date(2024, 1, 6), "T", "a", 75)],
+                                   "service_date date, trip_id string, stop_id string, observed_delay_sec int")
+    metrics = backtest(read_predictions(spark, str(tmp_path), "2024-01-06"), silver)
+    assert (metrics.first()["n"], metrics.first()["persistence_mae"]) == (1, 15.0)
+    write_backtest(metrics, str(tmp_path / "metrics"), "2024-01-06")
+    assert spark.read.json(str(tmp_path / "metrics")).first()["run_date"] == "2024-01-06"
+    points = {r["metric"]: r["value"] for r in metric_points(metrics).collect()}
+    assert points["PredictionsScored"] == 1.0 and points["PersistenceMae"] == 15.0
