@@ -200,9 +200,17 @@ def build_features(silver: DataFrame, as_of: date | Sequence[date] | None,
         priors = historical_priors(silver, as_of, lookback, min_count)
         prior_keys = list(CELL)
     else:
-        today = silver if as_of is None else silver.where(F.col("service_date").isin(list(as_of)))
-        days = today.select(F.col("service_date").alias("as_of"), *CELL)
-        priors = historical_priors_by_day(silver, days, lookback, min_count)
+        today, past = silver, silver
+        if as_of is not None:
+            # Dates known beforehand prune the scans: the days themselves, and their history.
+            dates = sorted(as_of)
+            today = silver.where(F.col("service_date").isin(dates))
+            past = silver.where(
+                (F.col("service_date") < F.lit(dates[-1]))
+                & (F.col("service_date") >= F.date_sub(F.lit(dates[0]), lookback))
+            )
+        cells = today.select(F.col("service_date").alias("as_of"), *CELL)
+        priors = historical_priors_by_day(past, cells, lookback, min_count)
         priors = priors.withColumnRenamed("as_of", "service_date")
         prior_keys = ["service_date", *CELL]
     rows = route_state(upstream_features(today), strict, exact)

@@ -180,7 +180,7 @@ def request_features(requests: DataFrame, stops: DataFrame, routes: DataFrame,
         *[c for c in ("mean_route_delay_15m", "vehicles_active_on_route", "preceding_trip_delay",
                       *S.WEATHER_FALLBACK, "active_alert_on_route") if c in routes.columns],
     )
-    stats = priors.drop("pk", "sk")
+    stats = priors.drop("pk", "sk", "updated_at")
     joined = (
         timed.join(current, ["route_id", "stop_id"], "left")
         .join(route, "route_id", "left")

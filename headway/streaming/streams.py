@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from headway import schemas as S
 from headway.functions.columns import blank_to_null, number, plausible
 from headway.operators.feed import PACKED_SCHEMA, parse_rows, unpack_rows
-from headway.operators.live import route_state_batch, stop_state
+from headway.operators.live import prior_state, route_state_batch, stop_state
 from headway.operators.silver import build_silver
 from headway.sinks.tables import upsert
 
@@ -112,7 +112,15 @@ def start_live_state(stream: DataFrame, path: str, checkpoint: str, ttl: int = S
     return _start(writer, trigger or {"processingTime": "30 seconds"})
 
 
+def write_priors(priors: DataFrame, path: str, as_of: int, geometry: DataFrame | None = None
+                 ) -> None:
+    """Export priors as ``path/priors``, keyed for lookup; a later export replaces a cell."""
+    state = prior_state(priors, geometry).withColumn("updated_at", F.lit(as_of).cast("bigint"))
+    write_state(state, f"{path}/priors", "updated_at")
+
+
 def read_state(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The ``stops``, ``routes`` or ``priors`` of a state folder."""
     return spark.read.parquet(f"{path}/{kind}").drop("bucket", "batch")
 
 

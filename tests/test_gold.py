@@ -74,6 +74,9 @@ def test_features_of_one_day_equal_the_backfilled_day(spark, silver):
     everything = G.build_features(silver, None, min_count=2, exact=True)
     assert one.count() > 0
     assert as_set(one) == as_set(everything.where(F.col("service_date") == F.lit(DAY)))
+    pair = G.build_features(silver, [date(2024, 1, 25), DAY], min_count=2, exact=True)
+    assert as_set(one) == as_set(pair.where(F.col("service_date") == F.lit(DAY)))
+    assert {r[0] for r in pair.select("service_date").distinct().collect()} == {DAY, date(2024, 1, 25)}
     assert one.where("observed_delay_sec IS NULL").count() == 0
     assert one.select("temp_c", "visibility_m").distinct().collect() == [(10.0, 20000.0)]
 

@@ -11,6 +11,7 @@ from headway.operators import live as L
 from headway.operators.backtest import backtest, evaluation_report, metric_points
 from headway.sinks.tables import write_backtest, write_predictions
 from headway.sources.tables import read_predictions
+from headway.streaming.streams import read_state, write_priors
 
 
 @pytest.fixture(scope="module")
@@ -79,3 +80,24 @@ def test_scoring_joins_state_and_priors(spark, rows, tmp_path):
     assert spark.read.json(str(tmp_path / "metrics")).first()["run_date"] == "2024-01-06"
     points = {r["metric"]: r["value"] for r in metric_points(metrics).collect()}
     assert points["PredictionsScored"] == 1.0 and points["PersistenceMae"] == 15.0
+
+
+def test_exported_priors_carry_the_stops_geometry(spark, tmp_path):
+    cell = "route_id string, stop_id string, is_weekend int, hour_of_day int, hist_median_delay int"
+    silver = spark.createDataFrame(
+        [(date(2024, 1, d), "T", "R", "a", d, 10 - d, 1.5, 0, 3) for d in (1, 2)] +
+        [(date(2024, 1, 3), "T", None, "a", 9, 9, 9.0, 9, 9)],
+        "service_date date, trip_id string, route_id string, stop_id string, last_seen_ts bigint, "
+        "stops_remaining int, shape_dist_traveled double, is_terminus int, route_type int")
+    geometry = L.stop_geometry(silver)
+    for at, median in ((1, 50), (2, 60), (1, 70)):
+        priors = spark.createDataFrame([("R", "a", 0, 8, median), (None, "a", 0, 8, 1)], cell)
+        write_priors(priors, str(tmp_path), at, geometry)
+    (row,) = read_state(spark, str(tmp_path), "priors").collect()
+    assert (row["sk"], row["hist_median_delay"], row["stops_remaining"]) == ("STATS#0#08", 60, 8)
+    requests = spark.createDataFrame([("R", "a")], "route_id string, stop_id string")
+    stops = spark.createDataFrame([], "route_id string, stop_id string, trip_id string, current_delay double, stop_sequence int")
+    routes = spark.createDataFrame([], "route_id string, mean_route_delay_15m double")
+    seen = L.request_features(requests, stops, routes, read_state(spark, str(tmp_path), "priors"),
+                              datetime(2024, 1, 3, 8, 5, tzinfo=UTC)).first()
+    assert (seen["hist_median_delay"], seen["stops_remaining"], seen["route_type"]) == (60, 8, 3)
