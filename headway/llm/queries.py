@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import archive, line_dedup
+from headway.llm import archive, line_dedup, near_join, packing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op3_warc": archive.op3_warc,
+        "op5_best_fit_packing": packing.op5_best_fit_packing,
+        "op7_ngram_jaccard_join": near_join.op7_ngram_jaccard_join,
     }
 
 
