@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import archive, line_dedup, near_join, packing
+from headway.llm import archive, line_dedup, near_join, packing, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op3_warc": archive.op3_warc,
+        "op4_toxicity": toxicity.op4_toxicity,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op7_ngram_jaccard_join": near_join.op7_ngram_jaccard_join,
     }
