@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.session import stage
 
 __all__ = [
-    "NO_ID", "connected_components", "fold", "lower_ascii", "read", "rid", "stage", "text_hash",
+    "NO_ID", "connected_components", "fold", "lower_ascii", "rid", "small", "stage", "text_hash",
 ]
 
 #: Stands for a NULL id where rows are matched; the id itself stays NULL in results.
 NO_ID = -(2**63)
+#: Tables of ids or single words with at most so many rows are broadcast, larger ones shuffled.
+BROADCAST_ROWS = 2_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def rid(name: str = "doc_id") -> Column:
     """A row's id for matching, never NULL."""
     return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID))
@@ -35,6 +33,11 @@ def fold(k: int, name: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit(""))) % k
 
 
+def small(df: DataFrame) -> DataFrame:
+    """A staged table of ids or words, broadcast if its rows are counted and few enough."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import archive, line_dedup, near_join, packing, toxicity
+from headway.llm import archive, decontaminate, line_dedup, near_join, packing, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op7_ngram_jaccard_join": near_join.op7_ngram_jaccard_join,
+        "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
     }
 
 
@@ -23,4 +24,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": line_dedup.SQL,
         "op3_warc": archive.SQL,
+        "op10_benchmark_decontamination": decontaminate.SQL,
     }
