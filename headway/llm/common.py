@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.session import stage
 
 __all__ = [
-    "NO_ID", "connected_components", "fold", "lower_ascii", "rid", "small", "stage", "text_hash",
+    "NO_ID", "connected_components", "fold", "lower_ascii", "rid", "small", "spanning_links",
+    "stage", "text_hash",
 ]
 
 #: Stands for a NULL id where rows are matched; the id itself stays NULL in results.
@@ -78,3 +80,22 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
             break
     ids = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return ids.union(edges.select("b", "b")).distinct()
+
+
+def spanning_links(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
+    """Links (by places ``i``, ``j`` in ``ids``) thinned to what connects the same ids."""
+    parent = np.arange(len(ids))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for a, b in zip(i.tolist(), j.tolist(), strict=True):
+        x, y = root(a), root(b)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((int(ids[a]), int(ids[b])))
+    return out

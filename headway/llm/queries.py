@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import archive, decontaminate, line_dedup, near_join, packing, toxicity
+from headway.llm import archive, chat, decontaminate, embeddings, line_dedup, near_join, packing, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,7 +15,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_warc": archive.op3_warc,
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
+        "op6_chat_formatting": chat.op6_chat_formatting,
         "op7_ngram_jaccard_join": near_join.op7_ngram_jaccard_join,
+        "op8_embedding_near_dedup": embeddings.op8_embedding_near_dedup,
         "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
     }
 
@@ -24,5 +26,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": line_dedup.SQL,
         "op3_warc": archive.SQL,
+        "op6_chat_formatting": chat.SQL,
+        "op8_embedding_near_dedup": embeddings.SQL,
         "op10_benchmark_decontamination": decontaminate.SQL,
     }
