@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import archive, chat, decontaminate, embeddings, line_dedup, near_join, packing, toxicity
+from headway.llm import archive, chat, ctw, decontaminate, embeddings, line_dedup, near_join, packing, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_chat_formatting": chat.op6_chat_formatting,
         "op7_ngram_jaccard_join": near_join.op7_ngram_jaccard_join,
         "op8_embedding_near_dedup": embeddings.op8_embedding_near_dedup,
+        "op9_lm_scoring": ctw.op9_lm_scoring,
         "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
     }
 

@@ -11,6 +11,8 @@ _FOLD = bytes(
     for c in range(256)
 )
 _BASE = 0x9E3779B97F4A7C15 | 1
+#: Bytes hashed at a time.
+SPAN_BYTES = 1 << 20
 _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 
@@ -37,19 +39,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte spans, which are in order and do not overlap."""
+    out = np.zeros(len(start), np.uint64)
+    k = 0
+    while k < len(start):
+        stop = max(k + 1, int(np.searchsorted(end, start[k] + SPAN_BYTES)))
+        first, last = int(start[k]), int(end[stop - 1])
+        part = data[first:last]
+        up, down = _power_tables(len(part) + 1)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(mix(part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=sums[1:])
+        s, e = start[k:stop] - first, end[k:stop] - first
+        out[k:stop] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
+        k = stop
+    return out
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     """64-bit hashes of the words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text, A-Z lower-cased."""
     data = np.frombuffer((text or "").encode("utf-8", "surrogatepass").translate(_FOLD), np.uint8)
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = data != 32
     edge = np.diff(inside)
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    up, down = _power_tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(mix(data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    return hash_spans(data, np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))
 
 
 def shingle_set(text: str | None, k: int = WORDS_PER_SHINGLE) -> np.ndarray:
