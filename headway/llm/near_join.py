@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import NO_ID, connected_components, rid, stage, text_hash
+from headway.llm.common import NO_ID, connected_components, rid, small, stage, text_hash
 from headway.llm.shingles import WORDS_PER_SHINGLE, mix, shingle_set
 
 THRESHOLD = 0.8
@@ -260,7 +260,7 @@ def similar_documents(
     )
     # Shingles are made anew, for the few classes that have a neighbour only.
     texts = docs.select(rid().alias("rid"), text_hash().alias("th"), "text").join(
-        members.select("rid", "th"), ["rid", "th"], "left_semi"
+        small(members.select("rid", "th")), ["rid", "th"], "left_semi"
     )
     made = texts.mapInArrow(_shingle(words), "low long, high long, shingles binary")
     made = made.groupBy("low", "high").agg(F.first("shingles").alias("shingles"))
