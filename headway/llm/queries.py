@@ -6,11 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import archive, chat, ctw, decontaminate, embeddings, line_dedup, near_join, packing, toxicity
+from headway.llm import (
+    archive,
+    chat,
+    ctw,
+    decontaminate,
+    embeddings,
+    line_dedup,
+    near_join,
+    packing,
+    token_counts,
+    toxicity,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_counts": token_counts.op1_token_counts,
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op3_warc": archive.op3_warc,
         "op4_toxicity": toxicity.op4_toxicity,
