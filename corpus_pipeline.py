@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm.common import stage
+from headway.llm.common import own, stage
 from headway.llm.decontaminate import drop_contaminated
 from headway.llm.line_dedup import drop_shared_lines
 from headway.llm.near_join import keep_one_per_class
@@ -27,7 +27,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines shared by ten documents or more go; every document stays, with its new length."""
     kept = drop_shared_lines(docs)
     if "n_chars" in docs.columns:
-        changed = F.when(F.col("__n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
+        changed = F.when(F.col(own(docs, "n_dropped")) > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
         kept = kept.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
     return kept.select(*[f"`{c}`" for c in docs.columns])
 

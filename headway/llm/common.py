@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from headway.session import stage
 
 __all__ = [
-    "NO_ID", "connected_components", "fold", "lower_ascii", "rid", "small", "spanning_links",
-    "stage", "text_hash",
+    "NO_ID", "connected_components", "fold", "lower_ascii", "own", "rid", "small",
+    "spanning_links", "stage", "text_hash",
 ]
 
 #: Stands for a NULL id where rows are matched; the id itself stays NULL in results.
@@ -20,6 +20,14 @@ BROADCAST_ROWS = 2_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def own(df: DataFrame, name: str) -> str:
+    """A column name for the operator's own use that ``df`` does not have."""
+    name = f"__{name}"
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
+
+
 def rid(name: str = "doc_id") -> Column:
     """A row's id for matching, never NULL."""
     return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID))

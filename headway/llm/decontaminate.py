@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import NO_ID, lower_ascii, rid, small, stage, text_hash
+from headway.llm.common import NO_ID, lower_ascii, own, rid, small, stage, text_hash
 
 WINDOW = 13
 #: How many lists, from the rarest term on, are intersected before the rest is checked.
@@ -180,11 +180,12 @@ def find_contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) ->
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns as they are."""
+    r, t = own(docs, "rid"), own(docs, "th")
     bad = find_contamination(docs, items, size).where("contaminated").select(
-        F.col("rid").alias("__rid"), F.col("th").alias("__th")
+        F.col("rid").alias(r), F.col("th").alias(t)
     ).distinct()
-    marked = docs.withColumns({"__rid": rid(), "__th": text_hash()})
-    return marked.join(small(stage(bad, "contaminated")), ["__rid", "__th"], "left_anti").select(
+    marked = docs.withColumns({r: rid(), t: text_hash()})
+    return marked.join(small(stage(bad, "contaminated")), [r, t], "left_anti").select(
         *[f"`{c}`" for c in docs.columns]
     )
 

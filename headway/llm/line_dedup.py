@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import lower_ascii, rid, stage, text_hash
+from headway.llm.common import lower_ascii, own, rid, stage, text_hash
 
 MIN_DOCS = 10
 #: Fixed value: what the key strips at both ends, ``[\x20\x09-\x0D]``.
@@ -178,27 +178,30 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return gone.mapInArrow(_pack, "rid long, th long, n_dropped long, keep binary")
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        kept, n_lines = [], []
-        for text, keep in zip(b["text"].to_pylist(), b["__keep"].to_pylist(), strict=True):
-            lines = (text or "").split("\n")
-            n_lines.append(len(lines))
-            if keep is None:
-                kept.append(text)
-                continue
-            bits = np.unpackbits(np.frombuffer(zlib.decompress(keep), np.uint8), count=len(lines))
-            kept.append("\n".join([lines[i] for i in np.flatnonzero(bits)]))
-        out = [b[c] for c in b.schema.names if c not in ("text", "__keep")]
-        names = [c for c in b.schema.names if c not in ("text", "__keep")]
-        yield pa.RecordBatch.from_arrays(
-            [*out, pa.array(kept, pa.string()), pa.array(n_lines, pa.int64())],
-            names=[*names, "text", "__n_lines"],
-        )
+def _unpack(keep_name: str, n_lines_name: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kept, n_lines = [], []
+            for text, keep in zip(b["text"].to_pylist(), b[keep_name].to_pylist(), strict=True):
+                lines = (text or "").split("\n")
+                n_lines.append(len(lines))
+                if keep is None:
+                    kept.append(text)
+                    continue
+                bits = np.frombuffer(zlib.decompress(keep), np.uint8)
+                places = np.flatnonzero(np.unpackbits(bits, count=len(lines)))
+                kept.append("\n".join([lines[i] for i in places]))
+            names = [c for c in b.schema.names if c not in ("text", keep_name)]
+            yield pa.RecordBatch.from_arrays(
+                [*[b[c] for c in names], pa.array(kept, pa.string()), pa.array(n_lines, pa.int64())],
+                names=[*names, "text", n_lines_name],
+            )
+
+    return run
 
 
 def drop_shared_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` with shared lines gone from ``text``, plus ``__n_lines`` and ``__n_dropped``.
+    """``docs`` with shared lines gone from ``text``, plus ``own(docs, "n_lines")``, "n_dropped".
 
     Lines are what ``\\n`` separates; a NULL or empty text is one empty line and stays as it
     is. A line's key is the line stripped of blanks at both ends, A-Z lower-cased; empty keys
@@ -206,25 +209,30 @@ def drop_shared_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     everywhere. Fully equal rows are one document for the count and come out equal. All other
     columns pass through under their own names. An empty table gives an empty table.
     """
+    columns = docs.columns
+    r, t, lines, dropped, keep = (
+        own(docs, c) for c in ("rid", "th", "n_lines", "n_dropped", "keep")
+    )
     found = keep_bitmaps(docs, min_docs).select(
-        F.col("rid").alias("__rid"), F.col("th").alias("__th"),
-        F.col("n_dropped").alias("__n_dropped"), F.col("keep").alias("__keep"),
+        F.col("rid").alias(r), F.col("th").alias(t),
+        F.col("n_dropped").alias(dropped), F.col("keep").alias(keep),
     )
-    columns = docs.columns
     joined = (
-        docs.withColumns({"__rid": rid(), "__th": text_hash()})
-        .join(found, ["__rid", "__th"], "left")
-        .withColumn("__n_dropped", F.coalesce("__n_dropped", F.lit(0).cast("long")))
-        .drop("__rid", "__th")
+        docs.withColumns({r: rid(), t: text_hash()})
+        .join(found, [r, t], "left")
+        .withColumn(dropped, F.coalesce(dropped, F.lit(0).cast("long")))
+        .drop(r, t)
     )
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema
-             if f.name not in ("text", "__keep")]
-    out = joined.mapInArrow(_unpack, ", ".join([*kinds, "`text` string", "__n_lines long"]))
-    return out.select(*[f"`{c}`" for c in columns], "__n_lines", "__n_dropped")
+             if f.name not in ("text", keep)]
+    out = joined.mapInArrow(
+        _unpack(keep, lines), ", ".join([*kinds, "`text` string", f"`{lines}` long"])
+    )
+    return out.select(*[f"`{c}`" for c in columns], lines, dropped)
 
 
 def op2_line_dedup(spark, sf_dir) -> DataFrame:
-    out = drop_shared_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    out = drop_shared_lines(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     text = F.coalesce("text", F.lit(""))
     return out.select(
         "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"),

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import NO_ID, connected_components, rid, small, stage, text_hash
+from headway.llm.common import NO_ID, connected_components, own, rid, small, stage, text_hash
 from headway.llm.shingles import WORDS_PER_SHINGLE, mix, shingle_set
 
 THRESHOLD = 0.8
@@ -300,16 +300,15 @@ def similar_documents(
 def keep_one_per_class(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that ``similar_documents`` keeps, all columns as they are."""
     columns = docs.columns
-    kept = similar_documents(docs, threshold).where("kept").select(
-        F.col("rid").alias("__rid"), F.col("th").alias("__th")
-    )
+    r, t, n, place = (own(docs, c) for c in ("rid", "th", "kept", "place"))
     # Rows without words may share id and text, and each is kept as often as it stands there.
-    marked = docs.withColumns({"__rid": rid(), "__th": text_hash()})
-    once = kept.groupBy("__rid", "__th").agg(F.count("*").alias("__kept"))
-    place = F.row_number().over(Window.partitionBy("__rid", "__th").orderBy("__rid"))
+    once = similar_documents(docs, threshold).where("kept").groupBy(
+        F.col("rid").alias(r), F.col("th").alias(t)
+    ).agg(F.count("*").alias(n))
+    order = F.row_number().over(Window.partitionBy(r, t).orderBy(r))
     return (
-        marked.join(once, ["__rid", "__th"]).withColumn("__place", place)
-        .where("__place <= __kept").select(*[f"`{c}`" for c in columns])
+        docs.withColumns({r: rid(), t: text_hash()}).join(once, [r, t]).withColumn(place, order)
+        .where(F.col(place) <= F.col(n)).select(*[f"`{c}`" for c in columns])
     )
 
 

@@ -6,7 +6,7 @@ import numpy as np
 
 WORDS_PER_SHINGLE = 5
 #: A-Z to a-z, other ASCII but letters and digits to blank; bytes from 0x80 are word bytes.
-_FOLD = bytes(
+FOLDED = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
     for c in range(256)
 )
@@ -58,7 +58,7 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
 
 def word_hashes(text: str | None) -> np.ndarray:
     """64-bit hashes of the words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text, A-Z lower-cased."""
-    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass").translate(_FOLD), np.uint8)
+    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass").translate(FOLDED), np.uint8)
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = data != 32
     edge = np.diff(inside)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-DOCS = "doc_id long, text string, lang string, rid string, __score string"
+DOCS = "doc_id long, text string, lang string, rid string, __score string, __th string, th string"
 
 
 def sentence(rng: np.random.Generator, n: int, words: int = 400) -> str:
@@ -14,7 +14,7 @@ def sentence(rng: np.random.Generator, n: int, words: int = 400) -> str:
 def documents(spark, texts, ids=None):
     """Documents whose other columns have names that operators use themselves."""
     ids = range(len(texts)) if ids is None else ids
-    rows = [(i, t, "en", f"r{k}", "s") for k, (i, t) in enumerate(zip(ids, texts, strict=True))]
+    rows = [(i, t, "en", f"r{k}", "s", "t", "h") for k, (i, t) in enumerate(zip(ids, texts, strict=True))]
     return spark.createDataFrame(rows, DOCS)
 
 
