@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 
 def resolve_run_date(raw: str | date) -> date:
-    """A schedule's ISO timestamp means the day before; a bare date means itself."""
+    """A schedule's timestamp means the day before; a bare date means itself."""
+    if isinstance(raw, datetime):
+        return raw.date() - timedelta(days=1)
     if isinstance(raw, date):
         return raw
     day = date.fromisoformat(raw[:10])

@@ -19,7 +19,6 @@ from headway.operators.ranges import (
 
 CELL = ("route_id", "stop_id", "is_weekend", "hour_of_day")
 LAG_SECONDS = 900
-STOPS_PER_CHUNK = 64
 
 
 def day(df: DataFrame, d: date) -> DataFrame:
@@ -76,21 +75,15 @@ def historical_priors_by_day(silver: DataFrame, days: DataFrame,
 
     Each day is reduced to its histogram before being handed to the run dates it counts
     for, so what fans out is distinct delays per cell and day, not arrivals. ``days`` may
-    also hold the cell columns; then only those cells are profiled on each date, and the
-    history meets its cells before it fans out.
+    also hold the cell columns; then only those cells are profiled on each date. A histogram
+    row meets the at most ``lookback`` dates it counts for, never the whole history.
     """
     daily = value_counts(labelled(silver), ("service_date", *CELL), S.TARGET)
-    if set(CELL) <= set(days.columns):
-        asked = days.select("as_of", *CELL).distinct()
-        trailing = (F.col("service_date") < F.col("as_of")) & (
-            F.col("service_date") >= F.date_sub("as_of", lookback)
-        )
-        spread = daily.join(asked, list(CELL)).where(trailing)
-    else:
-        later = F.sequence(F.date_add("service_date", 1), F.date_add("service_date", lookback))
-        spread = daily.withColumn("as_of", F.explode(later)).join(
-            days.select("as_of").distinct(), "as_of", "left_semi"
-        )
+    later = F.sequence(F.date_add("service_date", 1), F.date_add("service_date", lookback))
+    asked = ["as_of", *CELL] if set(CELL) <= set(days.columns) else ["as_of"]
+    spread = daily.withColumn("as_of", F.explode(later)).join(
+        days.select(*asked).distinct(), asked, "left_semi"
+    )
     counts = spread.groupBy("as_of", *CELL, S.TARGET).agg(F.sum("n").alias("n"))
     return _priors(counts, ("as_of", *CELL), min_count)
 
@@ -100,8 +93,7 @@ def upstream_features(df: DataFrame) -> DataFrame:
     along_trip = ordered_context(
         df,
         keys=("service_date", "trip_id"),
-        order=("stop_sequence", "stop_id"),
-        chunk=F.floor(F.col("stop_sequence") / STOPS_PER_CHUNK),
+        order=("stop_sequence", "stop_id"),  # the silver key bounds a trip's stops
         lag={"prev_stop_delay": "delay_t_minus_15"},
         running={"_upstream": "delay_t_minus_15"},
     )

@@ -94,8 +94,9 @@ def collection_progress(silver: DataFrame, target: int = S.TARGET_DAYS) -> DataF
 
 def recent_days(silver: DataFrame, n: int = 7, min_events: int = S.MIN_EVENTS_PER_DAY,
                 min_label: float = S.MIN_LABEL_RATE) -> DataFrame:
-    """The newest days (1 to 14) with their usability verdicts."""
-    n = max(1, min(n, 14))
+    """The newest ``n`` days with their usability verdicts."""
+    if n < 1:
+        raise ValueError("at least one day")
     days = silver.groupBy("service_date").agg(
         n_rows().alias("events"),
         F.count(S.TARGET).alias("labelled"),

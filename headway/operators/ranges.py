@@ -1,8 +1,9 @@
 """Ordered computations inside groups of any size.
 
-A plain window puts a whole group into one task. A group too large for that is cut into
-chunks along its order: each chunk is windowed on its own, and what it needs from earlier
-chunks (last value, running sum and count) comes from one small summary row per chunk.
+A plain window puts a whole group into one task, which is right where the key bounds the group.
+Other groups are cut into chunks along their order: each chunk is windowed on its own, and what
+it needs from earlier chunks (last value, running sum and count) comes from one small summary
+row per chunk.
 """
 
 from __future__ import annotations
@@ -12,14 +13,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-_GROUP, _CHUNK, _LARGE = "_group", "_chunk", "_large"
+_GROUP, _CHUNK = "_group", "_chunk"
 _BEFORE = (Window.unboundedPreceding, -1)
 
-# A task windows this many rows with ease; larger groups are cut up.
-GROUP_ROWS = 1_000_000
-# At most this many large groups are handled by name; beyond, every group is cut up.
-NAMED_GROUPS = 10_000
-
 
 def _context(spec: WindowSpec, lag: Mapping[str, str], running: Mapping[str, str]
              ) -> dict[str, Column]:
@@ -35,41 +31,29 @@ def ordered_context(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    chunk: Column,
+    chunk: Column | None = None,
     lag: Mapping[str, str] | None = None,
     running: Mapping[str, str] | None = None,
-    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Add values of the earlier rows of each group.
 
     ``lag``: {new column: source}, the previous row's value, NULL included.
     ``running``: {prefix: source}, adds ``<prefix>_sum`` and ``<prefix>_n`` over all
-    earlier rows, NULLs left out. ``order`` must be total within a group and ascending;
-    ``chunk`` must never decrease along it. NULL keys form a group of their own.
+    earlier rows, NULLs left out. ``order`` must be total within a group and ascending.
+    NULL keys form a group of their own.
 
-    Group sizes are counted first (one aggregate over the keys). Mostly no group is too
-    large, and a plain window does; otherwise only the large ones pay for the cutting.
+    ``chunk``, which must never decrease along the order, cuts the groups up; without it a
+    group is one window. Give it unless the keys bound the size of a group.
     """
     lag, running = dict(lag or {}), dict(running or {})
-    large = (
-        df.groupBy(F.struct(*keys).alias(_GROUP)).count().where(F.col("count") > group_rows)
-        .select(_GROUP).limit(NAMED_GROUPS + 1).collect()
-    )
-    if not large:
+    if chunk is None:
         spec = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns(_context(spec, lag, running))
 
     # A struct key compares equal on NULL fields, so NULL groups survive the joins, and
     # the join on chunks can reuse the window's partitioning.
-    keyed = df.withColumn(_GROUP, F.struct(*keys))
-    if len(large) > NAMED_GROUPS:
-        keyed = keyed.withColumn(_LARGE, F.lit(True))
-    else:
-        key_type = keyed.select(_GROUP).schema
-        named = df.sparkSession.createDataFrame(large, key_type).withColumn(_LARGE, F.lit(True))
-        keyed = keyed.join(named, _GROUP, "left")
     piece = F.coalesce(chunk.cast("bigint"), F.lit(-(2**62)))
-    keyed = keyed.withColumn(_CHUNK, F.when(F.col(_LARGE), piece).otherwise(F.lit(0)))
+    keyed = df.withColumn(_GROUP, F.struct(*keys)).withColumn(_CHUNK, piece)
 
     inner = Window.partitionBy(_GROUP, _CHUNK).orderBy(*order)
     local = {**_context(inner, lag, running), "_first": F.row_number().over(inner) == 1}
@@ -84,7 +68,7 @@ def ordered_context(
         per_chunk += [F.sum(source).alias(f"_{name}_sum"), F.count(source).alias(f"_{name}_n")]
         for part in (f"_{name}_sum", f"_{name}_n"):
             carried[part] = F.sum(part).over(across.rowsBetween(*_BEFORE))
-    summary = keyed.where(F.col(_LARGE)).groupBy(_GROUP, _CHUNK).agg(*per_chunk)
+    summary = keyed.groupBy(_GROUP, _CHUNK).agg(*per_chunk)
     carry = summary.withColumns(carried)
 
     joined = keyed.withColumns(local).join(carry, [_GROUP, _CHUNK], "left")
@@ -96,7 +80,7 @@ def ordered_context(
             F.coalesce(F.col(total), F.lit(0)) + F.coalesce(F.col(f"_{total}"), F.lit(0)),
         )
         final[count] = F.col(count) + F.coalesce(F.col(f"_{count}"), F.lit(0))
-    return joined.withColumns(final).drop("_first", _LARGE, *carry.columns)
+    return joined.withColumns(final).drop("_first", *carry.columns)
 
 
 def with_group_values(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:

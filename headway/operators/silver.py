@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway import schemas as S
 from headway.functions.columns import local_time, null_outside, weekend
 from headway.operators.ranges import with_group_values
 from headway.session import stage
+from headway.sinks.tables import merge_newer, upsert_with
 
 # Total order of "latest": ingest time, then arrival time and delay, then the payload,
 # so that equal timestamps always give the same row. NULL sorts below any value.
@@ -20,6 +21,10 @@ LATEST_ORDER = (
 )
 
 
+# The later of two stored rows of a key, as far as the stored columns tell.
+SILVER_VERSION = ("last_seen_ts", "observed_arrival_epoch", "observed_delay_sec", "vehicle_id")
+
+
 def valid_updates(df: DataFrame, canceled: int = S.CANCELED) -> DataFrame:
     """Rows with a full key whose trip is not cancelled; no status means scheduled."""
     complete = [F.col(k).isNotNull() for k in S.KEY]
@@ -62,8 +67,13 @@ def snapshot_at(df: DataFrame, minutes: int, keys: Sequence[str] = S.KEY) -> Dat
     )
 
 
+def lead_column(horizon: int) -> str:
+    """How long before its arrival a snapshot was taken; stored beside the declared columns."""
+    return f"snap_lead_t_minus_{horizon}"
+
+
 def collapse(df: DataFrame, horizons: Sequence[int] = S.HORIZONS,
-             keys: Sequence[str] = S.KEY) -> DataFrame:
+             keys: Sequence[str] = S.KEY, leads: bool = False) -> DataFrame:
     """Last observation and every horizon's snapshot in one aggregation.
 
     One scan and one shuffle of pre-combined rows, where ranking windows joined to each
@@ -82,6 +92,8 @@ def collapse(df: DataFrame, horizons: Sequence[int] = S.HORIZONS,
     ]
     out += [F.col(f"_snap_{h}.arrival_delay").alias(f"delay_t_minus_{h}") for h in horizons]
     out += [F.col(f"_snap_{h}.ingest_ts").alias(f"snap_ts_t_minus_{h}") for h in horizons]
+    if leads:
+        out += [(-F.col(f"_snap_{h}._near")).alias(lead_column(h)) for h in horizons]
     return df.groupBy(*keys).agg(latest, *snaps).select(*keys, *out)
 
 
@@ -182,12 +194,54 @@ def derive(events: DataFrame, zone: str = "UTC") -> DataFrame:
 
 
 def build_silver(updates: DataFrame, stop_times: DataFrame, stops: DataFrame, trips: DataFrame,
-                 routes: DataFrame, zone: str = "UTC") -> DataFrame:
+                 routes: DataFrame, zone: str = "UTC", leads: bool = False) -> DataFrame:
     """One row per (service_date, trip_id, stop_id), columns as declared.
 
+    ``leads`` adds each snapshot's lead, which ``merge_silver`` needs.
+
     The collapsed rows are written down once: the place in the trip reads them twice, and
     without that the whole feed would be scanned and collapsed a second time.
     """
-    events = stage(collapse(valid_updates(updates)), "collapsed")
+    events = stage(collapse(valid_updates(updates), leads=leads), "collapsed")
     silver = join_dimensions(derive(events, zone), stop_times, stops, trips, routes)
-    return silver.select(*S.STOP_EVENTS_SCHEMA.names)
+    extra = [lead_column(h) for h in S.HORIZONS] if leads else []
+    return silver.select(*S.STOP_EVENTS_SCHEMA.names, *extra)
+
+
+def merge_silver(target: DataFrame, staged: DataFrame) -> DataFrame:
+    """Two silver tables as one build over the predictions of both would give.
+
+    The later observation gives the row, each horizon keeps the nearest snapshot of either,
+    and places in trips are counted again over the merged rows, so both sides must hold
+    whole service dates. Rows stored without leads take the lead to the observed arrival.
+    """
+    merged = merge_newer(target, staged, S.SILVER_KEY, SILVER_VERSION)
+    nearest = []
+    for side, df in (("_t", target), ("_s", staged)):
+        snaps = []
+        for h in S.HORIZONS:
+            lead = F.coalesce(
+                lead_column(h), F.col("observed_arrival_epoch") - F.col(f"snap_ts_t_minus_{h}")
+            )
+            snap = F.struct(
+                (-lead).alias("near"), F.col(f"snap_ts_t_minus_{h}").alias("ts"),
+                F.col(f"delay_t_minus_{h}").alias("delay"),
+            )
+            snaps.append(F.when(lead.isNotNull(), snap).alias(f"{side}_{h}"))
+        nearest.append(df.select(*S.SILVER_KEY, *snaps))
+    both = nearest[0].join(nearest[1], list(S.SILVER_KEY), "full")
+    best = {h: F.greatest(f"_t_{h}", f"_s_{h}") for h in S.HORIZONS}
+    snapshots = both.select(
+        *S.SILVER_KEY,
+        *[best[h]["delay"].alias(f"delay_t_minus_{h}") for h in S.HORIZONS],
+        *[best[h]["ts"].alias(f"snap_ts_t_minus_{h}") for h in S.HORIZONS],
+        *[(-best[h]["near"]).alias(lead_column(h)) for h in S.HORIZONS],
+    )
+    replaced = [c for c in snapshots.columns if c not in S.SILVER_KEY]
+    rows = merged.drop(*replaced).join(snapshots, list(S.SILVER_KEY))
+    return place_in_trip(rows).select(*target.columns)
+
+
+def upsert_silver(spark: SparkSession, path: str, staged: DataFrame) -> list:
+    """Merge a build with leads into the stored table; returns the service dates touched."""
+    return upsert_with(spark, path, staged, "service_date", merge_silver)

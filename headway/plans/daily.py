@@ -13,9 +13,9 @@ from headway import schemas as S
 from headway.functions.dates import last_days, resolve_run_date
 from headway.operators.gold import build_features, day
 from headway.operators.quality import dq_rules
-from headway.operators.silver import build_silver
-from headway.session import use_utc
-from headway.sinks.tables import upsert, with_row_count, write_dq, write_partitions
+from headway.operators.silver import build_silver, upsert_silver
+from headway.session import stage, use_utc
+from headway.sinks.tables import with_row_count, write_dq, write_partitions
 from headway.sources.tables import read_bronze, read_dim, read_silver
 
 
@@ -30,6 +30,7 @@ class Config:
     static: str
     static_version: str
     weather: str | None = None
+    rejects: str | None = None
     zone: str = "UTC"
     min_rows: int = S.DQ_MIN_ROWS
     min_label: float = S.DQ_MIN_LABEL
@@ -46,6 +47,7 @@ class RunResult:
     built: list[date] = field(default_factory=list)
     failed: dict[date, list[str]] = field(default_factory=dict)
     gold_rows: int = 0
+    rejected: int = 0
 
 
 def build_day(spark: SparkSession, cfg: Config, run_date: date) -> DataFrame:
@@ -55,7 +57,16 @@ def build_day(spark: SparkSession, cfg: Config, run_date: date) -> DataFrame:
         for name in ("stop_times", "stops", "trips", "routes")
     }
     updates = read_bronze(spark, cfg.bronze, "trip_updates", run_date)
-    return build_silver(updates, **dims, zone=cfg.zone)
+    return build_silver(updates, **dims, zone=cfg.zone, leads=True)
+
+
+def reject_undated(staged: DataFrame, path: str, run_date: date) -> int:
+    """Rows whose start date is no date go to ``path`` under ``dt=``; returns their number."""
+    bad = staged.where(F.col("service_date").isNull()).withColumn("dt", F.lit(str(run_date)))
+    n = bad.count()
+    if n:
+        write_partitions(bad, path, ["dt"])
+    return n
 
 
 def gate(spark: SparkSession, cfg: Config, run_date: date, touched: Sequence[date]
@@ -89,24 +100,24 @@ def run_day(spark: SparkSession, cfg: Config, run_date: str | date,
     """
     use_utc(spark)
     run_date = resolve_run_date(run_date)
-    staged = build_day(spark, cfg, run_date)
-    touched = upsert(
-        spark, cfg.silver, staged, S.SILVER_KEY, "last_seen_ts", "service_date",
-        S.SNAPSHOT_COLUMNS,
-    )
+    staged = stage(build_day(spark, cfg, run_date), "day")
+    rejected = reject_undated(staged, cfg.rejects or f"{cfg.silver}_rejects", run_date)
+    touched = upsert_silver(spark, cfg.silver, staged.where(F.col("service_date").isNotNull()))
     if not touched:
-        return RunResult(run_date, "quarantined", failed={run_date: ["row_count_minimum"]})
+        return RunResult(
+            run_date, "quarantined", failed={run_date: ["row_count_minimum"]}, rejected=rejected
+        )
     failed = gate(spark, cfg, run_date, touched)
-    if run_date in failed:
-        return RunResult(run_date, "quarantined", touched, failed=failed)
     good = [d for d in touched if d not in failed]
+    if run_date in failed or not good:
+        return RunResult(run_date, "quarantined", touched, failed=failed, rejected=rejected)
     silver = read_silver(spark, cfg.silver)
     features = build_features(
         silver, good, weather, cfg.zone, cfg.lookback, cfg.min_cell
     )
     counted, seen = with_row_count(features, "gold")
     write_partitions(counted, cfg.gold, ["service_date"])
-    return RunResult(run_date, "succeeded", touched, good, failed, seen.get["rows"])
+    return RunResult(run_date, "succeeded", touched, good, failed, seen.get["rows"], rejected)
 
 
 def backfill(spark: SparkSession, cfg: Config, end: date, days: int,

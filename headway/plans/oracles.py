@@ -320,7 +320,7 @@ NULL_RATES = " UNION ALL ".join(
 cte("upserted", ("silver_am", "silver_pm"), f"""
   SELECT {ROW}, """ + ", ".join(
     f"CASE WHEN t.trip_id IS NULL OR s.last_seen_ts > t.last_seen_ts THEN "
-    + (f"coalesce(s.{n}, t.{n})" if n in S.SNAPSHOT_COLUMNS else f"s.{n}")
+    + f"s.{n}"
     + f" ELSE t.{n} END AS {n}"
     for n in S.STOP_EVENTS_SCHEMA.names
     if n not in (*S.SILVER_KEY, "observed_arrival_ts")
@@ -347,7 +347,8 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
       SELECT s.service_date, s.trip_id, s.stop_id, s.observed_delay_sec,
         l.observed_delay_sec AS reported_delay_sec
       FROM silver s JOIN latest l USING {NEST}"""),
-    "silver_upsert": (("upserted",), f"SELECT {SILVER_OUT} FROM upserted"),
+    "silver_upsert": (("silver",), f"SELECT {SILVER_OUT} FROM silver"),
+    "silver_merge_whole_row": (("upserted",), f"SELECT {SILVER_OUT} FROM upserted"),
     # --- gold
     "gold_priors": (("priors",), """
       SELECT as_of, route_id, stop_id, is_weekend, hour_of_day, hist_median_delay, hist_p90_delay,
@@ -630,7 +631,7 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
 
 # Dates come out as ISO text on both sides, whatever client reads them.
 BY_SERVICE_DATE = (
-    "silver_enriched silver_terminus silver_clamped silver_upsert gold_prev_stop "
+    "silver_enriched silver_terminus silver_clamped silver_upsert silver_merge_whole_row gold_prev_stop "
     "gold_upstream_mean gold_preceding_trip gold_route_hour gold_route_strict "
     "gold_weather_join gold_features feature_vector feature_csv fill_rate feature_mismatches "
     "dq_stats dq_rules dedupe_check coverage null_rates recent_days gold_days layer_diff "

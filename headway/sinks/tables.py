@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -71,19 +71,34 @@ def upsert(spark: SparkSession, path: str, staged: DataFrame, keys: Sequence[str
     """Merge ``staged`` into the table at ``path``; returns the partition values touched.
 
     Only touched partitions are read and rewritten. The staged rows are written down
-    first, so their plan runs once; the overwrite replaces a partition only when its new
-    files are complete, so a failed run leaves the old rows, and a repeated run changes
-    nothing. The partition column is part of the key or determined by it.
+    first, so their plan runs once, and a repeated run changes nothing. The overwrite
+    replaces a partition only when its new files are complete; a failure inside the commit
+    itself can lose a touched partition, which the run repeated from its source makes anew.
+    The partition column is part of the key or determined by it.
+    """
+    return upsert_with(
+        spark, path, staged, partition_by,
+        lambda target, rows: merge_newer(target, rows, keys, version, carry_cols),
+    )
+
+
+def upsert_with(spark: SparkSession, path: str, staged: DataFrame, partition_by: str,
+                merge: Callable[[DataFrame, DataFrame], DataFrame]) -> list:
+    """Write ``merge(target, staged)`` over the partitions that ``staged`` touches.
+
+    A NULL partition value raises: its rows would replace the default partition, whose old
+    rows no comparison selects.
     """
     staged = stage(staged, "upsert")
     # One value per partition of the table, not per row.
-    touched = sorted(r[0] for r in staged.select(partition_by).distinct().collect())
+    touched = [r[0] for r in staged.select(partition_by).distinct().collect()]
+    if None in touched:
+        raise ValueError(f"rows without {partition_by} cannot be stored")
     if not touched:
         return []
     target = read_or_empty(spark, path, staged.schema).where(F.col(partition_by).isin(touched))
-    merged = merge_newer(target.select(*staged.columns), staged, keys, version, carry_cols)
-    write_partitions(merged, path, [partition_by])
-    return touched
+    write_partitions(merge(target.select(*staged.columns), staged), path, [partition_by])
+    return sorted(touched)
 
 
 def write_json(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:

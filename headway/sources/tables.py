@@ -100,15 +100,12 @@ def read_predictions(spark: SparkSession, root: str, run_date: str | date) -> Da
     )
 
 
-def load_split(spark: SparkSession, root: str, split: str, max_rows: int | None = None,
-               keep: Sequence[str] = ()) -> DataFrame:
-    """Filled feature vectors and target of one split; ``max_rows`` is for dry runs."""
+def load_split(spark: SparkSession, root: str, split: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Filled feature vectors and target of the labelled rows of one split."""
     rows = spark.read.parquet(root).where(F.col("split") == split)
     missing = [c for c in (*S.FEATURE_NAMES, S.TARGET) if c not in rows.columns]
     if missing:
         raise KeyError(f"split {split} lacks columns {missing}")
-    if max_rows is not None:
-        rows = rows.limit(max_rows)
     rows = rows.where(F.col(S.TARGET).isNotNull())
     return feature_columns(rows, (*keep, S.TARGET))
 

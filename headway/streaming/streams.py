@@ -12,9 +12,10 @@ from headway import schemas as S
 from headway.functions.columns import blank_to_null, number, plausible
 from headway.operators.feed import PACKED_SCHEMA, parse_rows, unpack_rows
 from headway.operators.live import prior_state, route_state_batch, stop_state
-from headway.operators.silver import build_silver
+from headway.operators.silver import build_silver, upsert_silver
 from headway.sinks.tables import upsert
 
+#: Hash buckets of a state table unless told otherwise; a layout choice, kept with the table.
 STATE_BUCKETS = 64
 STOP_VERSION = ("updated_at", "current_delay", "trip_id", "stop_sequence")
 
@@ -80,18 +81,20 @@ def land_bronze(stream: DataFrame, root: str, checkpoint: str,
     )
 
 
-def write_state(state: DataFrame, path: str, version: str | tuple[str, ...]) -> None:
+def write_state(state: DataFrame, path: str, version: str | tuple[str, ...],
+                buckets: int = STATE_BUCKETS) -> None:
     """One write per key and batch into the state table, newest version kept.
 
-    The table is split into hash buckets so that a batch rewrites only what it touches.
+    The table is split into hash buckets so that a batch rewrites only what it touches; a
+    table keeps the number of ``buckets`` it was begun with.
     """
-    bucketed = state.withColumn("bucket", F.pmod(F.xxhash64("pk"), F.lit(STATE_BUCKETS)).cast("int"))
+    bucketed = state.withColumn("bucket", F.pmod(F.xxhash64("pk"), F.lit(buckets)).cast("int"))
     upsert(state.sparkSession, path, bucketed, ["bucket", "pk", "sk"], version, "bucket")
 
 
 def start_live_state(stream: DataFrame, path: str, checkpoint: str, ttl: int = S.STATE_TTL_SECONDS,
-                     trigger: Mapping[str, object] | None = None, clock: Column | None = None
-                     ) -> StreamingQuery:
+                     trigger: Mapping[str, object] | None = None, clock: Column | None = None,
+                     buckets: int = STATE_BUCKETS) -> StreamingQuery:
     """Keep ``path/stops`` and ``path/routes`` current from a stream of lines.
 
     State never goes backwards: an older batch, or a batch delivered twice, changes
@@ -102,9 +105,9 @@ def start_live_state(stream: DataFrame, path: str, checkpoint: str, ttl: int = S
         rows, _ = parse_rows(batch, S.LIVE_ROW)
         rows = rows.persist()
         try:
-            write_state(stop_state(rows, clock, ttl), f"{path}/stops", STOP_VERSION)
+            write_state(stop_state(rows, clock, ttl), f"{path}/stops", STOP_VERSION, buckets)
             routes = route_state_batch(rows, clock, ttl).withColumn("batch", F.lit(batch_id))
-            write_state(routes, f"{path}/routes", ("updated_at", "batch"))
+            write_state(routes, f"{path}/routes", ("updated_at", "batch"), buckets)
         finally:
             rows.unpersist()
 
@@ -126,14 +129,17 @@ def read_state(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 def start_silver(stream: DataFrame, path: str, checkpoint: str, dims: Mapping[str, DataFrame],
                  trigger: Mapping[str, object] | None = None, zone: str = "UTC") -> StreamingQuery:
-    """Streaming silver: each micro-batch is collapsed and upserted like a nightly run."""
+    """Streaming silver: each micro-batch is collapsed and upserted like a nightly run.
+
+    After any number of triggers the table is what one build over all their rows gives.
+    Rows whose start date is no date are left out.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows, _ = parse_rows(batch, S.TRIP_UPDATES_ROW)
         updates = rows.where(F.col("record_type") == "trip_updates")
-        silver = build_silver(updates, **dims, zone=zone)
-        upsert(batch.sparkSession, path, silver, S.SILVER_KEY, "last_seen_ts", "service_date",
-               S.SNAPSHOT_COLUMNS)
+        silver = build_silver(updates, **dims, zone=zone, leads=True)
+        upsert_silver(batch.sparkSession, path, silver.where(F.col("service_date").isNotNull()))
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _start(writer, trigger or {"processingTime": "300 seconds"})

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from headway import schemas as S
 from headway.operators.gold import build_features
 from headway.operators.quality import layer_diff
-from headway.operators.silver import build_silver
+from headway.operators.silver import build_silver, upsert_silver
 from headway.plans.daily import Config, backfill, run_day
 from headway.plans.warehouse import Warehouse
 from headway.sinks.tables import write_partitions
@@ -46,9 +46,7 @@ def test_backfill_rebuilds_gold_for_every_day_it_touches(spark, setup):
     assert results[1].built == results[1].touched
     silver = read_silver(spark, cfg.silver)
     whole = build_silver(rows, **w.dims())
-    final = [*S.SILVER_KEY, "observed_delay_sec", "last_seen_ts", "route_id", "scheduled_arrival"]
-    assert sorted(map(str, silver.select(*final).collect())) == sorted(
-        map(str, whole.select(*final).collect()))
+    assert sorted(map(str, silver.collect())) == sorted(map(str, whole.select(*silver.columns).collect()))
     gold = read_features(spark, cfg.gold)
     built = silver.where("service_date >= '2024-01-01'")
     assert layer_diff(built, gold.where("service_date >= '2024-01-01'")).count() == 0
@@ -75,6 +73,28 @@ def test_failed_gate_keeps_gold_and_leaves_silver(spark, setup, tmp_path):
     assert {r["rule"]: r["passed"] for r in document.collect()}["row_count_minimum"] is False
 
 
+def test_malformed_dates_are_kept_apart(spark, setup, tmp_path):
+    _, rows, cfg = setup
+    odd = rows.where("dt = '2024-01-02'")
+    bad = odd.where(F.col("hour") == "09")
+    write_partitions(
+        odd.unionByName(bad.withColumn("start_date", F.lit("2024-13"))),
+        str(tmp_path / "bronze"), ["record_type", "dt", "hour"],
+    )
+    own = replace(cfg, bronze=str(tmp_path / "bronze"), silver=str(tmp_path / "s"), gold=str(tmp_path / "g"),
+                  dq=str(tmp_path / "q"))
+    result = run_day(spark, own, "2024-01-02")
+    assert result.rejected > 0 and date(2024, 1, 2) in result.touched
+    rejects = spark.read.parquet(f"{own.silver}_rejects")
+    assert rejects.count() == result.rejected
+    assert {r["start_date"] for r in rejects.select("start_date").collect()} == {"2024-13"}
+    kept = read_silver(spark, own.silver)
+    assert kept.where("service_date IS NULL").count() == 0
+    with pytest.raises(ValueError, match="service_date"):
+        upsert_silver(spark, own.silver, rejects.drop("dt"))
+    assert read_silver(spark, own.silver).count() == kept.count()
+
+
 def test_day_without_bronze_is_quarantined(spark, setup, tmp_path):
     _, _, cfg = setup
     result = run_day(spark, replace(cfg, silver=str(tmp_path / "s")), "2024-03-01")

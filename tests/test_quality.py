@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from headway import schemas as S
@@ -56,12 +57,14 @@ def test_null_parts_count_as_duplicates(spark):
     assert (row["events"], row["dupes"], row["median_delay"]) == (3, 2, 1)
 
 
-def test_recent_days_are_clamped_to_14(spark):
+def test_recent_days_are_the_newest(spark):
     df = spark.range(40).select(
         F.date_add(F.lit(D1), F.col("id").cast("int")).alias("service_date"),
         F.lit("t").alias("trip_id"), F.lit("s").alias("stop_id"), F.lit(1).alias(S.TARGET))
-    assert Q.recent_days(df, 99).count() == 14
-    assert Q.recent_days(df, 0).first()["service_date"] == date(2024, 2, 9)
+    assert Q.recent_days(df, 99).count() == 40
+    assert Q.recent_days(df, 1).first()["service_date"] == date(2024, 2, 9)
+    with pytest.raises(ValueError):
+        Q.recent_days(df, 0)
     assert not Q.recent_days(df, 1).first()["usable"]
     assert Q.recent_days(df, 1, min_events=1).first()["usable"]
 

@@ -127,14 +127,14 @@ def test_predictions_of_a_day_from_nested_folders(spark, tmp_path):
     assert {r["route_id"] for r in rows} == {"7"} and rows[0]["service_date"] == date(2024, 1, 5)
 
 
-def test_load_split_fills_checks_and_caps(spark, tmp_path):
+def test_load_split_fills_and_checks(spark, tmp_path):
     path = str(tmp_path / "split")
     rows = feature_columns(spark.range(10)).withColumns(
         {S.TARGET: F.lit(5), "split": F.lit("train"), "temp_c": F.lit(None).cast("double")}
     )
     W.write_partitions(rows, path, ["split"])
-    got = R.load_split(spark, path, "train", max_rows=4)
-    assert got.count() == 4 and got.first()["temp_c"] == 10.0
+    got = R.load_split(spark, path, "train")
+    assert got.count() == 10 and got.first()["temp_c"] == 10.0
     W.write_partitions(rows.drop("temp_c"), str(tmp_path / "short"), ["split"])
     with pytest.raises(KeyError):
         R.load_split(spark, str(tmp_path / "short"), "train")
