@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,8 +22,9 @@ def ingest_windows(df: DataFrame, start: datetime, end: datetime, width: str = S
                    min_rows: int = S.STALL_ROWS, ts: Column | None = None) -> DataFrame:
     """Rows landed per tumbling window; a window without any rows is stalled too.
 
-    ``start`` and ``end`` are UTC; ``end`` is exclusive.
+    ``end`` is exclusive; values without a zone are UTC.
     """
+    start, end = (t if t.tzinfo else t.replace(tzinfo=UTC) for t in (start, end))
     number, unit = width.split()
     step = int(number) * {"second": 1, "minute": 60, "hour": 3600}[unit.rstrip("s")]
     at = ts if ts is not None else F.timestamp_seconds("ingest_ts")

@@ -225,11 +225,19 @@ def uncovered(df: DataFrame) -> DataFrame:
 def feature_mismatches(offline: DataFrame, online: DataFrame, keys: Sequence[str],
                        tol: float = 1e-6) -> DataFrame:
     """Features whose offline and online values differ for the same row."""
-    def long(df: DataFrame, side: str) -> DataFrame:
-        return unpivot(feature_columns(df, keys), keys, S.FEATURE_NAMES, "feature", side)
-
-    a, b = long(offline, "offline"), long(online, "online")
-    return a.join(b, [*keys, "feature"]).where(F.abs(F.col("offline") - F.col("online")) > tol)
+    def packed(df: DataFrame, side: str) -> DataFrame:
+        values = F.struct(*[F.col(f).cast("double").alias(f) for f in S.FEATURE_NAMES])
+        return feature_columns(df, keys).select(*keys, values.alias(side))
+
+    # Joined wide: what differs is unfolded after the join, not all features before it.
+    both = packed(offline, "_a").join(packed(online, "_b"), list(keys))
+    each = F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f"_a.{f}").alias("offline"),
+                 F.col(f"_b.{f}").alias("online"))
+        for f in S.FEATURE_NAMES
+    ])
+    differing = F.filter(each, lambda d: F.abs(d["offline"] - d["online"]) > tol)
+    return both.select(*keys, F.inline(differing))
 
 
 def layer_diff(silver: DataFrame, gold: DataFrame, counts: bool = True) -> DataFrame:

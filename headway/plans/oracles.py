@@ -574,6 +574,23 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
       FROM (SELECT record_type, ingest_ts, trip_id FROM feed
             UNION ALL SELECT record_type, ingest_ts, trip_id FROM positions) GROUP BY ALL"""),
     "stream_silver": (("silver",), f"SELECT {SILVER_OUT} FROM silver"),
+    # --- stored results, read back
+    "bronze_day_scan": (("feed",), """
+      SELECT trip_id, route_id, stop_id, ingest_ts, arrival_time, arrival_delay, dt, "hour"
+      FROM feed"""),
+    "silver_csv": (("silver",), """
+      SELECT CAST(observed_delay_sec AS VARCHAR) AS observed_delay_sec, trip_id, stop_id,
+        CAST(service_date AS VARCHAR) AS service_date, route_id FROM silver"""),
+    "observed_rows": (("silver",), "SELECT count(*) AS rows FROM silver"),
+    "dq_document": (("rules",), """
+      SELECT rule, passed, observed, expected, "value", CAST(service_date AS VARCHAR) AS dt
+      FROM rules WHERE service_date = (SELECT max(service_date) FROM rules)"""),
+    "backtest_document": (("matched", "silver"), f"""
+      SELECT m.*, d AS run_date, d AS dt FROM (SELECT {METRICS} FROM matched) m,
+        (SELECT CAST(max(service_date) AS VARCHAR) AS d FROM silver)"""),
+    "clamped_delays": (("feed",), """
+      SELECT trip_id, stop_id, ingest_ts, CASE WHEN arrival_delay BETWEEN -1800 AND 7200
+        THEN CAST(arrival_delay AS DOUBLE) END AS delay FROM feed"""),
     # --- operations
     "ingest_windows": (("spine", "feed"), """
       SELECT window_start, coalesce(rows, 0) AS rows, coalesce(rows, 0) < 3 AS stalled

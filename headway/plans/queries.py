@@ -3,19 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway import schemas as S
-from headway.functions.columns import csv_row, feature_columns, fill_rate, partition_key
+from headway.functions.columns import (
+    clamp_delay,
+    csv_row,
+    feature_columns,
+    fill_rate,
+    partition_key,
+)
 from headway.models import regressor
 from headway.operators import analytics, backtest, feed, gold, live, ops, quality, silver
 from headway.plans.warehouse import MIN_CELL, Warehouse
 from headway.session import scratch_path, stage
-from headway.sinks.tables import upsert
+from headway.sinks.tables import (
+    export_csv,
+    upsert,
+    with_row_count,
+    write_backtest,
+    write_dq,
+    write_partitions,
+)
 from headway.sources import adapters
+from headway.sources.tables import read_bronze, read_csv_by_name
 from headway.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -606,17 +621,75 @@ def stream_silver(w: Warehouse) -> DataFrame:
     return _silver_out(w.spark.read.schema(S.STOP_EVENTS_SCHEMA).parquet(path))
 
 
+# --- stored results, read back ------------------------------------------------------------
+
+
+BRONZE_OUT = ["trip_id", "route_id", "stop_id", "ingest_ts", "arrival_time", "arrival_delay"]
+
+
+@query
+def bronze_day_scan(w: Warehouse) -> DataFrame:
+    """Each landing day's partition, found by its date."""
+    path = scratch_path(w.spark, "bronze-table")
+    write_partitions(_both_feeds(w), path, ["record_type", "dt", "hour"])
+    days = [r["dt"] for r in w.trip_updates().select("dt").distinct().collect()]
+    parts = [read_bronze(w.spark, path, "trip_updates", day) for day in days]
+    return reduce(DataFrame.unionByName, parts).select(*BRONZE_OUT, "dt", "hour")
+
+
+@query
+def silver_csv(w: Warehouse) -> DataFrame:
+    """Exported with a header, and bound by name again as text."""
+    columns = ["observed_delay_sec", *ROW, "route_id"]
+    path = scratch_path(w.spark, "silver-csv")
+    export_csv(w.silver().select(*columns), path)
+    return read_csv_by_name(w.spark, path, sorted(columns))
+
+
+@query
+def observed_rows(w: Warehouse) -> DataFrame:
+    """The number of rows that a write counted on its way."""
+    counted, seen = with_row_count(w.silver(), "silver-rows")
+    write_partitions(counted, scratch_path(w.spark, "counted"), ["service_date"])
+    return w.spark.createDataFrame([(seen.get["rows"],)], "rows long")
+
+
+def _last_day(w: Warehouse):
+    return w.silver().agg(F.max("service_date")).first()[0]
+
+
+@query
+def dq_document(w: Warehouse) -> DataFrame:
+    path, day = scratch_path(w.spark, "dq"), _last_day(w)
+    write_dq(quality.dq_rules(gold.day(w.silver(), day), min_rows=DQ_MIN_ROWS), path, str(day))
+    schema = "rule string, passed boolean, observed string, expected string, value double, dt string"
+    return w.spark.read.schema(schema).json(path)
+
+
+@query
+def backtest_document(w: Warehouse) -> DataFrame:
+    path, day = scratch_path(w.spark, "backtest"), _last_day(w)
+    metrics = backtest.backtest(w.predictions(), w.silver())
+    write_backtest(metrics, path, str(day))
+    fields = ", ".join(f"{n} {t}" for n, t in metrics.dtypes)
+    return w.spark.read.schema(f"{fields}, run_date string, dt string").json(path)
+
+
+@query
+def clamped_delays(w: Warehouse) -> DataFrame:
+    text = F.col("arrival_delay").cast("string")
+    return w.trip_updates().select("trip_id", "stop_id", "ingest_ts", clamp_delay(text).alias("delay"))
+
+
 # --- operations -------------------------------------------------------------------------
 
 
 @query
 def ingest_windows(w: Warehouse) -> DataFrame:
     rows = w.trip_updates()
-    seen = rows.agg(
-        F.min(F.timestamp_seconds("ingest_ts")), F.max(F.timestamp_seconds("ingest_ts"))
-    ).first()
-    end = seen[1] + timedelta(seconds=1)
-    return ops.ingest_windows(rows, seen[0], end, min_rows=3)
+    first, last = rows.agg(F.min("ingest_ts"), F.max("ingest_ts")).first()
+    start, end = (datetime.fromtimestamp(t, UTC) for t in (first, last + 1))
+    return ops.ingest_windows(rows, start, end, min_rows=3)
 
 
 def _run_span(w: Warehouse):
