@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame
 from headway import schemas as S
 from headway.functions import feature_columns
 from headway.operators import analytics, backtest, gold, live, ops, quality, silver
+from headway.plans import queries
 from headway.plans.warehouse import MIN_CELL, Warehouse
-from headway.session import build_session, scratch_path
-from headway.sinks.tables import upsert, write_partitions
+from headway.session import build_session, scratch_path, stage
+from headway.sinks.tables import write_partitions
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -36,9 +37,10 @@ def jobs(w: Warehouse) -> dict[str, Callable[[], None]]:
     silver_table, gold_table = scratch_path(spark, "silver"), scratch_path(spark, "gold")
     last_day = w.silver().agg({"service_date": "max"}).first()[0]
 
-    def upsert_silver() -> None:
-        upsert(spark, silver_table, w.silver(), S.SILVER_KEY, "last_seen_ts", "service_date",
-               S.SNAPSHOT_COLUMNS)
+    with_leads = stage(silver.build_silver(w.trip_updates(), **w.dims(), leads=True), "leads")
+
+    def registered(name: str) -> Callable[[], None]:
+        return lambda: consume(queries.queries()[name](spark, SF_DIR))
 
     def gold_day() -> DataFrame:
         return gold.build_features(w.silver(), last_day, w.weather(), min_count=MIN_CELL)
@@ -50,7 +52,7 @@ def jobs(w: Warehouse) -> dict[str, Callable[[], None]]:
     return {
         "silver_collapse": lambda: consume(silver.collapse(feed)),
         "silver_build": lambda: consume(w.fresh_silver()),
-        "silver_upsert_rerun": upsert_silver,
+        "silver_upsert_rerun": lambda: silver.upsert_silver(spark, silver_table, with_leads),
         "dq_rules_all_days": lambda: consume(quality.dq_rules(w.silver(), by=["service_date"])),
         "gold_priors_one_day": lambda: consume(
             gold.historical_priors(w.silver(), last_day, min_count=MIN_CELL)),
@@ -64,6 +66,10 @@ def jobs(w: Warehouse) -> dict[str, Callable[[], None]]:
         "live_stop_state": lambda: consume(live.stop_state(w.trip_updates())),
         "live_route_state": lambda: consume(live.route_state_batch(both_feeds())),
         "hourly_landing": lambda: consume(quality.hourly_landing(w.trip_updates())),
+        **{name: registered(name) for name in (
+            "gold_route_strict", "feature_mismatches", "evaluation_report", "stream_landing",
+            "stream_silver", "stream_stop_state",
+        )},
         "cost_verdict": lambda: consume(ops.cost_verdict(ops.cost_run_rate(daily_cost()))),
     }
 

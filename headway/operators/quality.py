@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway import schemas as S
-from headway.functions.columns import feature_columns, n_rows, unpivot
+from headway.functions.columns import feature_columns, n_rows
 from headway.operators.ranges import discrete_quantiles, value_counts
 
 # A NULL in either part makes the pair NULL, and the row counts as a duplicate.
