@@ -92,12 +92,18 @@ def collection_progress(silver: DataFrame, target: int = S.TARGET_DAYS) -> DataF
     )
 
 
+def _newest(table: DataFrame, n: int) -> DataFrame:
+    """The rows of the newest ``n`` days; days are found first, so no other day is aggregated."""
+    days = table.select("service_date").distinct().orderBy(F.col("service_date").desc()).limit(n)
+    return table.join(days, "service_date", "left_semi")
+
+
 def recent_days(silver: DataFrame, n: int = 7, min_events: int = S.MIN_EVENTS_PER_DAY,
                 min_label: float = S.MIN_LABEL_RATE) -> DataFrame:
     """The newest ``n`` days with their usability verdicts."""
     if n < 1:
         raise ValueError("at least one day")
-    days = silver.groupBy("service_date").agg(
+    days = _newest(silver, n).groupBy("service_date").agg(
         n_rows().alias("events"),
         F.count(S.TARGET).alias("labelled"),
         F.round(F.count(S.TARGET) / n_rows(), 3).alias("label_rate"),
@@ -109,16 +115,12 @@ def recent_days(silver: DataFrame, n: int = 7, min_events: int = S.MIN_EVENTS_PE
         "no_dupes": F.col("dupes") == 0,
     }
     usable = verdicts["enough_events"] & verdicts["enough_labels"] & verdicts["no_dupes"]
-    return (
-        days.orderBy(F.col("service_date").desc()).limit(n)
-        .withColumns({**verdicts, "usable": usable})
-    )
+    return days.withColumns({**verdicts, "usable": usable})
 
 
 def gold_days(gold: DataFrame, n: int = 7) -> DataFrame:
     """Feature rows of the newest days."""
-    counted = gold.groupBy("service_date").agg(n_rows().alias("rows_out"))
-    return counted.orderBy(F.col("service_date").desc()).limit(n)
+    return _newest(gold, n).groupBy("service_date").agg(n_rows().alias("rows_out"))
 
 
 # --- the gate -----------------------------------------------------------------
