@@ -19,54 +19,63 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import fold
-from headway.llm.shingles import mix
+from headway.llm.common import fold, own
+from headway.llm.shingles import FOLDED, mix
 
 ORDER, DISCOUNT = 8, 0.75
 #: Characters that the uniform distribution below all orders is spread over.
 ALPHABET = 300
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
-#: The classifier is fitted on about so many labelled documents at most, by hash of the id.
-MAX_LABELLED = 20_000
+#: The classifier is fitted on about so many labelled documents of a class at most, by hash of
+#: the id. This bounds the model, which every task holds.
+MAX_PER_CLASS = 2_500
 #: Used where the calibration rows lack a class: weights of the features, and a constant.
 PLAIN = (0.5, 1.0, 0.0, -6.0)
 CACHED_WORDS = 300_000
 FEATURES = ("strongest", "three", "per_char")
 _START, _END = "\x02", "\x03"
-_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def labelled(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> DataFrame:
-    """(part, toxic, text) of the labelled documents outside the held-out fold.
+def words(text: str | None) -> list[bytes]:
+    """Runs of letters and digits, A-Z lower-cased, other scripts' characters included."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(FOLDED).split(b" ")
+
+
+def labelled(docs: DataFrame, labels: DataFrame, limit: int = MAX_PER_CLASS) -> DataFrame:
+    """(part, toxic, weight, text) of the labelled documents outside the held-out fold.
 
     A document with several labels is toxic if one of them says so; labels that are NULL are
-    none. ``part`` is the fold. Above ``limit`` labelled documents a sample by hash of the id
-    is taken.
+    none. ``part`` is the fold. Of a class with more than ``limit`` documents a sample by hash
+    of the id is taken, and ``weight`` is how many documents each stands for.
     """
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.max((F.col("toxic") > 0).cast("int")).alias("toxic")
     )
     known = known.withColumn("part", fold(FOLDS)).where(F.col("part") != HELD_OUT)
-    n = known.count()
-    if n > limit:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * limit / n))
-    texts = docs.select("doc_id", "text")
-    return texts.join(known, "doc_id").select("part", "toxic", F.coalesce("text", F.lit("")).alias("text"))
+    n = dict(known.groupBy("toxic").count().collect())  # two rows
+    weight = [max(1.0, n.get(c, 0) / limit) for c in (0, 1)]
+    weight = F.when(F.col("toxic") == 1, weight[1]).otherwise(weight[0])
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(1 << 20)
+    known = known.withColumn("weight", weight).where(place * F.col("weight") < 1)
+    return docs.select("doc_id", "text").join(known, "doc_id").select(
+        "part", "toxic", "weight", F.coalesce("text", F.lit("")).alias("text")
+    )
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = Counter(), Counter()
 
     def flush():
-        words = list(counts[0].keys() | counts[1].keys())
-        n = [pa.array([c[w] for w in words], pa.int64()) for c in counts]
+        found = list((counts[0].keys() | counts[1].keys()) - {b""})
+        n = [pa.array([c[w] for w in found], pa.int64()) for c in counts]
         counts[0].clear()
         counts[1].clear()
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *n], names=["word", "n0", "n1"])
+        texts = pa.array([w.decode("utf-8", "replace") for w in found], pa.string())
+        return pa.RecordBatch.from_arrays([texts, *n], names=["word", "n0", "n1"])
 
     for b in batches:
         for text, toxic in zip(b["text"], b["toxic"].to_pylist(), strict=True):
-            counts[toxic].update(text.as_py().translate(_LOWER).split())
+            counts[toxic].update(words(text.as_py()))
         if len(counts[0]) + len(counts[1]) > CACHED_WORDS:
             yield flush()
     yield flush()
@@ -74,11 +83,11 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def grams(rows: DataFrame, order: int = ORDER) -> DataFrame:
     """(gram, n0, n1): the longest n-grams with their counts in ordinary and toxic text."""
-    words = rows.mapInArrow(_count_words, "word string, n0 long, n1 long")
-    words = words.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counted = rows.mapInArrow(_count_words, "word string, n0 long, n1 long")
+    counted = counted.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     padded = F.concat(F.lit(_START * (order - 1)), "word", F.lit(_END))
     at = F.explode(F.sequence(F.lit(1), F.length("word") + 1))
-    each = words.select(padded.alias("padded"), "n0", "n1", at.alias("at"))
+    each = counted.select(padded.alias("padded"), "n0", "n1", at.alias("at"))
     return each.select(F.substring("padded", F.col("at"), F.lit(order)).alias("gram"), "n0", "n1").groupBy(
         "gram"
     ).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
@@ -95,21 +104,51 @@ def _chain(codes: np.ndarray, order: int) -> list[np.ndarray]:
     return keys
 
 
+def _keys(codes: np.ndarray) -> np.ndarray:
+    """Keys of the n-grams that the rows of ``codes`` are; as in ``_chain``."""
+    keys = np.zeros(len(codes), np.uint64)
+    for n in range(codes.shape[1]):
+        back = codes[:, -1 - n].astype(np.uint64) + np.uint64(1)
+        keys = mix(keys * np.uint64(3) + back + np.uint64(n << 32))
+    return keys
+
+
 class _Table:
-    """Values by key, 0 where a key is missing."""
+    """Values by key, where keys are evenly spread: a bucket by the upper bits, then a few steps."""
 
     def __init__(self, keys: np.ndarray, *values: np.ndarray) -> None:
         order = np.argsort(keys)
         self.keys = keys[order]
         self.values = [v[order].astype(np.float32) for v in values]
-
-    def find(self, keys: np.ndarray) -> list[np.ndarray]:
-        if not len(self.keys):
-            return [np.zeros(len(keys)) for _ in self.values]
-        at = np.searchsorted(self.keys, keys)
-        at[at == len(self.keys)] = 0
-        hit = self.keys[at] == keys
-        return [np.where(hit, v[at], 0).astype(np.float64) for v in self.values]
+        self.starts = None
+
+    def _index(self) -> None:
+        bits = max(1, (2 * len(self.keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        sizes = np.bincount((self.keys >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.starts = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 where it is missing."""
+        if self.starts is None:
+            self._index()
+        slot = (keys >> self.shift).astype(np.int64)
+        at, stop = self.starts[slot], self.starts[slot + 1]
+        found = np.full(len(keys), -1, np.int32)
+        left = np.flatnonzero(at < stop)
+        while len(left):
+            place = at[left]
+            same = self.keys[place] == keys[left]
+            found[left[same]] = place[same]
+            left = left[~same]
+            at[left] += 1
+            left = left[at[left] < stop[left]]
+        return found
+
+    def get(self, keys: np.ndarray) -> list[np.ndarray]:
+        """Values by key, 0 where it is missing."""
+        at = self.find(keys)
+        return [np.where(at >= 0, v[at], 0).astype(np.float64) if len(v) else np.zeros(len(at)) for v in self.values]
 
 
 def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -120,25 +159,46 @@ def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
 class KneserNey:
     """Both class models, built from the counts of the longest n-grams."""
 
-    def __init__(self, gram: list[str], n0: np.ndarray, n1: np.ndarray, order: int = ORDER) -> None:
-        self.order = order
-        codes = np.frombuffer("".join(gram).encode("utf-32-le"), "<u4").reshape(-1, order)
-        # Of each n-gram: its own key, its context's (all but the last) and its suffix's codes.
-        flat = _chain(codes.reshape(-1), order)
-        own = flat[order].reshape(-1, order)[:, -1]
-        context = flat[order - 1].reshape(-1, order)[:, -2] if order > 1 else own * np.uint64(0)
-        self.grams = _Table(own, n0, n1)
-        self.contexts = _Table(*_summed(context, n0, n1, n0 > 0, n1 > 0))
-        # Shared continuation counts: in how many longer n-grams does a shorter one end?
-        self.lower = []
-        for n in range(order - 1, 0, -1):
-            flat = _chain(codes.reshape(-1), n)
+    def __init__(self, codes: np.ndarray, n0: np.ndarray, n1: np.ndarray) -> None:
+        """``codes`` has a row of code points per n-gram."""
+        self.order = order = codes.shape[1]
+        self.grams = _Table(_keys(codes), n0, n1)
+        self.contexts = _Table(*_summed(_keys(codes[:, :-1]), n0, n1, n0 > 0, n1 > 0))
+        # Shared continuation counts: in how many longer n-grams does a shorter one end? Kept
+        # are the estimates of the n-grams that are there, and the share that each context
+        # leaves to the next lower order.
+        counts = []
+        for _ in range(order - 1):
             keys, first, times = np.unique(
-                flat[n].reshape(-1, codes.shape[1])[:, -1], return_index=True, return_counts=True
+                _keys(codes[:, 1:]), return_index=True, return_counts=True
             )
             codes = codes[first, 1:]
-            context = flat[n - 1].reshape(-1, codes.shape[1] + 1)[first, -2]
-            self.lower.insert(0, (_Table(keys, times), _Table(*_summed(context, times, times > 0))))
+            counts.insert(0, (keys, _keys(codes[:, :-1]), _keys(codes[:, 1:]), times))
+        self.lower = []
+        for keys, context, suffix, times in counts:
+            contexts, total, kinds = _summed(context, times, times > 0)
+            share = _Table(contexts, DISCOUNT * kinds / total)
+            below = self.lower[-1][0].get(suffix)[0] if self.lower else 1 / ALPHABET
+            where = np.searchsorted(contexts, context)
+            own = np.maximum(times - DISCOUNT, 0) + DISCOUNT * kinds[where] * below
+            self.lower.append((_Table(keys, own / total[where]), share))
+
+    def _shared(self, chain: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+        """Estimates of the highest order that both classes share, at the given places."""
+        p = np.ones(len(at))
+        left = np.arange(len(at))
+        for k in range(len(self.lower), 0, -1):
+            table, share = self.lower[k - 1]
+            place = table.find(chain[k][at[left]])
+            known = place >= 0
+            p[left[known]] *= table.values[0][place[known]]
+            left = left[~known]
+            if not len(left):
+                return p
+            place = share.find(chain[k - 1][at[left] - 1])
+            p[left] *= np.where(place >= 0, share.values[0][place], 1)
+        p[left] /= ALPHABET
+        return p
 
     def evidence(self, words: list[str]) -> np.ndarray:
         """Log-likelihood ratio, toxic to ordinary, of each word and its end."""
@@ -152,43 +212,46 @@ class KneserNey:
             real[stops - sizes + k] = False
         chain = _chain(codes, n)
         at = np.flatnonzero(real)
-        p = np.full(len(at), 1 / ALPHABET)
-        for k, (table, contexts) in enumerate(self.lower, 1):
-            (c,) = table.find(chain[k][at])
-            total, kinds = contexts.find(chain[k - 1][at - 1])
-            mixed = (np.maximum(c - DISCOUNT, 0) + DISCOUNT * kinds * p) / np.maximum(total, 1)
-            p = np.where(total > 0, mixed, p)
-        own = self.grams.find(chain[n][at])
-        *totals, kinds0, kinds1 = self.contexts.find(chain[n - 1][at - 1])
-        log = []
-        for c, total, kinds in zip(own, totals, (kinds0, kinds1), strict=True):
-            mixed = (np.maximum(c - DISCOUNT, 0) + DISCOUNT * kinds * p) / np.maximum(total, 1)
-            log.append(np.log(np.where(total > 0, mixed, p)))
-        return np.add.reduceat(log[1] - log[0], np.r_[0, np.cumsum(sizes - n + 1)[:-1]])
-
-
-def _features(model: KneserNey, texts: list[str | None], known: dict[str, float]) -> np.ndarray:
+        place = self.contexts.find(chain[n - 1][at - 1])
+        ratio = np.zeros(len(at))
+        # A context that neither class has leaves both to the shared estimate.
+        some = np.flatnonzero(place >= 0)
+        place, seen = place[some], at[some]
+        own = self.grams.get(chain[n][seen])
+        p = self._shared(chain, seen)
+        totals, kinds = self.contexts.values[:2], self.contexts.values[2:]
+        for sign, c, total, kind in zip((-1, 1), own, totals, kinds, strict=True):
+            total, kind = total[place].astype(np.float64), kind[place]
+            mixed = (np.maximum(c - DISCOUNT, 0) + DISCOUNT * kind * p) / np.maximum(total, 1)
+            ratio[some] += sign * np.log(np.where(total > 0, mixed, p))
+        return np.add.reduceat(ratio, np.r_[0, np.cumsum(sizes - n + 1)[:-1]])
+
+
+def _features(model: KneserNey, texts: list[str | None], known: dict[bytes, float]) -> np.ndarray:
     """Per text: evidence of the strongest word, mean of the three strongest, and per character."""
-    split = [(t or "").translate(_LOWER).split() for t in texts]
     out = np.zeros((len(texts), 3))
-    for k, words in enumerate(split):
-        if not words:
-            continue
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
-                new = list(set(words))
-            for j in range(0, len(new), 20_000):
-                part = new[j : j + 20_000]
-                known.update(zip(part, model.evidence(part).tolist(), strict=True))
-        each = np.fromiter(map(known.__getitem__, words), np.float64, len(words))
-        top = np.partition(each, -3)[-3:] if len(each) > 3 else each
-        out[k] = top.max(), top.sum() / 3, each.sum() / (sum(map(len, words)) + len(words))
+    for k, split in enumerate([words(t) for t in texts]):
+        new = set(split).difference(known)
+        if len(known) + len(new) > CACHED_WORDS:
+            known.clear()
+            new = set(split)
+        new = list(new)
+        for j in range(0, len(new), 20_000):
+            part = new[j : j + 20_000]
+            texts_ = [w.decode("utf-8", "replace") for w in part]
+            known.update(zip(part, model.evidence(texts_).tolist(), strict=True))
+        known[b""] = 0.0
+        size = sum(map(len, split)) + len(split) - split.count(b"")
+        if size:
+            each = np.fromiter(map(known.__getitem__, split), np.float64, len(split))
+            top = np.partition(each, -3)[-3:] if len(each) > 3 else each
+            out[k] = top.max(), top.sum() / 3, each.sum() / size
     return out
 
 
-def calibrate(features: np.ndarray, toxic: np.ndarray, ridge: float = 0.3) -> tuple[float, ...]:
+def calibrate(
+    features: np.ndarray, toxic: np.ndarray, weight: np.ndarray, ridge: float = 0.3
+) -> tuple[float, ...]:
     """Weights of a logistic curve over the features and a constant, by Newton's steps."""
     if not 0 < toxic.sum() < len(toxic):
         return PLAIN
@@ -198,54 +261,61 @@ def calibrate(features: np.ndarray, toxic: np.ndarray, ridge: float = 0.3) -> tu
     w = np.zeros(x.shape[1])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        curve = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty)
-        w -= np.clip(np.linalg.solve(curve, x.T @ (p - toxic) + penalty * w), -3, 3)
+        curve = (x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty)
+        w -= np.clip(np.linalg.solve(curve, x.T @ (weight * (p - toxic)) + penalty * w), -3, 3)
     raw = w[:-1] / spread
     return (*map(float, raw), float(w[-1] - raw @ middle))
 
 
-def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED):
+def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_PER_CLASS):
     """(model, weights): the models from most labelled rows, the curve from one more fold.
 
-    The tables collected here are bounded by the bounded sample of labelled documents. None
+    What is collected here is bounded by the bounded sample of labelled documents. None
     if the labels lack a class.
     """
     rows = labelled(docs, labels, limit)
-    table = grams(rows.where(F.col("part") != CALIBRATION)).toPandas()
-    n0, n1 = table["n0"].to_numpy(float), table["n1"].to_numpy(float)
+    table = grams(rows.where(F.col("part") != CALIBRATION)).select(
+        F.encode("gram", "UTF-32").alias("gram"), "n0", "n1"
+    ).toArrow()
+    n0, n1 = (np.asarray(table[c]).astype(np.float32) for c in ("n0", "n1"))
     if not n0.sum() or not n1.sum():
         return None
-    model = KneserNey(table["gram"].tolist(), n0, n1)
-    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    flat = [np.frombuffer(b"".join(c.to_pylist()), ">u4") for c in table["gram"].chunks]
+    del table
+    model = cloudpickle.dumps(KneserNey(np.concatenate(flat).reshape(-1, ORDER), n0, n1))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    del model, flat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = pickle.loads(shared.value), {}
         for b in batches:
             f = _features(model, b["text"].to_pylist(), known)
             yield pa.RecordBatch.from_arrays(
-                [b["toxic"].cast(pa.int32()), *map(pa.array, f.T.copy())],
-                names=["toxic", *FEATURES],
+                [b["toxic"].cast(pa.int32()), b["weight"], *map(pa.array, f.T.copy())],
+                names=["toxic", "weight", *FEATURES],
             )
 
-    held = rows.where(F.col("part") == CALIBRATION).select("toxic", "text")
-    found = held.mapInArrow(run, "toxic int, " + " double, ".join(FEATURES) + " double").toPandas()
+    held = rows.where(F.col("part") == CALIBRATION).select("toxic", "weight", "text")
+    found = held.mapInArrow(run, "toxic int, weight double, " + " double, ".join(FEATURES) + " double").toPandas()
     features = found[list(FEATURES)].to_numpy(float)
-    return shared, calibrate(features, found["toxic"].to_numpy(float))
+    return shared, calibrate(
+        features, found["toxic"].to_numpy(float), found["weight"].to_numpy(float)
+    )
 
 
 def score_toxicity(
-    docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED
+    docs: DataFrame, labels: DataFrame, limit: int = MAX_PER_CLASS
 ) -> DataFrame:
-    """``docs`` with ``__score``, 0 to 1, higher where a toxic label is likelier.
+    """``docs`` with ``own(docs, "score")``, 0 to 1, higher where a toxic label is likelier.
 
     Scores come from the text alone. Labels (``doc_id``, ``toxic``) teach outside the
     held-out fold only. A NULL or empty text, or one without words, has features of 0.
     Without labels of both classes all scores are 0. All columns of ``docs`` pass through
     under their own names; equal texts have equal scores; an empty table stays empty.
     """
-    trained = train(docs, labels, limit)
+    trained, name = train(docs, labels, limit), own(docs, "score")
     if trained is None:
-        return docs.withColumn("__score", F.lit(0.0))
+        return docs.withColumn(name, F.lit(0.0))
     shared, weights = trained
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,17 +329,17 @@ def score_toxicity(
                 scores.append(1 / (1 + np.exp(-z)))
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(np.concatenate([*scores, []]), pa.float64())],
-                names=[*b.schema.names, "__score"],
+                names=[*b.schema.names, name],
             )
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    return docs.mapInArrow(run, ", ".join([*kinds, "__score double"]))
+    return docs.mapInArrow(run, ", ".join([*kinds, f"`{name}` double"]))
 
 
 def keep_ordinary(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, all columns as they are."""
     scored = score_toxicity(docs, labels)
-    return scored.where("__score < 0.5").select(*[f"`{c}`" for c in docs.columns])
+    return scored.where(F.col(own(docs, "score")) < 0.5).select(*[f"`{c}`" for c in docs.columns])
 
 
 def op4_toxicity(spark, sf_dir) -> DataFrame:
