@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import fold, own
+from headway.llm.common import fold, own, stage
 from headway.llm.shingles import FOLDED, mix
 
 ORDER, DISCOUNT = 8, 0.75
@@ -57,7 +57,8 @@ def labelled(docs: DataFrame, labels: DataFrame, limit: int = MAX_PER_CLASS) ->
     weight = F.when(F.col("toxic") == 1, weight[1]).otherwise(weight[0])
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(1 << 20)
     known = known.withColumn("weight", weight).where(place * F.col("weight") < 1)
-    return docs.select("doc_id", "text").join(known, "doc_id").select(
+    # The sample is bounded, so its ids may go to every task.
+    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(
         "part", "toxic", "weight", F.coalesce("text", F.lit("")).alias("text")
     )
 
@@ -273,7 +274,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_PER_CLASS):
     What is collected here is bounded by the bounded sample of labelled documents. None
     if the labels lack a class.
     """
-    rows = labelled(docs, labels, limit)
+    rows = stage(labelled(docs, labels, limit), "labelled")
     table = grams(rows.where(F.col("part") != CALIBRATION)).select(
         F.encode("gram", "UTF-32").alias("gram"), "n0", "n1"
     ).toArrow()
