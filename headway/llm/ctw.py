@@ -6,9 +6,10 @@ how well either would have coded the training text, which follows from counts al
 model is a table of byte n-gram counts, gathered from all training documents, plus one
 bottom-up pass over contexts.
 
-Documents are read in blocks of bounded size. A block sends its distinct n-grams and words,
-gets their values back through joins, and scores its documents; the model as a whole is
-never sent to any task.
+Documents are read in blocks of bounded size. Each block sends its distinct n-grams and words
+to the tasks that own them, one packed list per owner, and gets their values back in the
+same order; the model as a whole is never sent to any task. There are as many owners as keep
+what one of them holds bounded, and no key is hot: a block names it once.
 """
 
 from __future__ import annotations
@@ -17,9 +18,8 @@ import pickle
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.common import fold, stage
@@ -33,12 +33,14 @@ STEM = DEPTH - 2
 #: Stands before a text and after it; no byte of UTF-8 has this value.
 EDGE = 255
 #: Bytes of text in a block, unless one document is longer.
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
 #: Places handled at a time; codes up to this size are ranked by a table, others by sorting.
-PART, DENSE = 1_000_000, 20_000_000
+PART, DENSE = 500_000, 16_000_000
+#: Keys that one owner holds, about.
+OWNED = 3_000_000
 
 _TEXT, _GRAM, _WORD = 0, 1, 2
-_FEATURES = "block long, kind int, key long, n long, payload binary"
+_FEATURES = "block long, kind int, owner int, n long, payload binary"
 _SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
     "base_score double, score double"
@@ -60,36 +62,43 @@ def byte_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = np.array([len(t) + 1 for t in texts])
     data = np.frombuffer(b"".join([pad * DEPTH + t + pad for t in texts]), np.uint8)
     starts = np.r_[0, np.cumsum(sizes)[:-1]]
-    at = np.ones(len(data), bool)
+    coded = np.ones(len(data), bool)
     for k in range(DEPTH):
-        at[starts + DEPTH * np.arange(len(texts)) + k] = False
-    at = np.flatnonzero(at).astype(np.int32)
+        coded[starts + DEPTH * np.arange(len(texts)) + k] = False
     symbols = np.unique(data)
-    code = np.zeros(256, np.int64)
+    code = np.zeros(256, np.uint8)
     code[symbols] = np.arange(len(symbols))
-    many = len(symbols)
-    keys, place = np.zeros(1, np.int64), np.zeros(len(at), np.int32)
-    parts = [slice(k, k + PART) for k in range(0, len(at), PART)]
+    code, many = code[data], len(symbols)
+    keys, place = np.zeros(1, np.int64), np.zeros(len(data), np.int32)
+    # Places before a text go along, with whatever numbers, and are left out in the end.
+    parts = [(k, min(k + PART, len(data))) for k in range(DEPTH, len(data), PART)]
     for back in (*range(1, DEPTH + 1), 0):
+        size = len(keys) * many
 
-        def codes(part: slice, place=place, back=back) -> np.ndarray:
-            return place[part].astype(np.int64) * many + code[data[at[part] - back]]
+        def codes(start: int, stop: int, place=place, back=back, size=size) -> np.ndarray:
+            kind = np.int32 if size < 1 << 31 else np.int64
+            return place[start:stop].astype(kind) * kind(many) + code[start - back : stop - back]
 
-        size = len(keys) * many
         if size <= DENSE:
             there = np.zeros(size, bool)
-            for part in parts:
-                there[codes(part)] = True
+            for start, stop in parts:
+                there[codes(start, stop)[coded[start:stop]]] = True
             unique = np.flatnonzero(there)
             rank = np.cumsum(there, dtype=np.int32)
-            for part in parts:
-                place[part] = rank[codes(part)] - 1
+            rank -= 1
+            np.maximum(rank, 0, out=rank)
+            for start, stop in parts:
+                place[start:stop] = rank[codes(start, stop)]
+            del there, rank
         else:
-            unique = np.unique(np.concatenate([np.unique(codes(part)) for part in parts]))
-            for part in parts:
-                place[part] = np.searchsorted(unique, codes(part))
+            unique = np.unique(np.concatenate(
+                [np.unique(codes(start, stop)[coded[start:stop]]) for start, stop in parts]
+            ))
+            for start, stop in parts:
+                found = np.searchsorted(unique, codes(start, stop))
+                place[start:stop] = np.minimum(found, len(unique) - 1)
         keys = (keys[unique // many] << 8) | symbols[unique % many].astype(np.int64)
-    return keys, place, starts
+    return keys, place[coded], starts
 
 
 def word_keys(data: bytes) -> np.ndarray:
@@ -101,53 +110,88 @@ def word_keys(data: bytes) -> np.ndarray:
     return hash_spans(b, np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)).view(np.int64)
 
 
-def _block_features(block: int, ids: list, held: list, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+def _pack(*arrays: np.ndarray) -> bytes:
+    raw = pickle.dumps(arrays, protocol=5)
+    return pickle.dumps((len(raw), pa.compress(raw, codec="zstd", asbytes=True)))
+
+
+def _unpack(packed: bytes) -> tuple:
+    size, data = pickle.loads(packed)
+    return pickle.loads(pa.decompress(data, size, codec="zstd", asbytes=True))
+
+
+def _owners(kind: int, keys: np.ndarray, many: int) -> np.ndarray:
+    """Who owns each key: n-grams of one stem have one owner."""
+    by = keys >> (8 * (1 + DEPTH - STEM)) if kind == _GRAM else keys
+    return (mix(by.view(np.uint64)) % np.uint64(many)).astype(np.int32)
+
+
+def _dealt(kind: int, keys: np.ndarray, many: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(owner, places in ``keys`` of what it owns), in the order of the keys."""
+    owners = _owners(kind, keys, many)
+    order = np.argsort(owners, kind="stable")
+    edges = np.searchsorted(owners[order], np.arange(many + 1))
+    for owner in range(many):
+        if edges[owner] < edges[owner + 1]:
+            yield owner, order[edges[owner] : edges[owner + 1]]
+
+
+def _block_features(
+    block: int, ids: list, held: list, texts: list[bytes], many: int
+) -> Iterator[pa.RecordBatch]:
     learned = ~np.array(held)
 
-    def rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        m = len(keys)
+    def rows(kind: int, found: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        owner, n, payload = zip(*found, strict=True)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(m, block, np.int64)), pa.array(np.full(m, kind, np.int32)),
-             pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64)), pa.nulls(m, pa.binary())],
-            names=["block", "kind", "key", "n", "payload"],
+            [pa.array([block] * len(found)), pa.array([kind] * len(found), pa.int32()),
+             pa.array(owner, pa.int32()), pa.array(n, pa.int64()), pa.array(payload, pa.binary())],
+            names=["block", "kind", "owner", "n", "payload"],
         )
 
-    keys, place, starts = byte_grams(texts)
-    weight = np.repeat(learned, np.diff(np.r_[starts, len(place)]))
-    yield rows(_GRAM, keys, np.bincount(place[weight], minlength=len(keys)))
-    del place, weight
-    each = [word_keys(t) for t in texts]
-    all_words = np.concatenate(each)
-    weight = np.repeat(learned, [len(w) for w in each])
-    keys, place = np.unique(all_words, return_inverse=True)
-    yield rows(_WORD, keys, np.bincount(place[weight], minlength=len(keys)))
-    yield rows(_WORD, np.array([END_KEY]), np.array([learned.sum()]))
-    raw = pickle.dumps((ids, held, texts))
-    packed = pickle.dumps((len(raw), pa.compress(raw, codec="zstd", asbytes=True)))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([block]), pa.array([_TEXT], pa.int32()), pa.array([0]), pa.array([len(ids)]),
-         pa.array([packed], pa.binary())],
-        names=["block", "kind", "key", "n", "payload"],
-    )
+    def dealt(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        n = n.astype(np.uint32)
+        return rows(kind, [
+            (owner, len(at), _pack(keys[at], n[at])) for owner, at in _dealt(kind, keys, many)
+        ])
+
+    for kind, of in ((_GRAM, byte_grams), (_WORD, block_words)):
+        keys, place, starts = of(texts)
+        weight = np.repeat(learned, np.diff(np.r_[starts, len(place)]))
+        n = np.bincount(place[weight], minlength=len(keys))
+        del place, weight
+        yield dealt(kind, keys, n)
+    yield rows(_TEXT, [(0, len(ids), _pack(ids, held, texts))])
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
+def block_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, place, starts) of a block's words, each text's end included."""
+    each = [np.append(word_keys(t), END_KEY) for t in texts]
+    keys, place = np.unique(np.concatenate(each), return_inverse=True)
+    return keys, place, np.r_[0, np.cumsum([len(w) for w in each])[:-1]]
 
-    block = TaskContext.get().partitionId() << 32
-    ids, held, texts, size = [], [], [], 0
-    for b in batches:
-        for doc_id, out, text in zip(b["doc_id"].to_pylist(), b["held"].to_pylist(), b["text"], strict=True):
-            data = (text.as_py() or "").encode("utf-8").translate(_LOWERED)
-            if size and size + len(data) > BLOCK_BYTES:
-                yield from _block_features(block, ids, held, texts)
-                block, ids, held, texts, size = block + 1, [], [], [], 0
-            ids.append(doc_id)
-            held.append(out)
-            texts.append(data)
-            size += len(data) + 1
-    if ids:
-        yield from _block_features(block, ids, held, texts)
+
+def _gather(many: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        block = TaskContext.get().partitionId() << 32
+        ids, held, texts, size = [], [], [], 0
+        for b in batches:
+            known = zip(b["doc_id"].to_pylist(), b["held"].to_pylist(), b["text"], strict=True)
+            for doc_id, out, text in known:
+                data = (text.as_py() or "").encode("utf-8").translate(_LOWERED)
+                if size and size + len(data) > BLOCK_BYTES:
+                    yield from _block_features(block, ids, held, texts, many)
+                    block, ids, held, texts, size = block + 1, [], [], [], 0
+                ids.append(doc_id)
+                held.append(out)
+                texts.append(data)
+                size += len(data) + 1
+        if ids:
+            yield from _block_features(block, ids, held, texts, many)
+
+    return run
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -156,7 +200,7 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     shift = np.log(x)
     for k in range(1, 8):
         shift = shift + np.log(x + k)
-    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
+    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7)
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - shift
 
 
@@ -173,32 +217,27 @@ def _weighted(kt: np.ndarray, children: np.ndarray) -> np.ndarray:
     return np.logaddexp(kt, children) - np.log(2)
 
 
-def _tree(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """The contexts below one stem, which is the nearest bytes.
+def _trees(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """The contexts below whole stems, of which ``grams`` has all n-grams, in order.
 
-    Per n-gram (kind 0): its key and the probabilities of its eight decisions as mixed so
-    far. Per node of the stem's own context (kind 1): decision node, log weighted
-    probability, and counts.
+    Returns per n-gram the probabilities of its eight decisions as mixed so far, and per node
+    of the stems' own contexts: stem, decision node, log weighted probability, and counts.
     """
-    pdf = pdf.sort_values("key")
-    grams, n = pdf["key"].to_numpy(), pdf["n"].to_numpy(np.float64)
+    n = n.astype(np.float64)
     x = grams & 255
     shift = np.arange(8)
     node = (1 << shift) | (x[:, None] >> (8 - shift))
     bit = (x[:, None] >> (7 - shift)) & 1
-    levels = []
+    mixed = weighted = below = None
     for depth in range(DEPTH, STEM - 1, -1):  # deepest first
         context = grams >> (8 * (1 + DEPTH - depth))
-        place = np.unique(context, return_inverse=True)[1]
+        place = np.cumsum(np.r_[0, context[1:] != context[:-1]])  # they are in order
         unique, inverse = np.unique((place[:, None] * 256 + node).ravel(), return_inverse=True)
-        counts = [
+        zeros, ones = (
             np.bincount(inverse, (n[:, None] * (bit == v)).ravel(), len(unique)) for v in (0, 1)
-        ]
-        kt = log_kt(*counts)
-        levels.append((inverse.reshape(bit.shape), counts, kt))
-    mixed = weighted = None
-    below = None
-    for inverse, (zeros, ones), kt in levels:
+        )
+        kt = log_kt(zeros, ones)
+        inverse = inverse.reshape(bit.shape)
         own = (np.where(bit, ones[inverse], zeros[inverse]) + 0.5) / (zeros + ones + 1)[inverse]
         if mixed is None:
             mixed, weighted = own, kt
@@ -206,19 +245,47 @@ def _tree(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
             # Each deeper node has one parent: the same decision, one context byte less.
             parent = np.zeros(len(weighted), np.int64)
             parent[below.ravel()] = inverse.ravel()
-            children = np.bincount(parent, weighted, len(kt))
-            weighted = _weighted(kt, children)
+            weighted = _weighted(kt, np.bincount(parent, weighted, len(kt)))
             share = np.exp(kt - np.log(2) - weighted)[inverse]
             mixed = share * own + (1 - share) * mixed
         below = inverse
-    inverse, (zeros, ones), _ = levels[-1]
-    at = np.zeros(len(zeros), np.int64)
-    at[inverse.ravel()] = node.ravel()
-    rows = pd.DataFrame({"kind": 0, "key": grams, "p": list(mixed)})
-    nodes = pd.DataFrame(
-        {"kind": 1, "key": at, "p": list(np.c_[weighted, zeros, ones])}
-    ).assign(stem=key[0])
-    return pd.concat([rows.assign(stem=key[0]), nodes])[["kind", "stem", "key", "p"]]
+    stems = np.zeros(len(zeros), np.int64)
+    stems[below.ravel()] = np.repeat(grams >> (8 * (1 + DEPTH - STEM)), 8)
+    return mixed, (stems, unique & 255, weighted, zeros, ones)
+
+
+def _merged(payloads) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of several packed lists, in order, and their summed counts."""
+    keys, counts = zip(*[_unpack(p) for p in payloads], strict=True)
+    keys, counts = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(counts.astype(np.int64), first)
+
+
+def _spans(keys: np.ndarray, limit: int = 200_000) -> Iterator[slice]:
+    """Slices of about so many n-grams that keep stems whole."""
+    stems, start = keys >> (8 * (1 + DEPTH - STEM)), 0
+    while start < len(keys):
+        at = min(start + limit, len(keys)) - 1
+        stop = int(np.searchsorted(stems, stems[at], "right"))
+        yield slice(start, stop)
+        start = stop
+
+
+def _count_owned(key: tuple, table: pa.Table) -> pa.Table:
+    """Of one owner's words: how many training tokens, and how many different ones."""
+    _, n = _merged(table["payload"].to_pylist())
+    return pa.table({"tokens": [int(n.sum())], "words": [int((n > 0).sum())]})
+
+
+def _plant(key: tuple, table: pa.Table) -> pa.Table:
+    """Nodes of the own contexts of an owner's stems."""
+    keys, n = _merged(table["payload"].to_pylist())
+    found = [_trees(keys[part], n[part])[1] for part in _spans(keys)]
+    columns = [np.concatenate(c) for c in zip(*found, strict=True)]
+    return pa.table(dict(zip(("context", "node", "weighted", "zeros", "ones"), columns, strict=True)))
 
 
 def _upper(nodes: DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -240,70 +307,72 @@ def _upper(nodes: DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         order = np.argsort(keys)
         share, one = np.exp(kt - np.log(2) - weighted), (ones + 0.5) / (zeros + ones + 1)
         tables.append((keys[order], share[order], one[order]))
-        nodes = parents.sparkSession.createDataFrame(table.assign(weighted=weighted))
+        nodes = parents.sparkSession.createDataFrame(table.assign(weighted=weighted), parents.schema)
     return tables
 
 
-def code_lengths(grams: DataFrame) -> DataFrame:
-    """(key, value): log10 probability of each n-gram's last byte after its context.
+def code_lengths(keys: np.ndarray, n: np.ndarray, tables: list) -> np.ndarray:
+    """log10 probability of each n-gram's last byte after its context.
 
-    ``grams(key, n)`` holds training counts; an n-gram with 0 is priced as unseen.
+    ``keys`` are in order and have all n-grams of their stems; one with a count of 0 is
+    priced as unseen.
     """
-    tree = stage(
-        grams.groupBy(F.shiftright("key", 8 * (1 + DEPTH - STEM)).alias("stem")).applyInPandas(
-            _tree, "kind int, stem long, key long, p array<double>"
-        ),
-        "context-tree",
-        by=("kind",),
-    )
-    nodes = tree.where("kind = 1").select(
-        F.col("stem").alias("context"), F.col("key").alias("node"),
-        *[F.col("p")[k].alias(c) for k, c in enumerate(("weighted", "zeros", "ones"))],
-    )
-    tables = grams.sparkSession.sparkContext.broadcast(_upper(nodes))
+    shift, out = np.arange(8), []
+    for part in _spans(keys):
+        key = keys[part]
+        p = _trees(key, n[part])[0]
+        x = (key & 255)[:, None]
+        node, bit = (1 << shift) | (x >> (8 - shift)), (x >> (7 - shift)) & 1
+        for back, (known, share, one) in enumerate(tables, 1):
+            wanted = (key >> (8 * (1 + DEPTH - STEM + back)))[:, None] * 256 + node
+            at = np.searchsorted(known, wanted)
+            own = np.where(bit, one[at], 1 - one[at])
+            p = share[at] * own + (1 - share[at]) * p
+        out.append(np.log10(p).sum(axis=1))
+    return np.concatenate(out)
+
+
+def _answer(tables):
+    """Per block and owner: the values of the keys that the block sent, in its order."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        payloads = table["payload"].to_pylist()
+        keys, n = _merged(payloads)
+        values = code_lengths(keys, n, tables.value) if key[0].as_py() == _GRAM else n
+        answers = [_pack(values[np.searchsorted(keys, _unpack(p)[0])]) for p in payloads]
+        return pa.table([table["block"], table["kind"], table["owner"], pa.array(answers, pa.binary())],
+                        names=["block", "kind", "owner", "payload"])
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shift = np.arange(8)
-        for b in batches:
-            key = np.asarray(b["key"])
-            x = (key & 255)[:, None]
-            node, bit = (1 << shift) | (x >> (8 - shift)), (x >> (7 - shift)) & 1
-            p = np.asarray(b["p"].flatten()).reshape(len(key), 8)
-            for back, (keys, share, one) in enumerate(tables.value, 1):
-                wanted = (key >> (8 * (1 + DEPTH - STEM + back)))[:, None] * 256 + node
-                at = np.searchsorted(keys, wanted)
-                w, own = share[at], np.where(bit, one[at], 1 - one[at])
-                p = w * own + (1 - w) * p
-            yield pa.RecordBatch.from_arrays(
-                [b["key"], pa.array(np.log10(p).sum(axis=1))], names=["key", "value"]
-            )
-
-    return tree.where("kind = 0").select("key", "p").mapInArrow(finish, "key long, value double")
-
-
-def _score_blocks(train_tokens: int, distinct: int):
+    return run
+
+
+def _score_blocks(train_tokens: int, distinct: int, many: int):
     total = np.log10(train_tokens + distinct + 1)
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = []
-        for packed in left["payload"].to_pylist():
-            size, data = pickle.loads(packed)
-            ids, held, texts = pickle.loads(pa.decompress(data, size, codec="zstd", asbytes=True))
-            kind, key, value = (np.asarray(right[c]) for c in ("kind", "key", "value"))
-            grams, words = ((key[kind == k], value[kind == k]) for k in (_GRAM, _WORD))
-            grams, words = ((k[o], v[o]) for k, v in (grams, words) for o in [np.argsort(k)])
-            _, place, starts = byte_grams(texts)
-            score = np.add.reduceat(grams[1][place], starts)
-            for doc_id, out, text, s in zip(ids, held, texts, score.tolist(), strict=True):
-                own = np.append(word_keys(text), END_KEY)
-                c = words[1][np.searchsorted(words[0], own)]
-                base = float((np.log10(c + 1) - total).sum())
-                rows.append((doc_id, out, len(own), int((c > 0).sum()), train_tokens, base, s))
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        ids, held, texts = next(_unpack(r["payload"]) for r in rows if r["kind"] == _TEXT)
+        sent = {(r["kind"], r["owner"]): r["payload"] for r in rows}
+
+        def values(kind: int, keys: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(keys))
+            for owner, at in _dealt(kind, keys, many):
+                out[at] = _unpack(sent[kind, owner])[0]
+            return out
+
+        keys, place, starts = byte_grams(texts)
+        score = np.add.reduceat(values(_GRAM, keys)[place], starts)
+        del place
+        keys, place, starts = block_words(texts)
+        counts = values(_WORD, keys)
+        base = np.add.reduceat((np.log10(counts + 1) - total)[place], starts)
+        known = np.add.reduceat((counts > 0).astype(np.int64)[place], starts)
+        n = np.diff(np.r_[starts, len(place)])
+        columns = (ids, held, n, known, np.full(len(ids), train_tokens), base, score)
         kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
         names = [f.split()[0] for f in _SCORES.split(", ")]
-        columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
         return pa.table(
-            [pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=names
+            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names
         )
 
     return run
@@ -319,30 +388,26 @@ def score_documents(docs: DataFrame) -> DataFrame:
     repeat. Without training text all counts are 0. Other columns are not used. An empty
     table gives an empty table. Words are told apart by 64-bit hashes.
     """
-    features = stage(
-        docs.select(
-            F.col("doc_id").cast("long"), (fold(FOLDS) == HELD_OUT).alias("held"), "text"
-        ).mapInArrow(_gather, _FEATURES),
-        "lm-features",
-        by=("kind",),
+    asked = docs.select(F.col("doc_id").cast("long"), (fold(FOLDS) == HELD_OUT).alias("held"), "text")
+    # A byte of text sends less than one key in ten to an owner.
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    many = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // (10 * OWNED) + 1)
+    features = stage(asked.mapInArrow(_gather(many), _FEATURES), "lm-features", by=("kind",))
+    owned = lambda k: features.where(F.col("kind") == k).groupBy("owner")
+    train, distinct = owned(_WORD).applyInArrow(_count_owned, "tokens long, words long").agg(
+        F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))
+    ).first()
+    nodes = owned(_GRAM).applyInArrow(
+        _plant, "context long, node long, weighted double, zeros double, ones double"
     )
-    each = {k: features.where(F.col("kind") == k).select("block", "key", "n") for k in (_GRAM, _WORD)}
-    total = F.sum("n").over(Window.partitionBy("key"))
-    first = F.row_number().over(Window.partitionBy("key").orderBy("block")) == 1
-    words = stage(
-        each[_WORD].select("block", "key", total.alias("n"), first.alias("first")), "lm-words"
+    tables = docs.sparkSession.sparkContext.broadcast(_upper(stage(nodes, "lm-nodes")))
+    texts = features.where(F.col("kind") == _TEXT).select("block", "kind", "owner", "payload")
+    answers = features.where(F.col("kind") != _TEXT).groupBy("kind", "owner").applyInArrow(
+        _answer(tables), "block long, kind int, owner int, payload binary"
     )
-    train, distinct = words.where("first").agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))
-    ).first()
-    prices = code_lengths(stage(each[_GRAM].groupBy("key").agg(F.sum("n").alias("n")), "lm-grams"))
-    found = each[_GRAM].select("block", "key").join(prices, "key").select(
-        "block", F.lit(_GRAM).alias("kind"), "key", "value"
-    ).union(words.select("block", F.lit(_WORD), "key", F.col("n").cast("double")))
-    texts = features.where(F.col("kind") == _TEXT).select(F.col("block").alias("own"), "payload")
     return (
-        texts.groupBy("own").cogroup(found.groupBy("block"))
-        .applyInArrow(_score_blocks(train, distinct), _SCORES)
+        texts.union(answers.select("block", "kind", "owner", "payload")).groupBy("block")
+        .applyInArrow(_score_blocks(train, distinct, many), _SCORES)
     )
 
 

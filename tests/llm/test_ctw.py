@@ -63,6 +63,7 @@ def test_scores_follow_the_definition(spark, block, monkeypatch):
     monkeypatch.setattr(op, "BLOCK_BYTES", block)
     monkeypatch.setattr(op, "DENSE", 3000 if block == 300 else op.DENSE)
     monkeypatch.setattr(op, "PART", 100 if block == 300 else op.PART)
+    monkeypatch.setattr(op, "OWNED", 20 if block == 300 else op.OWNED)
     ids, texts = corpus()
     keep = [k for k, t in enumerate(texts) if len(t or "") < 1000]
     ids, texts = [ids[k] for k in keep], [texts[k] for k in keep]
@@ -86,10 +87,16 @@ def test_scores_follow_the_definition(spark, block, monkeypatch):
 
 def test_probabilities_sum_to_one(spark):
     """Over all last bytes of one context, in an n-gram table that holds them."""
-    context = (ord("a") << 32) | (ord("b") << 24) | (ord("c") << 16) | (ord("d") << 8) | ord("e")
-    grams = [((context << 8) | x, 5 * (x == 120) + (x == 121)) for x in range(256)]
-    rows = op.code_lengths(spark.createDataFrame(grams, "key long, n long")).collect()
-    assert sum(10**r.value for r in rows) == pytest.approx(1, rel=1e-9)
+    context = int.from_bytes(b"abcde", "big")
+    keys = (context << 8) | np.arange(256)
+    n = np.where(keys & 255 == 120, 5, np.where(keys & 255 == 121, 1, 0))
+    columns = op._trees(keys, n)[1]
+    nodes = spark.createDataFrame(
+        list(zip(*[c.tolist() for c in columns], strict=True)),
+        "context long, node long, weighted double, zeros double, ones double",
+    )
+    prices = op.code_lengths(keys, n, op._upper(nodes))
+    assert (10**prices).sum() == pytest.approx(1, rel=1e-9)
 
 
 def test_log_gamma():
