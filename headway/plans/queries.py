@@ -654,13 +654,9 @@ def observed_rows(w: Warehouse) -> DataFrame:
     return w.spark.createDataFrame([(seen.get["rows"],)], "rows long")
 
 
-def _last_day(w: Warehouse):
-    return w.silver().agg(F.max("service_date")).first()[0]
-
-
 @query
 def dq_document(w: Warehouse) -> DataFrame:
-    path, day = scratch_path(w.spark, "dq"), _last_day(w)
+    path, day = scratch_path(w.spark, "dq"), _last_day(w.silver())
     write_dq(quality.dq_rules(gold.day(w.silver(), day), min_rows=DQ_MIN_ROWS), path, str(day))
     schema = "rule string, passed boolean, observed string, expected string, value double, dt string"
     return w.spark.read.schema(schema).json(path)
@@ -668,7 +664,7 @@ def dq_document(w: Warehouse) -> DataFrame:
 
 @query
 def backtest_document(w: Warehouse) -> DataFrame:
-    path, day = scratch_path(w.spark, "backtest"), _last_day(w)
+    path, day = scratch_path(w.spark, "backtest"), _last_day(w.silver())
     metrics = backtest.backtest(w.predictions(), w.silver())
     write_backtest(metrics, path, str(day))
     fields = ", ".join(f"{n} {t}" for n, t in metrics.dtypes)
