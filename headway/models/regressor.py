@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway import schemas as S
 from headway.functions.columns import feature_value, fill_rate
 from headway.operators.live import request_features
+from headway.session import shared_dir
 
 
 @dataclass(frozen=True)
@@ -57,6 +58,20 @@ def _fit(df: DataFrame, params: TrainParams) -> PipelineModel:
     return Pipeline(stages=[_assembler(), trees]).fit(df)
 
 
+def _first_trees(spark: SparkSession, model: PipelineModel, count: int) -> PipelineModel:
+    """The model after ``count`` rounds: what a fit of so many rounds with its seed gives."""
+    assembler, trees = model.stages
+    full, gateway = trees._java_obj, spark.sparkContext._gateway
+    kind = gateway.jvm.org.apache.spark.ml.regression
+    parts = full.trees(), full.treeWeights()
+    kept = [gateway.new_array(t, count) for t in (kind.DecisionTreeRegressionModel, gateway.jvm.double)]
+    for to, values in zip(kept, parts):
+        for i in range(count):
+            to[i] = values[i]
+    cut = kind.GBTRegressionModel(full.uid(), *kept, full.numFeatures())
+    return PipelineModel([assembler, trees._copyValues(GBTRegressionModel(cut))])
+
+
 def _vectors(df: DataFrame) -> DataFrame:
     rows = _with_filled(df.where(F.col(S.TARGET).isNotNull()))
     return rows.select(F.col(S.TARGET).cast("double").alias(S.TARGET), *_FILLED.values())
@@ -67,9 +82,12 @@ def train(df: DataFrame, params: TrainParams = TrainParams(),
     """Fit on ``df``. With ``validation``, keep as many trees as do best on it.
 
     MLlib's own validation stop gives up at the first small step, so the full number of
-    rounds is fitted, every prefix is scored on the validation rows, and the best prefix
-    is fitted again with the same seed.
+    rounds is fitted, every prefix is scored on the validation rows, and the model is cut
+    to the best one. Hundreds of rounds need a checkpoint folder, or their lineage piles up.
     """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     rows = _vectors(df).persist()
     try:
         model = _fit(rows, params)
@@ -78,7 +96,7 @@ def train(df: DataFrame, params: TrainParams = TrainParams(),
         held = model.stages[0].transform(_vectors(validation))
         errors = model.stages[1].evaluateEachIteration(held, "absolute")
         best = min(range(len(errors)), key=errors.__getitem__) + 1
-        return model if best == params.rounds else _fit(rows, replace(params, rounds=best))
+        return _first_trees(df.sparkSession, model, best)
     finally:
         rows.unpersist()
 

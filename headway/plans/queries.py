@@ -428,26 +428,23 @@ def time_split(w: Warehouse) -> DataFrame:
     return backtest.time_split(w.gold()).select(*ROW, "split")
 
 
-# Small forests: the query shows the whole path, not a tuned model.
-QUICK = regressor.TrainParams(max_depth=3, rounds=5)
-
-
-def _quick_model(rows: DataFrame):
+def _model(rows: DataFrame):
+    """Fitted with the published settings."""
     split = backtest.time_split(rows)
-    return regressor.train(split.where("split = 'train'"), QUICK,
-                           split.where("split = 'validation'"))
+    return regressor.train(split.where("split = 'train'"),
+                           validation=split.where("split = 'validation'"))
 
 
 @query
 def gbt_predictions(w: Warehouse) -> DataFrame:
-    scored = regressor.predict(backtest.time_split(w.gold()), _quick_model(w.gold()))
+    scored = regressor.predict(backtest.time_split(w.gold()), _model(w.gold()))
     return rounded(scored.select(*ROW, "split", S.TARGET, "predicted_delay_sec"), 1)
 
 
 @query
 def gbt_scores(w: Warehouse) -> DataFrame:
     stops, routes, priors, now = _live_inputs(w)
-    scored = regressor.score(_requests(w), stops, routes, priors, _quick_model(w.gold()), now)
+    scored = regressor.score(_requests(w), stops, routes, priors, _model(w.gold()), now)
     return rounded(
         scored.select("route_id", "stop_id", "predicted_delay_sec",
                       F.col("delay_t_minus_15").alias("baseline_delay_sec"), "feature_fill_rate"),
