@@ -15,7 +15,7 @@ from headway.operators.gold import build_features, day
 from headway.operators.quality import dq_rules
 from headway.operators.silver import build_silver, upsert_silver
 from headway.session import stage, use_utc
-from headway.sinks.tables import with_row_count, write_dq, write_partitions
+from headway.sinks.tables import reject_undated, with_row_count, write_dq, write_partitions
 from headway.sources.tables import read_bronze, read_dim, read_silver
 
 
@@ -60,15 +60,6 @@ def build_day(spark: SparkSession, cfg: Config, run_date: date) -> DataFrame:
     return build_silver(updates, **dims, zone=cfg.zone, leads=True)
 
 
-def reject_undated(staged: DataFrame, path: str, run_date: date) -> int:
-    """Rows whose start date is no date go to ``path`` under ``dt=``; returns their number."""
-    bad = staged.where(F.col("service_date").isNull()).withColumn("dt", F.lit(str(run_date)))
-    n = bad.count()
-    if n:
-        write_partitions(bad, path, ["dt"])
-    return n
-
-
 def gate(spark: SparkSession, cfg: Config, run_date: date, touched: Sequence[date]
          ) -> dict[date, list[str]]:
     """Failed rules per date, and the day's document written for the failed ones too."""
@@ -101,7 +92,7 @@ def run_day(spark: SparkSession, cfg: Config, run_date: str | date,
     use_utc(spark)
     run_date = resolve_run_date(run_date)
     staged = stage(build_day(spark, cfg, run_date), "day")
-    rejected = reject_undated(staged, cfg.rejects or f"{cfg.silver}_rejects", run_date)
+    rejected = reject_undated(staged, cfg.rejects or f"{cfg.silver}_rejects", dt=str(run_date))
     touched = upsert_silver(spark, cfg.silver, staged.where(F.col("service_date").isNotNull()))
     if not touched:
         return RunResult(

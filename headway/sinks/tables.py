@@ -28,6 +28,17 @@ def write_partitions(df: DataFrame, path: str, by: Sequence[str], files: int | N
     )
 
 
+def reject_undated(staged: DataFrame, path: str, **run: str | int) -> int:
+    """Rows whose start date is no date go to ``path`` under ``run``; returns their number."""
+    bad = staged.where(F.col("service_date").isNull()).withColumns(
+        {name: F.lit(value) for name, value in run.items()}
+    )
+    n = bad.count()
+    if n:
+        write_partitions(bad, path, list(run))
+    return n
+
+
 def with_row_count(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     """Count rows while they are written, instead of running the plan a second time."""
     seen = Observation(name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,9 @@ from headway.functions.columns import blank_to_null, number, plausible
 from headway.operators.feed import PACKED_SCHEMA, parse_rows, unpack_rows
 from headway.operators.live import prior_state, route_state_batch, stop_state
 from headway.operators.silver import build_silver, upsert_silver
-from headway.sinks.tables import upsert
+from headway.sinks.tables import reject_undated, upsert
+
+log = logging.getLogger(__name__)
 
 #: Hash buckets of a state table unless told otherwise; a layout choice, kept with the table.
 STATE_BUCKETS = 64
@@ -128,18 +131,26 @@ def read_state(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 
 def start_silver(stream: DataFrame, path: str, checkpoint: str, dims: Mapping[str, DataFrame],
-                 trigger: Mapping[str, object] | None = None, zone: str = "UTC") -> StreamingQuery:
+                 trigger: Mapping[str, object] | None = None, zone: str = "UTC",
+                 rejects: str | None = None) -> StreamingQuery:
     """Streaming silver: each micro-batch is collapsed and upserted like a nightly run.
 
     After any number of triggers the table is what one build over all their rows gives.
-    Rows whose start date is no date are left out.
+    Rows whose start date is no date go to ``rejects`` (else ``path`` and ``_rejects``) under
+    ``batch=``, the checkpoint's batch number, and their number is logged.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows, _ = parse_rows(batch, S.TRIP_UPDATES_ROW)
         updates = rows.where(F.col("record_type") == "trip_updates")
-        silver = build_silver(updates, **dims, zone=zone, leads=True)
-        upsert_silver(batch.sparkSession, path, silver.where(F.col("service_date").isNotNull()))
+        silver = build_silver(updates, **dims, zone=zone, leads=True).persist()
+        try:
+            rejected = reject_undated(silver, rejects or f"{path}_rejects", batch=batch_id)
+            if rejected:
+                log.warning("batch %d: %d rows without a service date rejected", batch_id, rejected)
+            upsert_silver(batch.sparkSession, path, silver.where(F.col("service_date").isNotNull()))
+        finally:
+            silver.unpersist()
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _start(writer, trigger or {"processingTime": "300 seconds"})
