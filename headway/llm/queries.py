@@ -12,6 +12,7 @@ from headway.llm import (
     ctw,
     decontaminate,
     embeddings,
+    hard_negatives,
     line_dedup,
     near_join,
     packing,
@@ -32,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_near_dedup": embeddings.op8_embedding_near_dedup,
         "op9_lm_scoring": ctw.op9_lm_scoring,
         "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
+        "op13_hard_negative_mining": hard_negatives.op13_hard_negative_mining,
     }
 
 
@@ -42,4 +44,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_chat_formatting": chat.SQL,
         "op8_embedding_near_dedup": embeddings.SQL,
         "op10_benchmark_decontamination": decontaminate.SQL,
+        "op13_hard_negative_mining": hard_negatives.SQL,
     }
