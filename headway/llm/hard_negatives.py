@@ -244,9 +244,9 @@ def op13_hard_negative_mining(spark, sf_dir) -> DataFrame:
 SQL = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 pair AS (
   SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
     CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
