@@ -16,6 +16,7 @@ from headway.llm import (
     line_dedup,
     near_join,
     packing,
+    passages,
     token_counts,
     toxicity,
 )
@@ -33,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_near_dedup": embeddings.op8_embedding_near_dedup,
         "op9_lm_scoring": ctw.op9_lm_scoring,
         "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
+        "op11_substring_dedup": passages.op11_substring_dedup,
         "op13_hard_negative_mining": hard_negatives.op13_hard_negative_mining,
     }
 
@@ -44,5 +46,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_chat_formatting": chat.SQL,
         "op8_embedding_near_dedup": embeddings.SQL,
         "op10_benchmark_decontamination": decontaminate.SQL,
+        "op11_substring_dedup": passages.SQL,
         "op13_hard_negative_mining": hard_negatives.SQL,
     }
