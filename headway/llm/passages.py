@@ -141,9 +141,14 @@ def _extended(size: int, new: int, full: int):
 
 
 def _stream_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of windows that several ids hold, and the ends of runs that may go on elsewhere."""
+    """Rows of windows that several ids hold, and the ends of runs that may go on elsewhere.
+
+    ``low`` is an id that holds the window: a smaller one, or the row's own if it is the
+    least. Of a partition's first run, only the rows of its least id wait for what earlier
+    partitions hold.
+    """
     key = low = high = None  # the open run: its window, least and greatest id
-    held: list[list[np.ndarray]] = []  # its rows, while all are of one id
+    held: list[list[np.ndarray]] = []  # its rows of the least id
     opening = True
 
     def batch(kind: int, cols: list[np.ndarray], low, high) -> pa.RecordBatch:
@@ -158,14 +163,16 @@ def _stream_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def feed(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         nonlocal high, held
         high = int(cols[2][-1])
-        if opening:
-            yield batch(_PENDING, cols, low, high)
-            return
-        held.append(cols)
+        own = int(np.searchsorted(cols[2], low, "right"))
+        if own:
+            held.append([c[:own] for c in cols])
         if low != high:
-            for x in held:
-                yield batch(_SHARED, x, low, high)
-            held = []
+            if not opening:
+                for x in held:
+                    yield batch(_SHARED, x, low, high)
+                held = []
+            if own < len(cols[2]):
+                yield batch(_SHARED, [c[own:] for c in cols], low, high)
 
     def close(at_end: bool) -> Iterator[pa.RecordBatch]:
         nonlocal opening
@@ -205,7 +212,10 @@ def _stream_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def held_by_several(windows: DataFrame, name: str) -> DataFrame:
-    """(rid, th, pos, low): windows that several ids hold; ``low`` is the least of the ids."""
+    """(rid, th, pos, low): windows that several ids hold.
+
+    ``low`` is below ``rid`` if and only if a smaller id holds the window.
+    """
     windows = stage(windows, name)
     spark = windows.sparkSession
     tasks = max(
@@ -231,8 +241,8 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(rid, th, pos, low) of each window of ``length`` words that several documents hold.
 
-    ``pos`` is the window's first word, ``low`` the least id that holds it. Texts need
-    distinct ids or contents; fully equal rows repeat their windows.
+    ``pos`` is the window's first word; ``low`` is a smaller id that holds it, or the row's
+    own where there is none. Fully equal rows repeat their windows.
     """
     sizes = lengths(length)
     width = length - sizes[0] + 1
