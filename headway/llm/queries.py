@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.llm import (
+    alignment,
     archive,
     chat,
     ctw,
@@ -35,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_lm_scoring": ctw.op9_lm_scoring,
         "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
         "op11_substring_dedup": passages.op11_substring_dedup,
+        "op12_cross_tokenizer_alignment": alignment.op12_cross_tokenizer_alignment,
         "op13_hard_negative_mining": hard_negatives.op13_hard_negative_mining,
     }
 

@@ -20,7 +20,7 @@ def con():
 
 def test_all_are_registered():
     numbers = {name.split("_")[0] for name in queries.queries()}
-    assert numbers == {f"op{n}" for n in range(1, 11)}
+    assert numbers == {f"op{n}" for n in range(1, 14)}
     assert set(queries.queries()) | {"pipeline"} <= set(contract.queries())
     assert set(queries.oracle_sql()) <= set(contract.oracle_sql())
 
