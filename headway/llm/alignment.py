@@ -16,6 +16,8 @@ import re
 from array import array
 from collections.abc import Iterator
 from hashlib import sha256
+from functools import lru_cache
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pandas as pd
@@ -30,7 +32,7 @@ LEFT, RIGHT = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Stretches in a block, of one document at least.
 BLOCK_STRETCHES = 1_000_000
 #: Stretches and characters of them that a task remembers before it starts afresh.
-KNOWN, KNOWN_CHARS = 300_000, 20_000_000
+KNOWN, KNOWN_CHARS = 400_000, 20_000_000
 #: How byte-level vocabularies spell bytes: printable ones as themselves, others from U+0100 on.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _OTHERS = [c for c in range(256) if c not in _PRINTABLE]
@@ -82,6 +84,12 @@ class Aligner:
         self.bytes_b = [
             bytes([int(m[1], 16)]) if (m := byte.fullmatch(p)) else p.replace("▁", " ").encode() for p in pieces
         ]
+        self.length_a, self.length_b = ([len(x) for x in known] for known in (self.bytes_a, self.bytes_b))
+        self.endings = {}
+        for c in ".,":
+            a, b = self.a.encode(c).ids, [k for k, p in enumerate(pieces) if p == c]
+            if len(a) == len(b) == 1 and not any(x.isalpha() and y == c for p in pieces for x, y in pairwise(p)):
+                self.endings[c] = (f"{a[0]}|{b[0]}", array("q", [(a[0] << 32) | b[0]]).tobytes(), (1, 1, 1, 1))
         self.clear()
 
     def clear(self) -> None:
@@ -96,35 +104,51 @@ class Aligner:
     def full(self) -> bool:
         return len(self.groups) > KNOWN or self.chars > KNOWN_CHARS
 
-    def _add(self, key: str, text: str, ids_a: list[int], ids_b: list[int]) -> int:
-        data = text.encode("utf-8", "surrogatepass")
-        one, two = [self.bytes_a[k] for k in ids_a], [self.bytes_b[k] for k in ids_b]
+    def _put(self, into: dict[str, int], key: str, groups: str, pairs: bytes, counts: tuple) -> None:
+        into[key] = len(self.groups)
         self.chars += len(key)
-        if b"".join(one) != data or b"".join(two) != data:
-            groups, pairs, counts = "", b"", (-1, -1, -1, -1)
-        else:
-            ends = [np.cumsum([len(x) for x in side]).tolist() for side in (one, two)]
-            found, links = align(ids_a, ends[0], ids_b, ends[1])
-            groups = ";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in found])
-            pairs = array("q", [(x << 32) | y for x, y in links]).tobytes()
-            counts = (len(ids_a), len(ids_b), len(found), len(links))
         self.groups.append(groups)
         self.pairs.append(pairs)
         for column, x in zip(self.counts, counts, strict=True):
             column.append(x)
-        return len(self.groups) - 1
 
     def _learn(self, keys: list[str], into: dict[str, int]) -> None:
+        length_a, length_b = self.length_a.__getitem__, self.length_b.__getitem__
+        token_a, token_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
         for k in range(0, len(keys), 2000):
             part = keys[k : k + 2000]
             texts = [f" {x}".replace(" \n", "\n") for x in part]
-            ids_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+            coded = self.a.encode_batch_fast(texts, add_special_tokens=False)
             # The second tokenizer puts a blank before every text; before a line feed it is a piece alone.
-            ids_b = self.b.encode([t.removeprefix(" ") for t in texts], num_threads=1)
-            for key, text, a, b in zip(part, texts, ids_a, ids_b, strict=True):
+            pieces = self.b.encode([t.removeprefix(" ") for t in texts], num_threads=1)
+            for key, text, one, b in zip(part, texts, coded, pieces, strict=True):
+                a = one.ids
                 if text == " ":  # no text, for which it has not even its blank
                     b = self.b.encode("\n")[:1]
-                into[key] = self._add(key, text, a, b if text.startswith(" ") else b[1:])
+                if text[0] == "\n":
+                    b = b[1:]
+                data = text.encode("utf-8", "surrogatepass")
+                if b"".join(map(token_a, a)) != data or b"".join(map(token_b, b)) != data:
+                    self._put(into, key, "", b"", (-1, -1, -1, -1))
+                    continue
+                found, links = align(a, list(accumulate(map(length_a, a))), b, list(accumulate(map(length_b, b))))
+                groups = ";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in found])
+                pairs = array("q", [(x << 32) | y for x, y in links]).tobytes()
+                self._put(into, key, groups, pairs, (len(a), len(b), len(found), len(links)))
+
+    def _learn_parts(self, parts: set[str]) -> None:
+        """A full stop or comma after a letter is a token of its own for both tokenizers."""
+        ended = {p for p in parts if p[-1] in self.endings and p[-2:-1].isalpha()}
+        stems = {p[:-1] for p in ended} | ({"\n."[1:], ","} if ended else set())
+        self._learn(sorted(((parts - ended) | stems).difference(self.starting)), self.starting)
+        for p in ended:
+            stem = self.starting[p[:-1]]
+            if self.counts[0][stem] < 0:
+                self._learn([p], self.starting)
+                continue
+            groups, pairs, counts = self.endings[p[-1]]
+            both = [c[stem] + n for c, n in zip(self.counts, counts, strict=True)]
+            self._put(self.starting, p, f"{self.groups[stem]};{groups}", self.pairs[stem] + pairs, both)
 
     def stretches(self, text: str) -> np.ndarray:
         """Numbers of the text's stretches, one after the other."""
@@ -135,7 +159,7 @@ class Aligner:
             pass
         new = set(parts).difference(self.starting)
         starting = {p for p in new if _may_start(p)}
-        self._learn(sorted(starting), self.starting)
+        self._learn_parts(starting)
         if len(starting) == len(new):
             return np.fromiter(map(self.starting.__getitem__, parts), np.int32, len(parts))
         never = new - starting
@@ -152,6 +176,12 @@ class Aligner:
         return np.array([self.other[k] if k in odd else self.starting[k] for k in joined], np.int32)
 
 
+@lru_cache(maxsize=1)
+def _aligner(left: str, right: str) -> Aligner:
+    """One for all tasks of a worker process, which keep what is known."""
+    return Aligner(left, right)
+
+
 def _may_start(part: str) -> bool:
     """Whether a stretch may begin here: a visible character follows the blank or line feed."""
     first = part[1:2] if part.startswith("\n") else part[:1]
@@ -198,7 +228,7 @@ def _blocks(left: str, right: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        aligner = Aligner(left, right)
+        aligner = _aligner(left, right)
         block, docs, held = TaskContext.get().partitionId() << 32, [], 0
         for b in batches:
             for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"], strict=True):
