@@ -37,6 +37,7 @@ KNOWN, KNOWN_CHARS = 400_000, 20_000_000
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _OTHERS = [c for c in range(256) if c not in _PRINTABLE]
 _SPELLED = {chr(c): c for c in _PRINTABLE} | {chr(0x100 + k): c for k, c in enumerate(_OTHERS)}
+_SPELLING = {c: 0x100 + k for k, c in enumerate(_OTHERS)}
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 _DOC = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 _BLOCKS = f"block long, {_DOC}, codes binary, cuts binary, places binary, pairs array<long>, counts array<long>"
@@ -53,6 +54,9 @@ def align(
     for end in sorted(at_a.keys() & at_b.keys()):
         x, y = at_a[end], at_b[end]
         groups.append((ids_a[i:x], ids_b[j:y]))
+        if x - i == 1 or y - j == 1:  # one token overlaps all of the other side
+            links += [(a, b) for a in ids_a[i:x] for b in ids_b[j:y]]
+            i, j = x, y
         while i < x and j < y:
             links.append((ids_a[i], ids_b[j]))
             left, right = ends_a[i], ends_b[j]
@@ -118,11 +122,10 @@ class Aligner:
         for k in range(0, len(keys), 2000):
             part = keys[k : k + 2000]
             texts = [f" {x}".replace(" \n", "\n") for x in part]
-            coded = self.a.encode_batch_fast(texts, add_special_tokens=False)
+            coded = self._left_ids(part, texts)
             # The second tokenizer puts a blank before every text; before a line feed it is a piece alone.
             pieces = self.b.encode([t.removeprefix(" ") for t in texts], num_threads=1)
-            for key, text, one, b in zip(part, texts, coded, pieces, strict=True):
-                a = one.ids
+            for key, text, a, b in zip(part, texts, coded, pieces, strict=True):
                 if text == " ":  # no text, for which it has not even its blank
                     b = self.b.encode("\n")[:1]
                 if text[0] == "\n":
@@ -132,10 +135,25 @@ class Aligner:
                     self._put(into, key, "", b"", (-1, -1, -1, -1))
                     continue
                 found, links = align(a, list(accumulate(map(length_a, a))), b, list(accumulate(map(length_b, b))))
-                groups = ";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in found])
+                groups = ";".join([
+                    f"{x[0]}|{y[0]}" if len(x) == len(y) == 1 else f"{','.join(map(str, x))}|{','.join(map(str, y))}"
+                    for x, y in found
+                ])
                 pairs = array("q", [(x << 32) | y for x, y in links]).tobytes()
                 self._put(into, key, groups, pairs, (len(a), len(b), len(found), len(links)))
 
+    def _left_ids(self, keys: list[str], texts: list[str]) -> list[list[int]]:
+        """Letters after a blank are one unit for the model, spelled in its byte alphabet."""
+        ids = [
+            [t.id for t in self.a.model.tokenize(text.encode().decode("latin-1").translate(_SPELLING))]
+            if key.isalpha() else None for key, text in zip(keys, texts, strict=True)
+        ]
+        rest = [k for k, x in enumerate(ids) if x is None]
+        coded = self.a.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False)
+        for k, one in zip(rest, coded, strict=True):
+            ids[k] = one.ids
+        return ids
+
     def _learn_parts(self, parts: set[str]) -> None:
         """A full stop or comma after a letter is a token of its own for both tokenizers."""
         ended = {p for p in parts if p[-1] in self.endings and p[-2:-1].isalpha()}
