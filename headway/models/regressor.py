@@ -2,112 +2,56 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
 from datetime import datetime
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway import schemas as S
 from headway.functions.columns import feature_value, fill_rate
+from headway.models.boosting import Boosted, TrainParams, boost
 from headway.operators.live import request_features
-from headway.session import shared_dir
 
+__all__ = ["Boosted", "TrainParams", "predict", "score", "train"]
 
-@dataclass(frozen=True)
-class TrainParams:
-    """The published training settings."""
 
-    max_depth: int = 8
-    eta: float = 0.08
-    subsample: float = 0.8
-    colsample: float = 0.8
-    min_child: int = 5
-    rounds: int = 800
-    seed: int = 42
-
-
-_FILLED = {n: f"_filled_{n}" for n in S.FEATURE_NAMES}
-
-
-def _with_filled(df: DataFrame) -> DataFrame:
-    """Filled copies of the features next to the originals, which keep their NULLs."""
+def _features(df: DataFrame) -> Column:
+    """The filled feature vector of a row, in the contract's order."""
     have = set(df.columns)
-    return df.withColumns(
-        {
-            filled: feature_value(n, F.col(n) if n in have else F.lit(None))
-            for n, filled in _FILLED.items()
-        }
-    )
-
-
-def _assembler() -> VectorAssembler:
-    return VectorAssembler(inputCols=list(_FILLED.values()), outputCol="features")
+    return F.array(*[feature_value(n, F.col(n) if n in have else F.lit(None)) for n in S.FEATURE_NAMES])
 
 
-def _fit(df: DataFrame, params: TrainParams) -> PipelineModel:
-    trees = GBTRegressor(
-        featuresCol="features", labelCol=S.TARGET, predictionCol="predicted_delay_sec",
-        lossType="absolute", maxDepth=params.max_depth, stepSize=params.eta,
-        subsamplingRate=params.subsample, featureSubsetStrategy=str(params.colsample),
-        minInstancesPerNode=params.min_child, maxIter=params.rounds, seed=params.seed,
+def _labelled(df: DataFrame, held: bool) -> DataFrame:
+    rows = df.where(F.col(S.TARGET).isNotNull())
+    return rows.select(
+        _features(df).alias("features"), F.col(S.TARGET).cast("double").alias("y"), F.lit(held).alias("held")
     )
-    return Pipeline(stages=[_assembler(), trees]).fit(df)
 
 
-def _first_trees(spark: SparkSession, model: PipelineModel, count: int) -> PipelineModel:
-    """The model after ``count`` rounds: what a fit of so many rounds with its seed gives."""
-    assembler, trees = model.stages
-    full, gateway = trees._java_obj, spark.sparkContext._gateway
-    kind = gateway.jvm.org.apache.spark.ml.regression
-    parts = full.trees(), full.treeWeights()
-    kept = [gateway.new_array(t, count) for t in (kind.DecisionTreeRegressionModel, gateway.jvm.double)]
-    for to, values in zip(kept, parts):
-        for i in range(count):
-            to[i] = values[i]
-    cut = kind.GBTRegressionModel(full.uid(), *kept, full.numFeatures())
-    return PipelineModel([assembler, trees._copyValues(GBTRegressionModel(cut))])
-
+def train(df: DataFrame, params: TrainParams = TrainParams(),
+          validation: DataFrame | None = None) -> Boosted:
+    """Fit on the rows with a label. With ``validation``, stop once it no longer gains by more
+    trees, and keep as many as do best on it."""
+    rows = _labelled(df, False)
+    return boost(rows if validation is None else rows.union(_labelled(validation, True)), params)
 
-def _vectors(df: DataFrame) -> DataFrame:
-    rows = _with_filled(df.where(F.col(S.TARGET).isNotNull()))
-    return rows.select(F.col(S.TARGET).cast("double").alias(S.TARGET), *_FILLED.values())
 
+def predict(df: DataFrame, model: Boosted) -> DataFrame:
+    """Add ``predicted_delay_sec``; the features as given stay as they are."""
 
-def train(df: DataFrame, params: TrainParams = TrainParams(),
-          validation: DataFrame | None = None) -> PipelineModel:
-    """Fit on ``df``. With ``validation``, keep as many trees as do best on it.
+    @F.pandas_udf("double")
+    def delay(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for features in batches:
+            yield pd.Series(model.predict(np.stack(features.to_numpy())) if len(features) else [], dtype=float)
 
-    MLlib's own validation stop gives up at the first small step, so the full number of
-    rounds is fitted, every prefix is scored on the validation rows, and the model is cut
-    to the best one. Hundreds of rounds need a checkpoint folder, or their lineage piles up.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    rows = _vectors(df).persist()
-    try:
-        model = _fit(rows, params)
-        if validation is None:
-            return model
-        held = model.stages[0].transform(_vectors(validation))
-        errors = model.stages[1].evaluateEachIteration(held, "absolute")
-        best = min(range(len(errors)), key=errors.__getitem__) + 1
-        return _first_trees(df.sparkSession, model, best)
-    finally:
-        rows.unpersist()
-
-
-def predict(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Add ``predicted_delay_sec``; the features as given stay as they are."""
-    return model.transform(_with_filled(df)).select(*df.columns, "predicted_delay_sec")
+    return df.withColumn("predicted_delay_sec", delay(_features(df)))
 
 
 def score(requests: DataFrame, stop_state: DataFrame, route_state: DataFrame, priors: DataFrame,
-          model: PipelineModel, now: datetime | Column, zone: str = "UTC") -> DataFrame:
+          model: Boosted, now: datetime | Column, zone: str = "UTC") -> DataFrame:
     """Score (route_id, stop_id) requests from live state.
 
     The trip is the one that live state last saw at the stop, and the service date is

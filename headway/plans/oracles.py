@@ -281,6 +281,47 @@ cte("buckets", ("silver",), f"""
   GROUP BY 1""")
 
 
+def stump(turn: int) -> str:
+    """One boosting round: the split with the largest gain over sums of signs, leaf medians."""
+    before, after = f"fit{turn}", f"fit{turn + 1}"
+    return f"""
+    side{turn} AS (
+      SELECT c.f, c.c, sum(sign(b.y - b.pred)) FILTER (WHERE x.x <= c.c) AS l,
+        count(*) FILTER (WHERE x.x <= c.c) AS n, sum(sign(b.y - b.pred)) AS g, count(*) AS m
+      FROM cuts c JOIN long x ON x.f = c.f JOIN {before} b ON b.id = x.id
+      WHERE b.split = 'train' AND b.y IS NOT NULL GROUP BY c.f, c.c),
+    best{turn} AS (
+      SELECT f, c FROM side{turn} WHERE n >= 5 AND m - n >= 5
+      ORDER BY l * l / (n + 1.0) + (g - l) * (g - l) / (m - n + 1.0) - g * g / (m + 1.0) DESC, f, c LIMIT 1),
+    leaf{turn} AS (
+      SELECT x.x <= b.c AS low, quantile_disc(r.y - r.pred, 0.5) AS value
+      FROM best{turn} b JOIN long x ON x.f = b.f JOIN {before} r ON r.id = x.id
+      WHERE r.split = 'train' AND r.y IS NOT NULL GROUP BY 1),
+    {after} AS (
+      SELECT r.id, r.split, r.y, r.pred + 0.5 * v.value AS pred
+      FROM {before} r JOIN long x ON x.id = r.id JOIN best{turn} b ON b.f = x.f
+      JOIN leaf{turn} v ON v.low = (x.x <= b.c))"""
+
+
+STUMPS = f"""
+  WITH labelled AS (
+    SELECT v.*, g.observed_delay_sec AS label, row_number() OVER () AS id,
+      CASE WHEN t - v.service_date >= 14 THEN 'train'
+        WHEN t - v.service_date >= 7 THEN 'validation' ELSE 'test' END AS split
+    FROM vectors v JOIN gold g USING ({ROW}), (SELECT max(service_date) AS t FROM gold)),
+  long AS MATERIALIZED (
+    SELECT id, split, label AS y, unnest(range({len(S.FEATURE_NAMES)})) AS f,
+      unnest([{", ".join(S.FEATURE_NAMES)}]) AS x FROM labelled),
+  cuts AS MATERIALIZED (
+    SELECT DISTINCT f, unnest(quantile_disc(x, [{", ".join(str(k / 256) for k in range(1, 256))}])) AS c
+    FROM long WHERE split = 'train' AND y IS NOT NULL GROUP BY f),
+  fit0 AS (
+    SELECT id, split, CAST(label AS DOUBLE) AS y, (SELECT quantile_disc(CAST(label AS DOUBLE), 0.5)
+      FROM labelled WHERE split = 'train') AS pred
+    FROM labelled), {stump(0)}, {stump(1)}
+  SELECT {ROW}, l.split, round(pred, 3) AS predicted_delay_sec FROM labelled l JOIN fit2 USING (id)"""
+
+
 def hours(offset: int) -> str:
     return f"""
   SELECT CAST((hour_of_day + {offset % 24}) % 24 AS INTEGER) AS hour_of_day, count(*) AS events,
@@ -517,6 +558,7 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
       SELECT {ROW}, CASE WHEN t - service_date >= 14 THEN 'train'
         WHEN t - service_date >= 7 THEN 'validation' ELSE 'test' END AS split
       FROM gold, (SELECT max(service_date) AS t FROM gold)"""),
+    "gbt_stumps": (("gold", "vectors"), STUMPS),
     # --- feed and stream rows
     "flatten_trip_updates": (_EMPTY, FLAT + f"""event_type AS stop_id, {SEQ} AS stop_sequence,
         {EPOCH} + 600 AS arrival_time, CAST(trunc(value * 30 - 1860) AS INTEGER) AS arrival_delay,
@@ -652,7 +694,7 @@ BY_SERVICE_DATE = (
     "gold_upstream_mean gold_preceding_trip gold_route_hour gold_route_strict "
     "gold_weather_join gold_features feature_vector feature_csv fill_rate feature_mismatches "
     "dq_stats dq_rules dedupe_check coverage null_rates recent_days gold_days layer_diff "
-    "backtest_daily time_split stream_silver"
+    "backtest_daily time_split stream_silver gbt_stumps"
 ).split()
 BY_DAY = (
     "model_degraded missing_runs run_status cost_daily cost_totals cost_delta "

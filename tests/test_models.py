@@ -37,16 +37,6 @@ def test_model_learns_and_keeps_inputs(spark, rows):
     assert report["n_test"] == 400
 
 
-def test_validation_picks_the_best_prefix(spark, rows):
-    params = M.TrainParams(max_depth=3, eta=0.5, rounds=6)
-    held = rows.withColumn(S.TARGET, F.lit(0))
-    model = M.train(rows, params, validation=held)
-    full = M.train(rows, params)
-    errors = full.stages[1].evaluateEachIteration(
-        full.stages[0].transform(M._vectors(held)), "absolute")
-    assert model.stages[1].getNumTrees == errors.index(min(errors)) + 1
-
-
 def test_scoring_joins_state_and_priors(spark, rows, tmp_path):
     model = M.train(rows, M.TrainParams(max_depth=2, rounds=2))
     now = datetime(2024, 1, 6, 17, 30, tzinfo=UTC)
