@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +20,8 @@ __all__ = [
 NO_ID = -(2**63)
 #: Tables of ids or single words with at most so many rows are broadcast, larger ones shuffled.
 BROADCAST_ROWS = 2_000_000
+#: Edges that a task contracts before the first round.
+EDGES_PER_TASK = 20_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,22 +57,52 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    h = F.xxhash64("a", "b").cast("decimal(38,0)")
-    return tuple(edges.agg(F.count("*"), F.sum(h)).first())
+def _roots(parent: dict[int, int], x: int) -> int:
+    while parent[x] != x:
+        parent[x] = parent[parent[x]]
+        x = parent[x]
+    return x
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's edges as stars around the smallest id of what they connect."""
+    parent: dict[int, int] = {}
+    for batch in batches:
+        for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True):
+            parent.setdefault(a, a)
+            parent.setdefault(b, b)
+            x, y = _roots(parent, a), _roots(parent, b)
+            parent[max(x, y)] = min(x, y)
+    pairs = [(x, r) for x in parent if (r := _roots(parent, x)) != x]
+    for k in range(0, len(pairs), 50_000):
+        a, b = zip(*pairs[k : k + 50_000], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every id is the end of one edge at most, or a centre, never both."""
+    ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("end"), F.lit(0).alias("centre")).union(
+        edges.select("b", F.lit(0), F.lit(1))
+    )
+    mixed = ends.groupBy("id").agg(F.sum("end").alias("end"), F.max("centre").alias("centre"))
+    return mixed.where("end > 1 OR (end > 0 AND centre > 0)").isEmpty()
 
 
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(id, component) of every id in ``edges(a, b)``; component is the smallest id reached.
 
-    Alternating large-star and small-star steps (Kiveris et al., 2014): each is one minimum
-    per node and one join, so a hub's edges are pre-aggregated and its join can be split.
-    Every step is written to the shared folder, which keeps the lineage short. Loops and
-    repeated edges are harmless.
+    Tasks first contract bounded shares of the edges to stars. Then alternating large-star
+    and small-star steps (Kiveris et al., 2014) follow, until all that is left are stars:
+    each is one minimum per node and one join, so a hub's edges are pre-aggregated and its
+    join can be split. Every round is written to the shared folder, which keeps the lineage
+    short. Loops and repeated edges are harmless.
     """
-    edges = stage(edges.select("a", "b").where("a <> b").distinct(), name)
-    mark = _fingerprint(edges)
-    while mark[0]:
+    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
+    edges = stage(down.distinct(), name)
+    if not _stars(edges):
+        shares = edges.count() // EDGES_PER_TASK + 1
+        edges = stage(edges.repartition(shares).mapInArrow(_contract, "a long, b long").distinct(), name)
+    while not _stars(edges):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         large = (
@@ -83,27 +118,16 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
             )).alias("e")
         ).select("e.*").where("a <> b").distinct()
         edges = stage(small, name)
-        before, mark = mark, _fingerprint(edges)
-        if before == mark:
-            break
     ids = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return ids.union(edges.select("b", "b")).distinct()
 
 
 def spanning_links(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
-    """Links (by places ``i``, ``j`` in ``ids``) thinned to what connects the same ids."""
-    parent = np.arange(len(ids))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
-    for a, b in zip(i.tolist(), j.tolist(), strict=True):
-        x, y = root(a), root(b)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            out.append((int(ids[a]), int(ids[b])))
-    return out
+    """Links (by places ``i``, ``j`` in ``ids``) as stars that connect the same ids."""
+    parent: dict[int, int] = {}
+    for a, b in zip(ids[i].tolist(), ids[j].tolist(), strict=True):
+        parent.setdefault(a, a)
+        parent.setdefault(b, b)
+        x, y = _roots(parent, a), _roots(parent, b)
+        parent[max(x, y)] = min(x, y)
+    return [(x, r) for x in parent if (r := _roots(parent, x)) != x]

@@ -18,7 +18,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import NO_ID, connected_components, own, rid, small, stage, text_hash
+from headway.llm.common import (
+    NO_ID,
+    connected_components,
+    own,
+    rid,
+    small,
+    spanning_links,
+    stage,
+    text_hash,
+)
 from headway.llm.shingles import WORDS_PER_SHINGLE, mix, shingle_set
 
 THRESHOLD = 0.8
@@ -165,25 +174,6 @@ def _verified(left: list, right: list, i: np.ndarray, j: np.ndarray, threshold:
     return i[keep], j[keep]
 
 
-def _spanning(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what the pairs connect, fewer than there are ids."""
-    parent = np.arange(len(ids))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
-    for a, b in zip(i.tolist(), j.tolist(), strict=True):
-        x, y = root(a), root(b)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            out.append((int(ids[a]), int(ids[b])))
-    return out
-
-
 def _compare(threshold: float):
     """All pairs of one block, or of two: partial link counts per class, and spanning links."""
 
@@ -205,7 +195,7 @@ def _compare(threshold: float):
         links = np.bincount(i, docs[j], len(ids)) + np.bincount(j, docs[i], len(ids))
         has = np.flatnonzero(links)
         rows = [(0, int(ids[h]), int(links[h])) for h in has]
-        rows += [(1, a, b) for a, b in _spanning(ids, i, j)]
+        rows += [(1, a, b) for a, b in spanning_links(ids, i, j)]
         out = pd.DataFrame(rows, columns=["kind", "a", "b"])
         return out.astype({"kind": "int32", "a": "int64", "b": "int64"})
 
