@@ -34,7 +34,7 @@ def stats_key(is_weekend: Column, hour: Column) -> Column:
     )
 
 
-def _live_arrivals(rows: DataFrame) -> DataFrame:
+def live_arrivals(rows: DataFrame) -> DataFrame:
     """Rows with a route, a stop and a plausible delay."""
     return rows.where(
         blank_to_null(F.col("route_id")).isNotNull()
@@ -57,7 +57,7 @@ def stop_state(rows: DataFrame, now: Column | None = None, ttl: int = S.STATE_TT
         )
     )
     return (
-        _live_arrivals(rows).groupBy("route_id", "stop_id").agg(newest.alias("_s"))
+        live_arrivals(rows).groupBy("route_id", "stop_id").agg(newest.alias("_s"))
         .select(
             stop_key().alias("pk"),
             F.lit("CURRENT").alias("sk"),

@@ -610,6 +610,23 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
         AND p.hour_of_day = n.hour_of_day"""),
     "stream_stop_state": (("stop_state",), "SELECT * FROM stop_state"),
     "stream_route_state": (("route_state",), "SELECT * FROM route_state"),
+    "stream_state_expiry": (("stop_state", "live_rows"), """
+      SELECT * FROM stop_state
+      WHERE updated_at + 7200 >= (SELECT max(ingest_ts) FROM live_rows) - 300"""),
+    "stream_route_windows": (("feed",), """
+      SELECT * FROM (WITH rows AS (SELECT * FROM feed WHERE route_id IS NOT NULL),
+      middle AS (SELECT min(ingest_ts) + CAST(floor((max(ingest_ts) - min(ingest_ts)) * 0.5) AS BIGINT) AS m FROM rows),
+      before AS (SELECT max(ingest_ts) AS l FROM rows, middle WHERE ingest_ts <= m),
+      seen AS (
+        SELECT * FROM rows
+        UNION ALL SELECT rows.* FROM rows, before WHERE ingest_ts > l - 240 AND ingest_ts <= l)
+      SELECT ingest_ts // 300 * 300 - 300 * k AS window_start,
+        ingest_ts // 300 * 300 - 300 * k + 900 AS window_end, route_id,
+        round(avg(arrival_delay) FILTER (WHERE arrival_delay BETWEEN -1800 AND 7200), 3) AS mean_route_delay_15m,
+        count(DISTINCT vehicle_id) AS vehicles_active_on_route
+      FROM seen, range(3) AS r(k)
+      WHERE ingest_ts // 300 * 300 - 300 * k + 900 <= (SELECT max(ingest_ts) FROM rows) - 300
+      GROUP BY ALL)"""),
     "stream_landing": (("feed", "positions"), """
       SELECT record_type, CAST(to_timestamp(ingest_ts) AT TIME ZONE 'UTC' AS DATE) AS dt,
         count(*) AS rows, count(DISTINCT trip_id) AS trips

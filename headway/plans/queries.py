@@ -606,6 +606,48 @@ def stream_route_state(w: Warehouse) -> DataFrame:
     return _live_stream(w, "routes").select(*ROUTE_OUT)
 
 
+def _runs(w: Warehouse, parts: list[DataFrame], start) -> None:
+    """Pack each part after the other into one folder, and run the stream to its end after each."""
+    folder = scratch_path(w.spark, "packed")
+    for part in parts:
+        feed.pack_rows(part.select(*S.TRIP_UPDATES_ROW.names)).write.mode("append").parquet(folder)
+        start(streams.stream_rows(w.spark, folder)).awaitTermination()
+
+
+def _hours(rows: DataFrame, shares: tuple[float, ...]) -> tuple[int, ...]:
+    """Times at the given shares of the span that ``rows`` covers."""
+    low, high = rows.agg(F.min("ingest_ts"), F.max("ingest_ts")).first()
+    return tuple(low + int((high - low) * s) for s in shares)
+
+
+@query
+def stream_state_expiry(w: Warehouse) -> DataFrame:
+    """Live state kept by key with expiry: three runs in the order of time, and what is left alive."""
+    rows = w.trip_updates()
+    one, two = _hours(rows, (0.25, 0.75))
+    at = F.col("ingest_ts")
+    path, checkpoint = scratch_path(w.spark, "changes"), scratch_path(w.spark, "changes-log")
+    _runs(w, [rows.where(at <= one), rows.where((at > one) & (at <= two)), rows.where(at > two)],
+          lambda stream: streams.start_stop_changes(stream, path, checkpoint, trigger=ONCE))
+    return streams.state_of_changes(w.spark.read.parquet(path)).select(*STATE_OUT)
+
+
+@query
+def stream_route_windows(w: Warehouse) -> DataFrame:
+    """Sliding route state: the last four minutes before the middle come twice and count twice;
+    what is an hour older than that comes twice too, but behind the watermark."""
+    rows = w.trip_updates().where(F.col("route_id").isNotNull())
+    (middle,) = _hours(rows, (0.5,))
+    at = F.col("ingest_ts")
+    before = rows.where(at <= middle)
+    (last,) = _hours(before, (1.0,))
+    again = before.where((at > last - 240) | (at <= last - 3600))
+    path, checkpoint = scratch_path(w.spark, "windows"), scratch_path(w.spark, "windows-log")
+    _runs(w, [before, again, rows.where(at > middle)],
+          lambda stream: streams.start_route_windows(stream, path, checkpoint, trigger=ONCE, exact=True))
+    return rounded(w.spark.read.parquet(path), {"mean_route_delay_15m": 3})
+
+
 @query
 def stream_landing(w: Warehouse) -> DataFrame:
     """Both feeds landed from the stream, stamped with the time in the row as arrival."""

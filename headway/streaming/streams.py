@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from headway import schemas as S
 from headway.functions.columns import blank_to_null, number, plausible
 from headway.operators.feed import PACKED_SCHEMA, parse_rows, unpack_rows
-from headway.operators.live import prior_state, route_state_batch, stop_state
+from headway.operators.live import live_arrivals, prior_state, route_state_batch, stop_key, stop_state
 from headway.operators.silver import build_silver, upsert_silver
 from headway.sinks.tables import reject_undated, upsert
 
@@ -180,8 +182,13 @@ def stop_state_stream(rows: DataFrame) -> DataFrame:
 
 
 def route_state_stream(rows: DataFrame, width: str = "15 minutes", slide: str = "1 minute",
-                       delay: str = "5 minutes") -> DataFrame:
-    """Sliding mean delay and vehicles per route; late rows count up to the watermark."""
+                       delay: str = "5 minutes", exact: bool = False) -> DataFrame:
+    """Sliding mean delay and vehicles per route; late rows count up to the watermark.
+
+    Vehicles are counted by a sketch of fixed size, or exactly from the set of a route's
+    vehicles in a window, which a fleet bounds.
+    """
+    vehicles = F.size(F.collect_set("vehicle_id")).cast("long") if exact else F.approx_count_distinct("vehicle_id")
     live = rows.where(blank_to_null(F.col("route_id")).isNotNull()).withColumn(
         "at", F.timestamp_seconds("ingest_ts")
     )
@@ -191,6 +198,83 @@ def route_state_stream(rows: DataFrame, width: str = "15 minutes", slide: str =
         .groupBy(F.window("at", width, slide), "route_id")
         .agg(
             F.avg(value).alias("mean_route_delay_15m"),
-            F.approx_count_distinct("vehicle_id").alias("vehicles_active_on_route"),
+            vehicles.alias("vehicles_active_on_route"),
         )
     )
+
+
+_VERSION = "updated_at long, current_delay double, trip_id string, stop_sequence int"
+
+
+def stop_changes(rows: DataFrame, ttl: int = S.STATE_TTL_SECONDS, delay: str = "5 minutes") -> DataFrame:
+    """Changes of live state per (route, stop), from keyed state that expires (append mode).
+
+    A key's row comes out when a newer version arrives, and once more with ``expired`` when
+    the watermark passes its last update by ``ttl`` seconds; then the key leaves the state
+    store. What a trigger writes grows with the keys it changes, not with the keys there are.
+    Rows behind the watermark and versions no newer than the known one change nothing.
+    """
+    arrivals = live_arrivals(rows).select(
+        "route_id", "stop_id", F.timestamp_seconds("ingest_ts").alias("at"),
+        F.col("ingest_ts").alias("updated_at"), F.round(number(F.col("arrival_delay")), 3).alias("current_delay"),
+        F.coalesce("trip_id", F.lit("")).alias("trip_id"),
+        F.coalesce("stop_sequence", F.lit(0)).cast("int").alias("stop_sequence"),
+    ).where(F.col("updated_at").isNotNull())
+
+    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        columns = ["updated_at", "current_delay", "trip_id", "stop_sequence"]
+        known = tuple(state.get) if state.exists else None
+        if state.hasTimedOut:
+            state.remove()
+            yield pd.DataFrame([(*key, *known, True)], columns=["route_id", "stop_id", *columns, "expired"])
+            return
+        newest = known
+        for batch in batches:
+            for version in batch[columns].itertuples(index=False, name=None):
+                newest = version if newest is None or version > newest else newest
+        newest = (int(newest[0]), float(newest[1]), newest[2], int(newest[3]))
+        state.update(newest)
+        state.setTimeoutTimestamp((newest[0] + ttl) * 1000)
+        if newest != known:
+            yield pd.DataFrame([(*key, *newest, False)], columns=["route_id", "stop_id", *columns, "expired"])
+
+    return arrivals.withWatermark("at", delay).groupBy("route_id", "stop_id").applyInPandasWithState(
+        advance, f"route_id string, stop_id string, {_VERSION}, expired boolean", _VERSION, "append",
+        GroupStateTimeout.EventTimeTimeout,
+    )
+
+
+def start_stop_changes(stream: DataFrame, path: str, checkpoint: str, ttl: int = S.STATE_TTL_SECONDS,
+                       trigger: Mapping[str, object] | None = None, delay: str = "5 minutes") -> StreamingQuery:
+    """Append the changes of live stop state to the log at ``path``."""
+    rows, _ = parse_rows(stream, S.LIVE_ROW)
+    writer = (
+        stop_changes(rows, ttl, delay).writeStream.format("parquet").outputMode("append")
+        .option("path", path).option("checkpointLocation", checkpoint)
+    )
+    return _start(writer, trigger or {"processingTime": "30 seconds"})
+
+
+def state_of_changes(changes: DataFrame) -> DataFrame:
+    """The live state that a log of changes leaves: the last version of every key that has not expired."""
+    last = F.max(F.struct("updated_at", "expired", "current_delay", "trip_id", "stop_sequence")).alias("_s")
+    return changes.groupBy("route_id", "stop_id").agg(last).where("NOT _s.expired").select(
+        stop_key().alias("pk"), F.lit("CURRENT").alias("sk"), "route_id", "stop_id", "_s.current_delay",
+        "_s.trip_id", "_s.stop_sequence", "_s.updated_at",
+    )
+
+
+def start_route_windows(stream: DataFrame, path: str, checkpoint: str, width: str = "15 minutes",
+                        slide: str = "5 minutes", delay: str = "5 minutes",
+                        trigger: Mapping[str, object] | None = None, exact: bool = False) -> StreamingQuery:
+    """Append each route's window to ``path`` once the watermark has passed its end."""
+    rows, _ = parse_rows(stream, S.LIVE_ROW)
+    windows = route_state_stream(rows, width, slide, delay, exact).select(
+        F.unix_timestamp("window.start").alias("window_start"), F.unix_timestamp("window.end").alias("window_end"),
+        "route_id", "mean_route_delay_15m", "vehicles_active_on_route",
+    )
+    writer = (
+        windows.writeStream.format("parquet").outputMode("append")
+        .option("path", path).option("checkpointLocation", checkpoint)
+    )
+    return _start(writer, trigger or {"processingTime": "60 seconds"})

@@ -168,3 +168,24 @@ def test_text_source_of_plain_lines(spark, tmp_path):
     q.awaitTermination()
     assert spark.table("plain_lines").count() == 2
     assert unpack_rows(spark.createDataFrame([("a\nb",)], "value string")).count() == 2
+
+
+def test_changed_keys_only_and_expired_keys_leave(spark, tmp_path):
+    feed, log, out = (str(tmp_path / n) for n in ("feed", "log", "out"))
+
+    def run(rows):
+        put(spark, feed, live_rows(spark, rows))
+        T.start_stop_changes(T.stream_rows(spark, feed), out, log, ttl=600, trigger=ONCE).awaitTermination()
+        return {(r["stop_id"], r["updated_at"] - t, r["expired"]) for r in spark.read.parquet(out).collect()}
+
+    t = 1_700_000_000
+    first = run([("R", s, "V", t + k, "10", UP) for k, s in enumerate("abcdefgh")])
+    assert first == {(s, k, False) for k, s in enumerate("abcdefgh")}
+    second = run([("R", "a", "V", t + 100, "20", UP), ("R", "b", "V", t - 50, "99", UP)])  # b: an older version
+    assert second - first == {("a", 100, False)}
+    third = run([("R", "a", "V", t + 950, "30", UP)])  # the watermark comes to t + 650
+    assert third - second == {("a", 950, False)} | {(s, k, True) for k, s in enumerate("bcdefgh", 1)}
+    fourth = run([("R", "c", "V", t + 900, "40", UP), ("R", "d", "V", t + 10, "50", UP)])  # d: behind the watermark
+    assert fourth - third == {("c", 900, False)}
+    alive = {r["stop_id"]: r["current_delay"] for r in T.state_of_changes(spark.read.parquet(out)).collect()}
+    assert alive == {"a": 30.0, "c": 40.0}
