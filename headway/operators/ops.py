@@ -139,6 +139,13 @@ def cost_delta(daily: DataFrame, threshold: float = S.SERVICE_MOVE) -> DataFrame
     )
 
 
+def cost_movers(delta: DataFrame, k: int | None = None) -> DataFrame:
+    """The services of ``cost_delta`` that moved, ranked by absolute change within their day."""
+    rank = Window.partitionBy("day").orderBy(F.abs("delta").desc(), "service")
+    ranked = delta.where("moved").drop("moved").withColumn("rank", F.row_number().over(rank))
+    return ranked if k is None else ranked.where(F.col("rank") <= k)
+
+
 def top_services(daily: DataFrame, d: date | None = None, k: int = 3) -> DataFrame:
     """The ``k`` most expensive services of each day."""
     rows = daily if d is None else daily.where(F.col("day") == F.lit(d))

@@ -634,6 +634,19 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
             UNION ALL SELECT record_type, ingest_ts, trip_id FROM positions) GROUP BY ALL"""),
     "stream_silver": (("silver",), f"SELECT {SILVER_OUT} FROM silver"),
     # --- stored results, read back
+    "static_versions": (("dim_stop_times", "dim_stops", "dim_trips", "dim_routes"), """
+      SELECT v AS version, name, rows, CASE WHEN v = 'v2' AND name = 'routes' THEN rows ELSE 0 END AS changed,
+        CASE WHEN name = 'routes' THEN v ELSE 'v1' END AS held_in
+      FROM (SELECT unnest(['v1', 'v2']) AS v), (
+        SELECT 'stop_times' AS name, count(*) AS rows FROM dim_stop_times
+        UNION ALL SELECT 'stops', count(*) FROM dim_stops
+        UNION ALL SELECT 'trips', count(*) FROM dim_trips
+        UNION ALL SELECT 'routes', count(*) FROM dim_routes)"""),
+    "captured_day": (("predictions",), """
+      SELECT service_date, route_id, count(*) * n AS rows, round(sum(predicted_delay_sec) * n, 1) AS total
+      FROM predictions, (SELECT max(service_date) AS d FROM predictions),
+        (SELECT unnest([0, 1]) AS k, unnest([2, 1]) AS n)
+      WHERE service_date = d - CAST(k AS INTEGER) GROUP BY service_date, route_id, n"""),
     "bronze_day_scan": (("feed",), """
       SELECT trip_id, route_id, stop_id, ingest_ts, arrival_time, arrival_delay, dt, "hour"
       FROM feed"""),
@@ -676,6 +689,17 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
             FROM cost_daily a FULL JOIN cost_daily b
               ON a.day = b.day + 1 AND a.service = b.service)
       WHERE day IN (SELECT day FROM cost_daily) AND day - 1 IN (SELECT day FROM cost_daily)"""),
+    "cost_movers": (("cost_daily",), """
+      SELECT day, service, round(before, 9) AS before, round(now, 9) AS "now", round(delta, 9) AS delta, rank
+      FROM (SELECT *, now - before AS delta, CAST(row_number() OVER (PARTITION BY day
+              ORDER BY abs(now - before) DESC, service) AS INTEGER) AS rank
+            FROM (SELECT coalesce(a.day, b.day + 1) AS day, coalesce(a.service, b.service) AS service,
+                    coalesce(a.amount, 0) AS now, coalesce(b.amount, 0) AS before
+                  FROM cost_daily a FULL JOIN cost_daily b
+                    ON a.day = b.day + 1 AND a.service = b.service)
+            WHERE day IN (SELECT day FROM cost_daily) AND day - 1 IN (SELECT day FROM cost_daily)
+              AND abs(now - before) >= 0.25)
+      WHERE rank <= 2"""),
     "cost_top_services": (("cost_daily",), """
       SELECT day, service, round(amount, 9) AS amount, rank
       FROM (SELECT *, CAST(row_number() OVER (PARTITION BY day ORDER BY amount DESC, service)
@@ -711,11 +735,11 @@ BY_SERVICE_DATE = (
     "gold_upstream_mean gold_preceding_trip gold_route_hour gold_route_strict "
     "gold_weather_join gold_features feature_vector feature_csv fill_rate feature_mismatches "
     "dq_stats dq_rules dedupe_check coverage null_rates recent_days gold_days layer_diff "
-    "backtest_daily time_split stream_silver gbt_stumps"
+    "backtest_daily time_split stream_silver gbt_stumps captured_day"
 ).split()
 BY_DAY = (
     "model_degraded missing_runs run_status cost_daily cost_totals cost_delta "
-    "cost_top_services cost_run_rate cost_verdict cost_drivers cost_credits"
+    "cost_movers cost_top_services cost_run_rate cost_verdict cost_drivers cost_credits"
 ).split()
 DATES: dict[str, tuple[str, ...]] = {
     **{name: ("service_date",) for name in BY_SERVICE_DATE},

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,9 +28,11 @@ from headway.sinks.tables import (
     write_backtest,
     write_dq,
     write_partitions,
+    write_predictions,
 )
 from headway.sources import adapters
-from headway.sources.tables import read_bronze, read_csv_by_name
+from headway.sources.static import refresh_static
+from headway.sources.tables import dim_version, read_bronze, read_csv_by_name, read_dim, read_predictions
 from headway.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -691,6 +693,44 @@ def bronze_day_scan(w: Warehouse) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).select(*BRONZE_OUT, "dt", "hour")
 
 
+@query
+def static_versions(w: Warehouse) -> DataFrame:
+    """Two refreshes, the second with other routes only: what each version reads, and from where."""
+    source, target = scratch_path(w.spark, "published"), scratch_path(w.spark, "static")
+    dims = w.dims()
+    for version in ("v1", "v2"):
+        for name, rows in dims.items():
+            if name == "routes" and version == "v2":
+                rows = rows.withColumn("route_short_name", F.concat("route_short_name", F.lit(" v2")))
+            if version == "v1" or name == "routes":
+                rows.write.mode("overwrite").option("header", "true").csv(f"{source}/{name}.txt")
+        refresh_static(w.spark, source, target, version)
+    parts = [
+        read_dim(w.spark, target, version, name).agg(
+            F.lit(version).alias("version"), F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("route_short_name").endswith(" v2") if name == "routes" else F.lit(False)).alias("changed"),
+            F.lit(dim_version(w.spark, target, version, name)).alias("held_in"),
+        )
+        for version in ("v1", "v2") for name in dims
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+@query
+def captured_day(w: Warehouse) -> DataFrame:
+    """Predictions captured by day, the newest day's twice, read back for that day and the one before."""
+    root, rows = scratch_path(w.spark, "captured"), w.predictions()
+    (last,) = rows.agg(F.max("service_date")).first()
+    days = [last, last - timedelta(days=1)]
+    for day in (*days, last):
+        write_predictions(rows.where(F.col("service_date") == F.lit(day)), root, "model", str(day))
+    return reduce(DataFrame.union, [
+        read_predictions(w.spark, root, day).groupBy("service_date", "route_id").agg(
+            F.count(F.lit(1)).alias("rows"), F.round(F.sum("predicted_delay_sec"), 1).alias("total")
+        ) for day in days
+    ])
+
+
 @query
 def silver_csv(w: Warehouse) -> DataFrame:
     """Exported with a header, and bound by name again as text."""
@@ -775,6 +815,12 @@ def cost_delta(w: Warehouse) -> DataFrame:
     return rounded(ops.cost_delta(ops.cost_daily(w.cost_items())), 9)
 
 
+@query
+def cost_movers(w: Warehouse) -> DataFrame:
+    """The services that moved most against the day before, ranked by absolute change."""
+    return rounded(ops.cost_movers(ops.cost_delta(ops.cost_daily(w.cost_items())), k=2), 9)
+
+
 @query
 def cost_top_services(w: Warehouse) -> DataFrame:
     return rounded(ops.top_services(ops.cost_daily(w.cost_items())), 9)

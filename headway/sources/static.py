@@ -5,22 +5,20 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from headway import schemas as S
-from headway.sources.tables import read_csv_by_name, read_or_empty
-
-MANIFEST_SCHEMA = T.StructType(
-    [T.StructField(n, T.StringType()) for n in ("name", "digest", "version")]
-    + [T.StructField("loaded_at", T.TimestampType())]
-)
-
+from headway.sources.tables import MANIFEST_SCHEMA, read_csv_by_name, read_or_empty
 
 def content_digest(spark: SparkSession, path: str) -> str:
-    """Digest of a text file's rows, computed in parallel rather than from one blob."""
-    line = F.xxhash64("value")
+    """Digest of a text file's rows in order, computed in parallel rather than from one blob.
+
+    A row's place is its split and its number there, so another split size may make a file
+    look changed, never a changed file the same.
+    """
+    line = F.col("line")
     return (
         spark.read.text(path)
+        .select(F.xxhash64("value", F.monotonically_increasing_id()).alias("line"))
         .agg(
             F.sha2(
                 F.concat_ws(
@@ -40,13 +38,18 @@ def refresh_static(spark: SparkSession, src: str, dst: str, version: str) -> Dat
     """Load the wanted files whose content changed since the last load.
 
     ``src`` holds ``<name>.txt``; changed files become Parquet below
-    ``dst/version=<version>/<name>`` and are noted in ``dst/_manifest``. Running it again
-    on the same files changes nothing. Returns (name, digest, status) for the files seen.
+    ``dst/version=<version>/<name>`` and are noted in ``dst/_manifest``. Files that did not
+    change stay where they are: ``read_dim`` finds a version's files by the manifest. Running
+    it again on the same files changes nothing. Returns (name, digest, status) for the files
+    seen.
     """
     manifest = read_or_empty(spark, f"{dst}/_manifest", MANIFEST_SCHEMA)
-    latest = manifest.groupBy("name").agg(F.max_by("digest", "loaded_at").alias("digest"))
-    loaded = {row["name"]: row["digest"] for row in latest.collect()}  # at most eight rows
-    outcome = []
+    latest = manifest.groupBy("name").agg(
+        F.max_by(F.struct("digest", F.coalesce("held_in", "version").alias("held_in")), "loaded_at").alias("file"),
+        F.max(F.col("version") == version).alias("known"),
+    )
+    loaded = {row["name"]: row for row in latest.collect()}  # at most eight rows
+    outcome, noted = [], []
     for name in S.STATIC_FILES:
         path = f"{src}/{name}.txt"
         try:
@@ -55,8 +58,11 @@ def refresh_static(spark: SparkSession, src: str, dst: str, version: str) -> Dat
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
-        if loaded.get(name) == digest:
+        before = loaded.get(name)
+        if before is not None and before["file"]["digest"] == digest:
             outcome.append((name, digest, "unchanged"))
+            if not before["known"]:
+                noted.append((name, digest, version, before["file"]["held_in"]))
             continue
         if name in S.DIM_COLUMNS:
             rows = read_csv_by_name(spark, path, S.DIM_COLUMNS[name], S.DIM_REQUIRED[name])
@@ -64,10 +70,8 @@ def refresh_static(spark: SparkSession, src: str, dst: str, version: str) -> Dat
             rows = spark.read.option("header", "true").csv(path)
         rows.write.mode("overwrite").parquet(f"{dst}/version={version}/{name}")
         outcome.append((name, digest, "updated"))
-    updated = [(n, d, version) for n, d, status in outcome if status == "updated"]
-    if updated:
-        noted = spark.createDataFrame(updated, "name string, digest string, version string")
-        noted.withColumn("loaded_at", F.current_timestamp()).write.mode("append").parquet(
-            f"{dst}/_manifest"
-        )
+        noted.append((name, digest, version, version))
+    if noted:
+        rows = spark.createDataFrame(noted, "name string, digest string, version string, held_in string")
+        rows.withColumn("loaded_at", F.current_timestamp()).write.mode("append").parquet(f"{dst}/_manifest")
     return spark.createDataFrame(outcome, "name string, digest string, status string")

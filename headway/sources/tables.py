@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +18,13 @@ BRONZE = {
     "trip_updates": S.TRIP_UPDATES_SCHEMA,
     "vehicle_positions": S.VEHICLE_POSITIONS_SCHEMA,
 }
+#: What each refresh of the static files saw, and the version whose folder holds the file.
+MANIFEST_SCHEMA = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("name", "digest", "version", "held_in")]
+    + [T.StructField("loaded_at", T.TimestampType())]
+)
+#: Folders between the root of captured predictions and a day's folder, at most.
+CAPTURE_DEPTH = 3
 
 
 def read_bronze(spark: SparkSession, root: str, feed: str, dt: str | date | None = None
@@ -73,11 +81,27 @@ def read_csv_by_name(spark: SparkSession, path: str, columns: Sequence[str],
     )
 
 
+def dim_version(spark: SparkSession, root: str, version: str, name: str) -> str:
+    """The version whose folder holds ``name`` as of ``version``.
+
+    A refresh writes changed files only, so it is the newest load of the file not after the
+    last refresh of ``version``. Without a manifest, or for a version it does not
+    know, the files are taken to be in the version's own folder.
+    """
+    manifest = read_or_empty(spark, f"{root}/_manifest", MANIFEST_SCHEMA)
+    until = manifest.where(F.col("version") == version).agg(F.max("loaded_at").alias("until"))
+    found = (
+        manifest.where(F.col("name") == name).join(until, F.col("loaded_at") <= F.col("until"))
+        .agg(F.max_by(F.coalesce("held_in", "version"), "loaded_at")).first()[0]
+    )
+    return found or version
+
+
 def read_dim(spark: SparkSession, root: str, version: str, name: str, format: str = "parquet"
              ) -> DataFrame:
     """A static dimension of one version: refreshed Parquet, or the CSV as published."""
     columns = S.DIM_COLUMNS[name]
-    path = f"{root}/version={version}/{name}"
+    path = f"{root}/version={dim_version(spark, root, version, name)}/{name}"
     if format == "csv":
         return read_csv_by_name(spark, path, columns, S.DIM_REQUIRED[name])
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -85,11 +109,15 @@ def read_dim(spark: SparkSession, root: str, version: str, name: str, format: st
 
 
 def read_predictions(spark: SparkSession, root: str, run_date: str | date) -> DataFrame:
-    """Captured predictions below any folder named after the day, as typed columns."""
-    rows = (
-        spark.read.schema(S.PREDICTIONS_SCHEMA).option("recursiveFileLookup", "true").json(root)
-        .where(F.col("_metadata.file_path").contains(f"/{run_date}/"))
-    )
+    """Captured predictions of a day's folder, ``root`` or any folder of it before the day.
+
+    Only the day's folders are listed, up to ``CAPTURE_DEPTH`` folders below ``root``; captures
+    that stand there twice count twice. A day without folder has no rows.
+    """
+    levels = [f"{root}{'/*' * depth}/{run_date}" for depth in range(CAPTURE_DEPTH + 1)]
+    reader = spark.read.schema(S.PREDICTIONS_SCHEMA).option("recursiveFileLookup", "true")
+    parts = [rows for path in levels if (rows := _read_if_found(reader, path)) is not None]
+    rows = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], S.PREDICTIONS_SCHEMA)
     return rows.select(
         "route_id",
         "stop_id",
@@ -100,6 +128,15 @@ def read_predictions(spark: SparkSession, root: str, run_date: str | date) -> Da
     )
 
 
+def _read_if_found(reader: DataFrameReader, path: str) -> DataFrame | None:
+    try:
+        return reader.json(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def load_split(spark: SparkSession, root: str, split: str, keep: Sequence[str] = ()) -> DataFrame:
     """Filled feature vectors and target of the labelled rows of one split."""
     rows = spark.read.parquet(root).where(F.col("split") == split)

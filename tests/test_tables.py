@@ -112,6 +112,18 @@ def test_static_refresh_loads_only_what_changed(spark, tmp_path):
     assert refresh("v3") == {"agency": "unchanged", "routes": "updated"}
     assert R.read_dim(spark, dst, "v1", "routes").first()["route_short_name"] == "one"
     assert R.read_dim(spark, dst, "v3", "routes").first()["route_short_name"] == "uno"
+    assert R.read_dim(spark, dst, "v2", "routes").first()["route_short_name"] == "one"
+    assert [R.dim_version(spark, dst, v, "agency") for v in ("v1", "v2", "v3")] == ["v1"] * 3
+    assert refresh("v3") == {"agency": "unchanged", "routes": "unchanged"}
+    assert spark.read.parquet(f"{dst}/_manifest").count() == 6
+    assert R.dim_version(spark, dst, "v9", "routes") == "v9"
+
+
+def test_a_file_in_another_order_is_another_file(spark, tmp_path):
+    for name, lines in (("a", "1\n2\n3\n"), ("b", "1\n3\n2\n"), ("c", "1\n2\n3\n")):
+        (tmp_path / name).write_text(lines)
+    a, b, c = (static.content_digest(spark, str(tmp_path / n)) for n in "abc")
+    assert a == c != b
 
 
 def test_predictions_of_a_day_from_nested_folders(spark, tmp_path):
