@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway import schemas as S
@@ -112,11 +112,11 @@ def route_state(df: DataFrame, strict: bool = False, exact: bool = False) -> Dat
     """Mean delay and active vehicles of the route.
 
     Default: over the whole service hour, later rows included. ``strict``: only what was
-    snapshot in the 15 minutes before this row's own snapshot. ``exact`` counts vehicles
-    exactly instead of by sketch.
+    snapshot in the 15 minutes before this row's own snapshot, counted exactly. ``exact``
+    counts the hour's vehicles exactly instead of by sketch.
     """
     if strict:
-        return _strict_route_state(df, exact)
+        return _strict_route_state(df)
     vehicles = F.count_distinct if exact else F.approx_count_distinct
     return with_group_values(
         df,
@@ -126,37 +126,52 @@ def route_state(df: DataFrame, strict: bool = False, exact: bool = False) -> Dat
     )
 
 
-def _strict_route_state(df: DataFrame, exact: bool) -> DataFrame:
-    """Range frame of 900 s, cut into 900 s slots.
+def _strict_route_state(df: DataFrame) -> DataFrame:
+    """A sweep over time: what a snapshot adds begins a second after it and ends 900 s later.
 
-    A frame reaches back into the previous slot at most, so each row also serves the next
-    slot as context; slots of a hot route then run in different tasks.
+    Running sums over these beginnings and ends give each row its mean, and its vehicles
+    where every vehicle's overlapping intervals count as one. Time is cut into 900 s slots; an
+    interval reaches into the next slot at most, so each row also serves that one, and the
+    slots of a hot route run in different tasks. Work and memory are linear in the rows.
     """
-    slot = F.floor(F.col("snap_ts_t_minus_15") / LAG_SECONDS)
-    # Rows without a snapshot see nothing and serve nobody.
-    serves = F.when(slot.isNull(), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
-    spread = df.withColumn("_ahead", F.explode(serves)).withColumn(
-        "_slot", slot + F.col("_ahead")
-    )
-    frame = (
-        Window.partitionBy("service_date", "route_id", "_slot")
-        .orderBy("snap_ts_t_minus_15")
-        .rangeBetween(-LAG_SECONDS, -1)
-    )
-    if exact:
-        vehicles = F.size(F.collect_set("vehicle_id").over(frame)).cast("bigint")
-    else:
-        vehicles = F.approx_count_distinct("vehicle_id").over(frame)
-    known = F.col("snap_ts_t_minus_15").isNotNull()
+    at = F.col("snap_ts_t_minus_15")
+    known = at.isNotNull()
+    # Rows without a snapshot see nothing and serve nobody; they are spread by their values.
+    apart = -1 - F.pmod(F.xxhash64(*df.columns), F.lit(64))
+    slot = F.coalesce(F.floor(at / LAG_SECONDS), apart)
+    serves = F.when(known, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    group = ["service_date", "route_id", "_slot"]
+    spread = df.withColumn("_ahead", F.explode(serves)).withColumn("_slot", slot + F.col("_ahead")).repartition(*group)
+    own = Window.partitionBy(*group, "vehicle_id").orderBy(at)
+    before, after = F.lag(at).over(own), F.lead(at).over(own)
+    counts = known & F.col("vehicle_id").isNotNull()
+    begins = (counts & (before.isNull() | (before + LAG_SECONDS < at))).cast("long")
+    ends = (counts & (after.isNull() | (after > at + LAG_SECONDS))).cast("long")
+    delay = F.coalesce(F.col("delay_t_minus_15").cast("double"), F.lit(0.0))
+    n = F.col("delay_t_minus_15").isNotNull().cast("long")
+
+    def event(pos: Column, vehicles: Column, total: Column, rows: Column, is_row: Column) -> Column:
+        return F.struct(pos.cast("long").alias("at"), vehicles.alias("vehicles"), total.alias("total"),
+                        rows.alias("n"), is_row.alias("is_row"))
+
+    none = F.lit(0).cast("long")
+    row = event(at, none, F.lit(0.0), none, F.col("_ahead") == 0)
+    events = F.when(known, F.array(
+        row, event(at + 1, begins, delay, n, F.lit(False)),
+        event(at + LAG_SECONDS + 1, -ends, -delay, -n, F.lit(False)),
+    )).otherwise(F.array(row))
+    swept = spread.withColumn("_events", events).withColumn("_e", F.explode("_events"))
+    so_far = Window.partitionBy(*group).orderBy("_e.at")
+    seen = F.sum("_e.n").over(so_far)
     return (
-        spread.withColumns(
+        swept.withColumns(
             {
-                "mean_route_delay_15m": F.when(known, F.avg("delay_t_minus_15").over(frame)),
-                "vehicles_active_on_route": F.when(known, vehicles),
+                "mean_route_delay_15m": F.when(known & (seen > 0), F.sum("_e.total").over(so_far) / seen),
+                "vehicles_active_on_route": F.when(known, F.sum("_e.vehicles").over(so_far)),
             }
         )
-        .where(F.col("_ahead") == 0)
-        .drop("_ahead", "_slot")
+        .where("_e.is_row")
+        .drop("_ahead", "_slot", "_events", "_e")
     )
 
 

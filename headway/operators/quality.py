@@ -16,6 +16,10 @@ from headway.operators.ranges import discrete_quantiles, value_counts
 _PAIR = "concat(trip_id, '|', stop_id)"
 
 
+#: Binary logarithm of a sketch's number of registers: its standard error is 1.04 / 2^6.
+SKETCH_LOG = 12
+
+
 def _share(part: Column, whole: Column) -> Column:
     return F.coalesce(part / F.nullif(whole, F.lit(0)), F.lit(0.0))
 
@@ -259,3 +263,26 @@ def layer_diff(silver: DataFrame, gold: DataFrame, counts: bool = True) -> DataF
         status = status.when(F.col("silver_labelled") != F.col("gold_rows"), "partial")
     both = s.join(g, "service_date", "full").withColumn("status", status)
     return both.where(F.col("status").isNotNull())
+
+
+def distinct_sketches(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(by..., feature, sketch): a mergeable sketch of each column's different values.
+
+    Stored per day, sketches of many days unite into the count over all of them without
+    reading the days again. NULLs do not count.
+    """
+    sketches = [F.struct(F.lit(c).alias("feature"), F.hll_sketch_agg(F.col(c).cast("string"), SKETCH_LOG).alias("sketch"))
+                for c in columns]
+    return df.groupBy(*by).agg(F.array(*sketches).alias("_stats")).select(*by, F.inline("_stats"))
+
+
+def distinct_estimates(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by..., distinct_values) of united sketches."""
+    return sketches.groupBy(*by).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch", F.lit(False))).alias("distinct_values")
+    )
+
+
+def within_error(estimate: Column, exact: Column) -> Column:
+    """Whether an estimate is within three standard errors of the exact count, or off by one."""
+    return F.abs(estimate - exact) <= F.greatest(F.lit(1.0), exact * 3 * 1.04 / 2 ** (SKETCH_LOG / 2))

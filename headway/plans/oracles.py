@@ -578,6 +578,12 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
     "partition_keys": (("feed",), """
       SELECT coalesce(nullif(route_id, ''), nullif(vehicle_id, ''), 'unknown') AS partition_key,
         count(*) AS rows FROM feed GROUP BY 1"""),
+    "feature_distincts": (("gold",), " UNION ALL ".join(
+        f"SELECT '{n}' AS feature, count(DISTINCT {n}) AS distinct_values, true AS within FROM gold"
+        for n in S.FEATURE_NAMES)),
+    "route_vehicles": (("silver",), """
+      SELECT route_id, count(DISTINCT vehicle_id) AS vehicles, true AS within
+      FROM silver WHERE route_id IS NOT NULL GROUP BY route_id"""),
     # --- live state
     "live_stop_state": (("stop_state",), "SELECT * FROM stop_state"),
     "live_route_state": (("route_state",), "SELECT * FROM route_state"),

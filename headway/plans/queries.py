@@ -311,6 +311,33 @@ def null_rates(w: Warehouse) -> DataFrame:
     return rounded(quality.null_rates(w.gold()), 6)
 
 
+@query
+def feature_distincts(w: Warehouse) -> DataFrame:
+    """Different values per feature from stored daily sketches, beside the exact numbers."""
+    rows = w.gold()
+    stored = stage(quality.distinct_sketches(rows, ["service_date"], S.FEATURE_NAMES), "feature-sketches")
+    exact = rows.agg(F.array(*[
+        F.struct(F.lit(n).alias("feature"), F.count_distinct(n).alias("distinct_values")) for n in S.FEATURE_NAMES
+    ]).alias("_all")).select(F.inline("_all"))
+    estimates = quality.distinct_estimates(stored, ["feature"]).withColumnRenamed("distinct_values", "estimate")
+    return exact.join(estimates, "feature").select(
+        "feature", "distinct_values",
+        quality.within_error(F.col("estimate"), F.col("distinct_values")).alias("within"),
+    )
+
+
+@query
+def route_vehicles(w: Warehouse) -> DataFrame:
+    """Vehicles per route over all days from stored daily sketches, beside the exact numbers."""
+    rows = w.silver().where(F.col("route_id").isNotNull())
+    days = quality.distinct_sketches(rows, ["service_date", "route_id"], ["vehicle_id"])
+    estimates = quality.distinct_estimates(stage(days, "vehicle-sketches"), ["route_id"])
+    exact = rows.groupBy("route_id").agg(F.count_distinct("vehicle_id").alias("vehicles"))
+    return exact.join(estimates, "route_id").select(
+        "route_id", "vehicles", quality.within_error(F.col("distinct_values"), F.col("vehicles")).alias("within")
+    )
+
+
 @query
 def recent_days(w: Warehouse) -> DataFrame:
     return quality.recent_days(w.silver(), min_events=DQ_MIN_ROWS)

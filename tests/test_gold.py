@@ -121,3 +121,25 @@ def test_weather_rows_of_one_hour_do_not_multiply_events(spark):
     assert (got["a"]["temp_c"], got["a"]["wind_kph"]) == (2.0, 4.0)
     assert got["b"]["temp_c"] is None
     assert len(got) == 2
+
+
+def test_strict_route_state_as_by_brute_force(spark):
+    """Vehicles that come back, equal times, rows without time, vehicle or delay."""
+    import random
+
+    rng = random.Random(3)
+    rows = []
+    for k in range(400):
+        at = None if k % 23 == 0 else 1_700_000_000 + rng.choice([rng.randrange(0, 9000), rng.randrange(0, 9000) // 900 * 900])
+        rows.append((date(2024, 1, 5), rng.choice(["R", "Q", None]), f"T{k}", "s", rng.choice(["V1", "V2", "V3", "V4", None]),
+                     at, rng.choice([None, *range(-60, 600, 7)])))
+    df = spark.createDataFrame(rows, "service_date date, route_id string, trip_id string, stop_id string, "
+                               "vehicle_id string, snap_ts_t_minus_15 long, delay_t_minus_15 int")
+    got = {r["trip_id"]: (r["mean_route_delay_15m"], r["vehicles_active_on_route"])
+           for r in G.route_state(df, strict=True).collect()}
+    for _, route, trip, _, _, at, _ in rows:
+        seen = [r for r in rows if at is not None and r[1] == route and r[5] is not None and at - 900 <= r[5] <= at - 1]
+        delays = [r[6] for r in seen if r[6] is not None]
+        mean = sum(delays) / len(delays) if delays else None
+        vehicles = None if at is None else len({r[4] for r in seen} - {None})
+        assert got[trip] == (mean, vehicles), trip
