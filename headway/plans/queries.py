@@ -712,12 +712,11 @@ BRONZE_OUT = ["trip_id", "route_id", "stop_id", "ingest_ts", "arrival_time", "ar
 
 @query
 def bronze_day_scan(w: Warehouse) -> DataFrame:
-    """Each landing day's partition, found by its date."""
+    """The partitions of all landing days, found by their dates in one scan."""
     path = scratch_path(w.spark, "bronze-table")
     write_partitions(_both_feeds(w), path, ["record_type", "dt", "hour"])
     days = [r["dt"] for r in w.trip_updates().select("dt").distinct().collect()]
-    parts = [read_bronze(w.spark, path, "trip_updates", day) for day in days]
-    return reduce(DataFrame.unionByName, parts).select(*BRONZE_OUT, "dt", "hour")
+    return read_bronze(w.spark, path, "trip_updates", days).select(*BRONZE_OUT, "dt", "hour")
 
 
 @query

@@ -27,13 +27,14 @@ MANIFEST_SCHEMA = T.StructType(
 CAPTURE_DEPTH = 3
 
 
-def read_bronze(spark: SparkSession, root: str, feed: str, dt: str | date | None = None
-                ) -> DataFrame:
-    """Landed rows of one feed, for one landing day or all; both prune partitions."""
+def read_bronze(spark: SparkSession, root: str, feed: str,
+                dt: str | date | Sequence[str | date] | None = None) -> DataFrame:
+    """Landed rows of one feed, for one landing day, several or all, in one scan of their partitions."""
     schema = BRONZE[feed]
     rows = spark.read.schema(schema).parquet(root).where(F.col("record_type") == feed)
     if dt is not None:
-        rows = rows.where(F.col("dt") == str(dt))
+        days = [dt] if isinstance(dt, str | date) else dt
+        rows = rows.where(F.col("dt").isin([str(day) for day in days]))
     return rows.select(*schema.names)
 
 
