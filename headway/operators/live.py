@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway import schemas as S
@@ -16,6 +17,7 @@ from headway.functions.columns import (
     plausible,
     weekend,
 )
+from headway.operators.gold import route_state
 from headway.operators.ranges import ordered_context
 
 
@@ -72,10 +74,8 @@ def stop_state(rows: DataFrame, now: Column | None = None, ttl: int = S.STATE_TT
     )
 
 
-def route_state_batch(rows: DataFrame, now: Column | None = None, ttl: int = S.STATE_TTL_SECONDS
-                      ) -> DataFrame:
-    """Mean delay and distinct vehicles of a batch, for every route with a plausible delay."""
-    now = now if now is not None else F.unix_timestamp()
+def _route_values() -> tuple[Column, Column]:
+    """What a row adds to its route: a plausible delay at a stop, or a vehicle's position."""
     counts = (F.col("record_type") != "vehicle_positions") | F.col("record_type").isNull()
     stop = blank_to_null(F.col("stop_id")).isNotNull()
     delay = F.when(
@@ -84,6 +84,14 @@ def route_state_batch(rows: DataFrame, now: Column | None = None, ttl: int = S.S
     vehicle = F.when(
         F.col("record_type") == "vehicle_positions", blank_to_null(F.col("vehicle_id"))
     )
+    return delay, vehicle
+
+
+def route_state_batch(rows: DataFrame, now: Column | None = None, ttl: int = S.STATE_TTL_SECONDS
+                      ) -> DataFrame:
+    """Mean delay and distinct vehicles of a batch, for every route with a plausible delay."""
+    now = now if now is not None else F.unix_timestamp()
+    delay, vehicle = _route_values()
     return (
         rows.where(blank_to_null(F.col("route_id")).isNotNull())
         .groupBy("route_id")
@@ -145,11 +153,14 @@ def with_upstream_state(state: DataFrame) -> DataFrame:
 
 
 def request_features(requests: DataFrame, stops: DataFrame, routes: DataFrame,
-                     priors: DataFrame, now: datetime | Column, zone: str = "UTC") -> DataFrame:
+                     priors: DataFrame, now: datetime | Column, zone: str = "UTC",
+                     by: Sequence[str] = ()) -> DataFrame:
     """The contract's features for each (route_id, stop_id) request, NULL where unknown.
 
     Three left joins stand for three lookups per request. The clock runs through the same
-    function as the offline features, so both sides agree on the hour.
+    function as the offline features, so both sides agree on the hour. ``by`` names further
+    columns that requests, stops and routes are matched by, such as the time of the request.
+    Priors with a column ``as_of`` are those of the request's own date.
     """
     epoch = F.lit(int(now.timestamp())) if isinstance(now, datetime) else now
     clock = local_time(F.col("_now"), zone)
@@ -169,23 +180,103 @@ def request_features(requests: DataFrame, stops: DataFrame, routes: DataFrame,
     )
     have = stops.columns
     current = stops.select(
-        "route_id", "stop_id", "trip_id", "stop_sequence",
+        "route_id", "stop_id", *by, "trip_id", "stop_sequence",
         F.col("current_delay").alias("delay_t_minus_15"),
         *[F.col(c) for c in ("prev_stop_delay",) if c in have],
         *[F.col("upstream_delay").alias("upstream_delay_same_trip")
           for c in ("upstream_delay",) if c in have],
     )
     route = routes.select(
-        "route_id",
+        "route_id", *by,
         *[c for c in ("mean_route_delay_15m", "vehicles_active_on_route", "preceding_trip_delay",
                       *S.WEATHER_FALLBACK, "active_alert_on_route") if c in routes.columns],
     )
-    stats = priors.drop("pk", "sk", "updated_at")
+    stats = priors.drop("pk", "sk", "updated_at").withColumnRenamed("as_of", "service_date")
+    dated = [c for c in ("service_date",) if c in stats.columns]
     joined = (
-        timed.join(current, ["route_id", "stop_id"], "left")
-        .join(route, "route_id", "left")
-        .join(stats, ["route_id", "stop_id", "is_weekend", "hour_of_day"], "left")
+        timed.join(current, ["route_id", "stop_id", *by], "left")
+        .join(route, ["route_id", *by], "left")
+        .join(stats, ["route_id", "stop_id", "is_weekend", "hour_of_day", *dated], "left")
         .drop("_now")
     )
     absent = [n for n in S.FEATURE_NAMES if n not in joined.columns]
     return joined.withColumns({n: F.lit(None).cast("double") for n in absent})
+
+
+# --- live state as it was ------------------------------------------------------------
+
+
+def stop_state_at(rows: DataFrame, asked: DataFrame, ttl: int = S.STATE_TTL_SECONDS) -> DataFrame:
+    """The state of each asked (route_id, stop_id) as it was at ``asked_at``, if alive then.
+
+    Equals ``stop_state`` over the rows up to that second. Time is cut into slots of ``ttl``:
+    a row is alive in its own slot and the next at most, so it goes to both, each slot is
+    swept once in its own task, and neither a busy stop nor a long history makes one group.
+    Rows of one second are reduced to one before. Rows without a time take no part.
+    """
+    place = ["route_id", "stop_id"]
+    value = F.struct(
+        F.round(number(F.col("arrival_delay")), 3).alias("current_delay"),
+        F.coalesce("trip_id", F.lit("")).alias("trip_id"),
+        F.coalesce("stop_sequence", F.lit(0)).alias("stop_sequence"),
+    )
+    updates = (
+        live_arrivals(rows).where(F.col("ingest_ts").isNotNull())
+        .groupBy(*place, F.col("ingest_ts").cast("long").alias("_at")).agg(F.max(value).alias("_s"))
+        .withColumn("_updated", F.col("_at"))
+    )
+    slot = F.floor(F.col("_at") / ttl)
+    serving = updates.withColumn("_slot", F.explode(F.array(slot, slot + 1)))
+    questions = (
+        asked.select(*place, F.col("asked_at").cast("long").alias("_at"))
+        .where(F.col("_at").isNotNull()).distinct().withColumn("_slot", slot)
+    )
+    events = serving.withColumn("_asks", F.lit(False)).unionByName(
+        questions.withColumn("_asks", F.lit(True)), allowMissingColumns=True
+    )
+    so_far = Window.partitionBy(*place, "_slot").orderBy("_at", "_asks").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    answers = events.withColumns(
+        {c: F.last(c, ignorenulls=True).over(so_far) for c in ("_s", "_updated")}
+    )
+    return answers.where(F.col("_asks") & (F.col("_updated") > F.col("_at") - ttl)).select(
+        *place, F.col("_at").alias("asked_at"), "_s.*", F.col("_updated").alias("updated_at")
+    )
+
+
+def route_state_at(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """Mean delay and vehicles of each asked route over the 15 minutes before ``asked_at``.
+
+    The same sweep as the strict offline form, over feed rows; questions add nothing to it.
+    """
+    delay, vehicle = _route_values()
+    names = ("route_id", "snap_ts_t_minus_15", "delay_t_minus_15", "vehicle_id", "asked_at")
+    fed = rows.where(blank_to_null(F.col("route_id")).isNotNull() & F.col("ingest_ts").isNotNull()).select(
+        "route_id", F.col("ingest_ts").cast("long"), delay, vehicle, F.lit(None).cast("long")
+    ).toDF(*names)
+    at = F.col("asked_at").cast("long")
+    questions = asked.where(at.isNotNull()).select(
+        "route_id", at, F.lit(None).cast("double"), F.lit(None).cast("string"), at
+    ).toDF(*names).distinct()
+    both = fed.unionByName(questions).withColumn("service_date", F.lit(None).cast("date"))
+    return route_state(both, strict=True).where(F.col("asked_at").isNotNull()).select(
+        "route_id", "asked_at", "mean_route_delay_15m", "vehicles_active_on_route"
+    )
+
+
+def replayed_features(asked: DataFrame, rows: DataFrame, priors: DataFrame, zone: str = "UTC",
+                      ttl: int = S.STATE_TTL_SECONDS) -> DataFrame:
+    """What online scoring would have read for every asked row at its own ``asked_at``.
+
+    ``asked``: keys, ``route_id``, ``stop_id`` and ``asked_at`` (seconds); rows that ask the
+    same are answered once. Rows without a route or time are answered with nothing but NULLs.
+    """
+    question = ["route_id", "stop_id", "asked_at"]
+    distinct = asked.withColumn("asked_at", F.col("asked_at").cast("long")).select(*question).distinct()
+    features = request_features(
+        distinct, stop_state_at(rows, distinct, ttl), route_state_at(rows, distinct), priors,
+        F.col("asked_at"), zone, by=("asked_at",),
+    )
+    keys = [c for c in asked.columns if c not in S.FEATURE_NAMES]
+    return asked.select(*keys).join(features.select(*question, *S.FEATURE_NAMES), question, "left")

@@ -228,22 +228,39 @@ def uncovered(df: DataFrame) -> DataFrame:
     return filled.select(F.explode(F.array_compact(F.array(*missing))).alias("feature"))
 
 
-def feature_mismatches(offline: DataFrame, online: DataFrame, keys: Sequence[str],
-                       tol: float = 1e-6) -> DataFrame:
-    """Features whose offline and online values differ for the same row."""
+def _both_vectors(offline: DataFrame, online: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Both sides' vectors of every row that both have, as structs ``_a`` and ``_b``."""
     def packed(df: DataFrame, side: str) -> DataFrame:
         values = F.struct(*[F.col(f).cast("double").alias(f) for f in S.FEATURE_NAMES])
         return feature_columns(df, keys).select(*keys, values.alias(side))
 
     # Joined wide: what differs is unfolded after the join, not all features before it.
-    both = packed(offline, "_a").join(packed(online, "_b"), list(keys))
+    return packed(offline, "_a").join(packed(online, "_b"), list(keys))
+
+
+def feature_mismatches(offline: DataFrame, online: DataFrame, keys: Sequence[str],
+                       tol: float = 1e-6) -> DataFrame:
+    """Features whose offline and online values differ for the same row."""
     each = F.array(*[
         F.struct(F.lit(f).alias("feature"), F.col(f"_a.{f}").alias("offline"),
                  F.col(f"_b.{f}").alias("online"))
         for f in S.FEATURE_NAMES
     ])
     differing = F.filter(each, lambda d: F.abs(d["offline"] - d["online"]) > tol)
-    return both.select(*keys, F.inline(differing))
+    return _both_vectors(offline, online, keys).select(*keys, F.inline(differing))
+
+
+def feature_parity(offline: DataFrame, online: DataFrame, keys: Sequence[str],
+                   tol: float = 1e-6) -> DataFrame:
+    """Per feature of the contract: rows compared, rows that differ, and the largest difference."""
+    each = []
+    for f in S.FEATURE_NAMES:
+        gap = F.abs(F.col(f"_a.{f}") - F.col(f"_b.{f}"))
+        each.append(F.struct(
+            F.lit(f).alias("feature"), n_rows().alias("compared"),
+            F.count_if(gap > tol).alias("differing"), F.max(gap).alias("largest"),
+        ))
+    return _both_vectors(offline, online, keys).agg(F.array(*each).alias("_all")).select(F.inline("_all"))
 
 
 def layer_diff(silver: DataFrame, gold: DataFrame, counts: bool = True) -> DataFrame:

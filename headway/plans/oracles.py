@@ -220,6 +220,48 @@ cte("stop_state", ("live_rows",), """
   FROM live_rows
   QUALIFY row_number() OVER (PARTITION BY route_id, stop_id ORDER BY ingest_ts DESC,
     arrival_delay DESC, trip_id DESC, stop_sequence DESC) = 1""")
+cte("asked", ("gold",), """
+  SELECT service_date, trip_id, stop_id, route_id, snap_ts_t_minus_15 AS asked_at,
+    make_timestamp(snap_ts_t_minus_15 * 1000000) AS clock
+  FROM gold WHERE route_id IS NOT NULL AND snap_ts_t_minus_15 IS NOT NULL""")
+cte("asked_stops", ("asked", "live_rows"), f"""
+  SELECT a.route_id, a.stop_id, a.asked_at, arrival_delay, coalesce(stop_sequence, 0) AS stop_sequence
+  FROM (SELECT DISTINCT route_id, stop_id, asked_at FROM asked) a
+  JOIN live_rows l ON l.route_id = a.route_id AND l.stop_id = a.stop_id
+    AND l.ingest_ts <= a.asked_at AND l.ingest_ts > a.asked_at - {S.STATE_TTL_SECONDS}
+  QUALIFY row_number() OVER (PARTITION BY a.route_id, a.stop_id, a.asked_at
+    ORDER BY ingest_ts DESC, arrival_delay DESC, trip_id DESC, stop_sequence DESC) = 1""")
+cte("route_feed", ("live_rows", "positions"), """
+  SELECT route_id, ingest_ts, arrival_delay, NULL AS vehicle_id FROM live_rows
+  UNION ALL SELECT route_id, ingest_ts, NULL, vehicle_id FROM positions""")
+cte("asked_routes", ("asked", "route_feed"), """
+  SELECT a.route_id, a.asked_at, avg(arrival_delay) AS mean_delay, count(DISTINCT vehicle_id) AS vehicles
+  FROM (SELECT DISTINCT route_id, asked_at FROM asked) a
+  LEFT JOIN route_feed f ON f.route_id = a.route_id
+    AND f.ingest_ts < a.asked_at AND f.ingest_ts >= a.asked_at - 900
+  GROUP BY ALL""")
+# What scoring knows; all other features are at their defaults there.
+ONLINE = {
+    "hour_of_day": "extract(hour FROM a.clock)", "day_of_week": "extract(dow FROM a.clock) + 1",
+    "is_weekend": "CAST(extract(dow FROM a.clock) IN (0, 6) AS INTEGER)",
+    "is_peak": "CAST(extract(hour FROM a.clock) IN (7, 8, 15, 16, 17) AS INTEGER)",
+    "minutes_since_service_start": "extract(hour FROM a.clock) * 60 + extract(minute FROM a.clock)",
+    "stop_sequence": "s.stop_sequence", "delay_t_minus_15": "s.arrival_delay",
+    "mean_route_delay_15m": "r.mean_delay", "vehicles_active_on_route": "r.vehicles",
+    **{n: f"p.{n}" for n in ("hist_median_delay", "hist_p90_delay", "hist_std_delay", "hist_n")},
+}
+cte("online", ("asked", "asked_stops", "asked_routes", "priors"),
+    "  SELECT a.service_date, a.trip_id, a.stop_id,\n" + ",\n".join(
+        f"    coalesce(CAST({ONLINE.get(n, 'NULL')} AS DOUBLE), {d}) AS {n}" for n, d in S.FEATURES) + """
+  FROM asked a
+  LEFT JOIN asked_stops s ON s.route_id = a.route_id AND s.stop_id = a.stop_id AND s.asked_at = a.asked_at
+  LEFT JOIN asked_routes r ON r.route_id = a.route_id AND r.asked_at = a.asked_at
+  LEFT JOIN priors p ON p.as_of = CAST(a.clock AS DATE) AND p.route_id = a.route_id
+    AND p.stop_id = a.stop_id AND p.hour_of_day = extract(hour FROM a.clock)
+    AND p.is_weekend = CAST(extract(dow FROM a.clock) IN (0, 6) AS INTEGER)""")
+cte("paths", ("vectors", "online"), "  SELECT service_date, trip_id, stop_id, unnest([\n" + ",\n".join(
+    f"    {{'feature': '{n}', 'offline': v.{n}, 'online': o.{n}}}" for n in S.FEATURE_NAMES) + """
+    ], recursive := true) FROM vectors v JOIN online o USING (service_date, trip_id, stop_id)""")
 cte("route_state", ("live_rows", "positions"), """
   SELECT 'ROUTE#' || route_id AS pk, 'ROUTESTATE' AS sk, route_id,
     round(avg(arrival_delay), 3) AS mean_route_delay_15m,
@@ -435,6 +477,12 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
         CAST(coalesce(delay_t_minus_5, 0) AS DOUBLE) AS online
       FROM gold
       WHERE abs(coalesce(delay_t_minus_15, 0) - coalesce(delay_t_minus_5, 0)) > 1e-6"""),
+    "replayed_mismatches": (("paths",), """
+      SELECT service_date, trip_id, stop_id, feature, round(offline, 4) AS offline, round(online, 4) AS online
+      FROM paths WHERE abs(offline - online) > 1e-6"""),
+    "feature_parity": (("paths",), """
+      SELECT feature, count(*) AS compared, count_if(abs(offline - online) > 1e-6) AS differing,
+        round(max(abs(offline - online)), 4) AS largest FROM paths GROUP BY feature"""),
     "uncovered_features": (("silver",), "SELECT unnest([" + ", ".join(
         f"'{n}'" for n in S.FEATURE_NAMES if n not in S.STOP_EVENTS_SCHEMA.names)
         + "]) AS feature FROM (SELECT count(*) FROM silver)"),
@@ -739,7 +787,7 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
 BY_SERVICE_DATE = (
     "silver_enriched silver_terminus silver_clamped silver_upsert silver_merge_whole_row gold_prev_stop "
     "gold_upstream_mean gold_preceding_trip gold_route_hour gold_route_strict "
-    "gold_weather_join gold_features feature_vector feature_csv fill_rate feature_mismatches "
+    "gold_weather_join gold_features feature_vector feature_csv fill_rate feature_mismatches replayed_mismatches "
     "dq_stats dq_rules dedupe_check coverage null_rates recent_days gold_days layer_diff "
     "backtest_daily time_split stream_silver gbt_stumps captured_day"
 ).split()

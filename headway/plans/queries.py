@@ -249,6 +249,26 @@ def feature_mismatches(w: Warehouse) -> DataFrame:
     return quality.feature_mismatches(offline, online, ROW)
 
 
+def _both_paths(w: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """Gold rows, and what scoring would have read at the moment of each row's own snapshot."""
+    offline = w.gold().where("route_id IS NOT NULL AND snap_ts_t_minus_15 IS NOT NULL")
+    asked = offline.select(*ROW, "route_id", F.col("snap_ts_t_minus_15").alias("asked_at"))
+    days = asked.select(F.to_date(F.timestamp_seconds("asked_at")).alias("as_of"))
+    priors = gold.historical_priors_by_day(w.silver(), days, min_count=MIN_CELL)
+    return offline, live.replayed_features(asked, _both_feeds(w), priors)
+
+
+@query
+def replayed_mismatches(w: Warehouse) -> DataFrame:
+    """Every feature that differs between a stored row and live state as it was then."""
+    return rounded(quality.feature_mismatches(*_both_paths(w), ROW), 4)
+
+
+@query
+def feature_parity(w: Warehouse) -> DataFrame:
+    return rounded(quality.feature_parity(*_both_paths(w), ROW), 4)
+
+
 @query
 def uncovered_features(w: Warehouse) -> DataFrame:
     return quality.uncovered(w.silver())
