@@ -68,6 +68,26 @@ def historical_priors(silver: DataFrame, as_of: date, lookback: int = S.LOOKBACK
     return _priors(value_counts(past, CELL, S.TARGET), CELL, min_count)
 
 
+def daily_histograms(silver: DataFrame) -> DataFrame:
+    """Arrivals per day, cell and delay: all that priors need of a day, and far smaller.
+
+    Arrivals without a label are counted under NULL, so every day of silver has rows and
+    replacing a day's partition always replaces the old one.
+    """
+    counted = silver.groupBy("service_date", *CELL, S.TARGET).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(*S.HISTOGRAM_SCHEMA.names)
+
+
+def priors_of_histograms(daily: DataFrame, as_of: date, lookback: int = S.LOOKBACK_DAYS,
+                         min_count: int = S.MIN_CELL_ROWS) -> DataFrame:
+    """``historical_priors`` from kept daily histograms instead of silver."""
+    past = daily.where(
+        (F.col("service_date") < F.lit(as_of))
+        & (F.col("service_date") >= F.date_sub(F.lit(as_of), lookback))
+    )
+    return _priors(value_counts(past, CELL, S.TARGET, "n"), CELL, min_count)
+
+
 def historical_priors_by_day(silver: DataFrame, days: DataFrame,
                              lookback: int = S.LOOKBACK_DAYS,
                              min_count: int = S.MIN_CELL_ROWS) -> DataFrame:
@@ -79,6 +99,14 @@ def historical_priors_by_day(silver: DataFrame, days: DataFrame,
     row meets the at most ``lookback`` dates it counts for, never the whole history.
     """
     daily = value_counts(labelled(silver), ("service_date", *CELL), S.TARGET)
+    return priors_of_histograms_by_day(daily, days, lookback, min_count)
+
+
+def priors_of_histograms_by_day(daily: DataFrame, days: DataFrame,
+                                lookback: int = S.LOOKBACK_DAYS,
+                                min_count: int = S.MIN_CELL_ROWS) -> DataFrame:
+    """``historical_priors_by_day`` from kept daily histograms."""
+    daily = labelled(daily)
     later = F.sequence(F.date_add("service_date", 1), F.date_add("service_date", lookback))
     asked = ["as_of", *CELL] if set(CELL) <= set(days.columns) else ["as_of"]
     spread = daily.withColumn("as_of", F.explode(later)).join(
@@ -197,27 +225,38 @@ def join_weather(df: DataFrame, weather: DataFrame | None = None,
     )
 
 
-def build_features(silver: DataFrame, as_of: date | Sequence[date] | None,
+def build_features(silver: DataFrame, as_of: date | Sequence[date] | DataFrame | None,
                    weather: DataFrame | None = None, zone: str = "UTC",
                    lookback: int = S.LOOKBACK_DAYS, min_count: int = S.MIN_CELL_ROWS,
-                   strict: bool = False, exact: bool = False) -> DataFrame:
-    """Feature rows of one run date, of several, or (``None``) of every date in silver."""
+                   strict: bool = False, exact: bool = False,
+                   histograms: DataFrame | None = None) -> DataFrame:
+    """Feature rows of one run date, of several, or (``None``) of every date in silver.
+
+    A table of dates (``service_date``) may be a part of the plan, such as the dates that
+    pass the gate. With kept ``histograms`` priors do not read silver at all.
+    """
     if isinstance(as_of, date):
         today = day(silver, as_of)
-        priors = historical_priors(silver, as_of, lookback, min_count)
+        priors = (
+            historical_priors(silver, as_of, lookback, min_count) if histograms is None
+            else priors_of_histograms(histograms, as_of, lookback, min_count)
+        )
         prior_keys = list(CELL)
     else:
-        today, past = silver, silver
-        if as_of is not None:
+        today, past = silver, silver if histograms is None else histograms
+        if isinstance(as_of, DataFrame):
+            today = silver.join(as_of.select("service_date"), "service_date", "left_semi")
+        elif as_of is not None:
             # Dates known beforehand prune the scans: the days themselves, and their history.
             dates = sorted(as_of)
             today = silver.where(F.col("service_date").isin(dates))
-            past = silver.where(
+            past = past.where(
                 (F.col("service_date") < F.lit(dates[-1]))
                 & (F.col("service_date") >= F.date_sub(F.lit(dates[0]), lookback))
             )
         cells = today.select(F.col("service_date").alias("as_of"), *CELL)
-        priors = historical_priors_by_day(past, cells, lookback, min_count)
+        by_day = historical_priors_by_day if histograms is None else priors_of_histograms_by_day
+        priors = by_day(past, cells, lookback, min_count)
         priors = priors.withColumnRenamed("as_of", "service_date")
         prior_keys = ["service_date", *CELL]
     rows = route_state(upstream_features(today), strict, exact)

@@ -182,6 +182,12 @@ def dq_rules(df: DataFrame, min_rows: int = S.DQ_MIN_ROWS, min_label: float = S.
     return dq_stats(df, by).select(*by, F.inline(as_rows))
 
 
+def passing_dates(rules: DataFrame) -> DataFrame:
+    """The dates none of whose rules failed, as a table; a rule without a verdict fails."""
+    verdict = F.every(F.coalesce("passed", F.lit(False)))
+    return rules.groupBy("service_date").agg(verdict.alias("_good")).where("_good").select("service_date")
+
+
 # --- gold ---------------------------------------------------------------------
 
 

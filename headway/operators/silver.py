@@ -215,33 +215,27 @@ def merge_silver(target: DataFrame, staged: DataFrame) -> DataFrame:
     and places in trips are counted again over the merged rows, so both sides must hold
     whole service dates. Rows stored without leads take the lead to the observed arrival.
     """
-    merged = merge_newer(target, staged, S.SILVER_KEY, SILVER_VERSION)
-    nearest = []
-    for side, df in (("_t", target), ("_s", staged)):
-        snaps = []
-        for h in S.HORIZONS:
-            lead = F.coalesce(
-                lead_column(h), F.col("observed_arrival_epoch") - F.col(f"snap_ts_t_minus_{h}")
-            )
-            snap = F.struct(
-                (-lead).alias("near"), F.col(f"snap_ts_t_minus_{h}").alias("ts"),
-                F.col(f"delay_t_minus_{h}").alias("delay"),
-            )
-            snaps.append(F.when(lead.isNotNull(), snap).alias(f"{side}_{h}"))
-        nearest.append(df.select(*S.SILVER_KEY, *snaps))
-    both = nearest[0].join(nearest[1], list(S.SILVER_KEY), "full")
-    best = {h: F.greatest(f"_t_{h}", f"_s_{h}") for h in S.HORIZONS}
-    snapshots = both.select(
-        *S.SILVER_KEY,
-        *[best[h]["delay"].alias(f"delay_t_minus_{h}") for h in S.HORIZONS],
-        *[best[h]["ts"].alias(f"snap_ts_t_minus_{h}") for h in S.HORIZONS],
-        *[(-best[h]["near"]).alias(lead_column(h)) for h in S.HORIZONS],
-    )
-    replaced = [c for c in snapshots.columns if c not in S.SILVER_KEY]
-    rows = merged.drop(*replaced).join(snapshots, list(S.SILVER_KEY))
+    snapshots: dict[str, Column] = {}
+    for h in S.HORIZONS:
+        nearest = F.greatest(_stored_snapshot("_t", h), _stored_snapshot("_s", h))
+        snapshots[f"delay_t_minus_{h}"] = nearest["delay"]
+        snapshots[f"snap_ts_t_minus_{h}"] = nearest["ts"]
+        snapshots[lead_column(h)] = -nearest["near"]
+    rows = merge_newer(target, staged, S.SILVER_KEY, SILVER_VERSION, computed=snapshots)
     return place_in_trip(rows).select(*target.columns)
 
 
+def _stored_snapshot(side: str, h: int) -> Column:
+    """One side's snapshot, nearest to its arrival first; NULL where that side has none."""
+    row = F.col(side)
+    lead = F.coalesce(
+        row[lead_column(h)], row["observed_arrival_epoch"] - row[f"snap_ts_t_minus_{h}"]
+    )
+    return F.when(lead.isNotNull(), F.struct(
+        (-lead).alias("near"), row[f"snap_ts_t_minus_{h}"].alias("ts"), row[f"delay_t_minus_{h}"].alias("delay")
+    ))
+
+
 def upsert_silver(spark: SparkSession, path: str, staged: DataFrame) -> list:
     """Merge a build with leads into the stored table; returns the service dates touched."""
     return upsert_with(spark, path, staged, "service_date", merge_silver)

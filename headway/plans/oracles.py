@@ -400,6 +400,12 @@ NULL_RATES = " UNION ALL ".join(
     f" coalesce(min({n}) = max({n}), true) AS is_constant FROM gold GROUP BY service_date"
     for n in S.FEATURE_NAMES
 )
+PRIORS_OF_LAST_DAY = f"""
+      SELECT route_id, stop_id, is_weekend, hour_of_day, {STATS.replace(
+          'stddev_samp(observed_delay_sec)', 'round(stddev_samp(observed_delay_sec), 4)')}
+      FROM silver, (SELECT max(service_date) AS d FROM silver)
+      WHERE service_date < d AND service_date >= d - 28 AND observed_delay_sec IS NOT NULL
+      GROUP BY route_id, stop_id, is_weekend, hour_of_day HAVING count(*) >= {MIN_CELL}"""
 cte("upserted", ("silver_am", "silver_pm"), f"""
   SELECT {ROW}, """ + ", ".join(
     f"CASE WHEN t.trip_id IS NULL OR s.last_seen_ts > t.last_seen_ts THEN "
@@ -436,12 +442,15 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
     "gold_priors": (("priors",), """
       SELECT as_of, route_id, stop_id, is_weekend, hour_of_day, hist_median_delay, hist_p90_delay,
         round(hist_std_delay, 4) AS hist_std_delay, hist_n FROM priors"""),
-    "gold_priors_run_date": (("silver",), f"""
-      SELECT route_id, stop_id, is_weekend, hour_of_day, {STATS.replace(
-          'stddev_samp(observed_delay_sec)', 'round(stddev_samp(observed_delay_sec), 4)')}
-      FROM silver, (SELECT max(service_date) AS d FROM silver)
-      WHERE service_date < d AND service_date >= d - 28 AND observed_delay_sec IS NOT NULL
-      GROUP BY route_id, stop_id, is_weekend, hour_of_day HAVING count(*) >= {MIN_CELL}"""),
+    "gold_priors_run_date": (("silver",), PRIORS_OF_LAST_DAY),
+    "gold_priors_kept": (("silver",), PRIORS_OF_LAST_DAY),
+    "backfill_days": (("gold", "dq"), f"""
+      SELECT {ROW}, observed_delay_sec, prev_stop_delay, preceding_trip_delay, hist_median_delay, hist_n,
+        round(upstream_delay_same_trip, 6) AS upstream_delay_same_trip,
+        round(mean_route_delay_15m, 6) AS mean_route_delay_15m, round(temp_c, 6) AS temp_c
+      FROM gold JOIN dq USING (service_date), (SELECT ceil(avg(rows)) AS least, max(service_date) AS d FROM dq)
+      WHERE service_date >= d - 9 AND rows >= least AND distinct_keys / rows >= 0.999
+        AND coalesce(min_delay >= -1800 AND max_delay <= 7200, true)"""),
     "gold_prev_stop": (("context",), f"SELECT {ROW}, prev_stop_delay FROM context"),
     "gold_upstream_mean": (("context",), f"""
       SELECT {ROW}, round(upstream_delay_same_trip, 6) AS upstream_delay_same_trip FROM context"""),
@@ -787,7 +796,8 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
 BY_SERVICE_DATE = (
     "silver_enriched silver_terminus silver_clamped silver_upsert silver_merge_whole_row gold_prev_stop "
     "gold_upstream_mean gold_preceding_trip gold_route_hour gold_route_strict "
-    "gold_weather_join gold_features feature_vector feature_csv fill_rate feature_mismatches replayed_mismatches "
+    "gold_weather_join gold_features feature_vector feature_csv fill_rate feature_mismatches "
+    "replayed_mismatches backfill_days "
     "dq_stats dq_rules dedupe_check coverage null_rates recent_days gold_days layer_diff "
     "backtest_daily time_split stream_silver gbt_stumps captured_day"
 ).split()

@@ -19,6 +19,7 @@ from headway.functions.columns import (
 )
 from headway.models import regressor
 from headway.operators import analytics, backtest, feed, gold, live, ops, quality, silver
+from headway.plans import daily
 from headway.plans.warehouse import MIN_CELL, Warehouse
 from headway.session import scratch_path, stage
 from headway.sinks.tables import (
@@ -171,6 +172,39 @@ def gold_priors_run_date(w: Warehouse) -> DataFrame:
     return rounded(gold.historical_priors(rows, _last_day(rows), min_count=MIN_CELL), 4)
 
 
+@query
+def gold_priors_kept(w: Warehouse) -> DataFrame:
+    """Priors of the last day from kept daily histograms: all days but the last two written once,
+    the last three then as two runs would, each replacing the dates it touched."""
+    path, rows = scratch_path(w.spark, "histograms"), w.silver()
+    last = _last_day(rows)
+    at = F.col("service_date")
+    early = rows.where(at < F.date_sub(F.lit(last), 1))
+    # The third day from the end lacks its afternoon at first, as if that landed a day later.
+    write_partitions(gold.daily_histograms(
+        early.where((at < F.date_sub(F.lit(last), 2)) | (F.col("hour_of_day") < 12))), path, ["service_date"])
+    for first in (2, 1):
+        touched = rows.where(at.isin([last - timedelta(days=first), last - timedelta(days=first - 1)]))
+        write_partitions(gold.daily_histograms(touched), path, ["service_date"])
+    kept = w.spark.read.schema(S.HISTOGRAM_SCHEMA).parquet(path)
+    return rounded(gold.priors_of_histograms(kept, last, min_count=MIN_CELL), 4)
+
+
+@query
+def backfill_days(w: Warehouse) -> DataFrame:
+    """Gold of the newest ten days in one plan; days with fewer rows than the mean day fail."""
+    rows = w.silver()
+    last, least = rows.agg(
+        F.max("service_date"), F.ceil(F.count(F.lit(1)) / F.count_distinct("service_date"))
+    ).first()
+    _, features = daily.gated_features(
+        rows, last - timedelta(days=9), last, (least, 0.0, S.DQ_MIN_UNIQUE), w.weather(), min_cell=MIN_CELL
+    )
+    out = features.select(*ROW, S.TARGET, "prev_stop_delay", "upstream_delay_same_trip", "preceding_trip_delay",
+                          "mean_route_delay_15m", "hist_median_delay", "hist_n", "temp_c")
+    return rounded(out, 6)
+
+
 @query
 def gold_prev_stop(w: Warehouse) -> DataFrame:
     return gold.upstream_features(w.silver()).select(*ROW, "prev_stop_delay")

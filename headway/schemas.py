@@ -117,6 +117,12 @@ LIVE_ROW = T.StructType(
     ]
 )
 
+# Arrivals per day, cell and delay, kept beside silver; NULL delays are counted too.
+HISTOGRAM_SCHEMA = _struct(
+    ("route_id", STR), ("stop_id", STR), ("is_weekend", INT), ("hour_of_day", INT),
+    (TARGET, INT), ("n", LONG), ("service_date", T.DateType()),
+)
+
 # Parts of the nested feed message, as DDL.
 TRIP_UPDATE_DDL = (
     "struct<trip: struct<trip_id: string, route_id: string, start_date: string,"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -54,13 +54,15 @@ def _newer(version: str | Sequence[str]) -> Column:
 
 
 def merge_newer(target: DataFrame, staged: DataFrame, keys: Sequence[str],
-                version: str | Sequence[str], carry_cols: Sequence[str] = ()) -> DataFrame:
+                version: str | Sequence[str], carry_cols: Sequence[str] = (),
+                computed: Mapping[str, Column] | None = None) -> DataFrame:
     """``target`` with ``staged`` merged in.
 
     A new key is inserted; a known key is replaced as a whole if the staged version is
     strictly newer, and a NULL version never is. ``carry_cols`` keep their old value where
     the newer row has none. Several version columns compare in order. ``staged`` holds
-    each key once.
+    each key once. ``computed`` gives some columns as expressions over both sides' rows,
+    the structs ``_t`` and ``_s``, whichever row is taken.
     """
     columns = target.columns
     rest = [c for c in columns if c not in keys]
@@ -69,6 +71,9 @@ def merge_newer(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     take = F.col("_t").isNull() | (F.col("_s").isNotNull() & F.coalesce(_newer(version), F.lit(False)))
     picked = []
     for c in rest:
+        if computed and c in computed:
+            picked.append(computed[c].alias(c))
+            continue
         fresh, old = F.col(f"_s.{c}"), F.col(f"_t.{c}")
         if c in carry_cols:
             fresh = F.coalesce(fresh, old)

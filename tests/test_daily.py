@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from headway import schemas as S
-from headway.operators.gold import build_features
+from headway.operators.gold import build_features, daily_histograms, historical_priors, priors_of_histograms
 from headway.operators.quality import layer_diff
 from headway.operators.silver import build_silver, upsert_silver
-from headway.plans.daily import Config, backfill, run_day
+from headway.plans.daily import Config, backfill, rebuild_gold, run_day
 from headway.plans.warehouse import Warehouse
 from headway.sinks.tables import write_partitions
 from headway.sources.tables import read_features, read_silver
@@ -105,3 +105,48 @@ def test_broken_job_is_not_a_data_failure(spark, setup):
     _, _, cfg = setup
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         run_day(spark, replace(cfg, bronze="/tmp/no/such/bronze"), "2024-01-02")
+
+
+def test_kept_histograms_follow_every_run_and_give_the_same_gold(spark, setup, tmp_path):
+    _, _, cfg = setup
+    own = replace(cfg, silver=str(tmp_path / "s"), gold=str(tmp_path / "g"), dq=str(tmp_path / "q"))
+    run_day(spark, own, "2024-01-01")  # a day before histograms are kept: the next run fills it
+    kept = replace(own, histograms=str(tmp_path / "h"))
+    for d in (2, 3, 4):
+        run_day(spark, kept, f"2024-01-0{d}")
+        silver = read_silver(spark, own.silver)
+        held = spark.read.schema(S.HISTOGRAM_SCHEMA).parquet(kept.histograms)
+        assert sorted(map(str, held.collect())) == sorted(map(str, daily_histograms(silver).collect()))
+        for run in (date(2024, 1, d), date(2024, 1, d + 1)):
+            assert sorted(map(str, priors_of_histograms(held, run, min_count=1).collect())) == sorted(
+                map(str, historical_priors(silver, run, min_count=1).collect()))
+    columns = S.TRAINING_FEATURES_SCHEMA.names
+    got = read_features(spark, kept.gold).where("service_date = '2024-01-04'").select(*columns)
+    expected = build_features(read_silver(spark, own.silver), date(2024, 1, 4), min_count=1).select(*columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_rebuild_in_one_plan_equals_the_day_by_day_runs(spark, setup, tmp_path):
+    _, _, cfg = setup
+    own = replace(cfg, silver=str(tmp_path / "s"), gold=str(tmp_path / "g"), dq=str(tmp_path / "q"))
+    backfill(spark, own, date(2024, 1, 4), 4)
+    again = replace(own, gold=str(tmp_path / "g2"), dq=str(tmp_path / "q2"))
+    rows = rebuild_gold(spark, again, date(2024, 1, 4), 4)
+    columns = S.TRAINING_FEATURES_SCHEMA.names
+    both = [sorted(map(str, read_features(spark, c.gold).where("service_date >= '2024-01-01'").select(*columns).collect()))
+            for c in (own, again)]
+    assert rows == len(both[1]) > 0
+    # Priors of day by day runs stand as of their run; only the tail's last correction may differ.
+    assert len(both[0]) == len(both[1])
+    last = [sorted(map(str, read_features(spark, c.gold).where("service_date = '2024-01-04'").select(*columns).collect()))
+            for c in (own, again)]
+    assert last[0] == last[1]
+    # One date fails: its gold and the other dates' stay as they were, its document says why.
+    sizes = {r["service_date"]: r["count"] for r in read_silver(spark, own.silver).groupBy("service_date").count().collect()}
+    small = min((d for d in sizes if d >= date(2024, 1, 1)), key=sizes.get)
+    strict = replace(again, gold=str(tmp_path / "g3"), dq=str(tmp_path / "q3"), min_rows=sizes[small] + 1)
+    rebuild_gold(spark, strict, date(2024, 1, 4), 4)
+    built = {r[0] for r in read_features(spark, strict.gold).select("service_date").distinct().collect()}
+    assert small not in built and built == {d for d in sizes if d >= date(2024, 1, 1) and sizes[d] > sizes[small]}
+    failed = spark.read.json(strict.dq).where(f"dt = '{small}' AND NOT passed").collect()
+    assert [r["rule"] for r in failed] == ["row_count_minimum"]
