@@ -400,6 +400,12 @@ NULL_RATES = " UNION ALL ".join(
     f" coalesce(min({n}) = max({n}), true) AS is_constant FROM gold GROUP BY service_date"
     for n in S.FEATURE_NAMES
 )
+WEATHER_OF_ROWS = f"""
+      SELECT s.service_date, trip_id, stop_id, round(temp_c, 6) AS temp_c,
+        round(precipitation_mm, 6) AS precipitation_mm, round(wind_kph, 6) AS wind_kph,
+        round(visibility_m, 6) AS visibility_m
+      FROM silver s LEFT JOIN weather w
+        ON s.service_date = w.service_date AND s.hour_of_day = w.hour_of_day"""
 PRIORS_OF_LAST_DAY = f"""
       SELECT route_id, stop_id, is_weekend, hour_of_day, {STATS.replace(
           'stddev_samp(observed_delay_sec)', 'round(stddev_samp(observed_delay_sec), 4)')}
@@ -466,12 +472,14 @@ ORACLES: dict[str, tuple[tuple[str, ...], str]] = {
           AS vehicles_active_on_route
       FROM silver WINDOW w AS (PARTITION BY service_date, route_id ORDER BY snap_ts_t_minus_15
         RANGE BETWEEN 900 PRECEDING AND 1 PRECEDING)"""),
-    "gold_weather_join": (("silver", "weather"), f"""
-      SELECT s.service_date, trip_id, stop_id, round(temp_c, 6) AS temp_c,
-        round(precipitation_mm, 6) AS precipitation_mm, round(wind_kph, 6) AS wind_kph,
-        round(visibility_m, 6) AS visibility_m
-      FROM silver s LEFT JOIN weather w
-        ON s.service_date = w.service_date AND s.hour_of_day = w.hour_of_day"""),
+    "gold_weather_join": (("silver", "weather"), WEATHER_OF_ROWS),
+    "gold_weather_stored": (("silver", "weather"), WEATHER_OF_ROWS),
+    "gold_weather_absent": (("silver",), f"SELECT {ROW}, " + ", ".join(
+        f"CAST({S.FEATURE_DEFAULTS[n]} AS DOUBLE) AS {n}" for n in S.WEATHER_FALLBACK) + " FROM silver"),
+    "training_split": (("vectors", "gold"), f"SELECT {ROW}, g.observed_delay_sec, " + ", ".join(
+        f"round(v.{n}, 4) AS {n}" for n in S.FEATURE_NAMES) + f"""
+      FROM vectors v JOIN gold g USING ({ROW}), (SELECT max(service_date) AS t FROM gold)
+      WHERE t - service_date >= 14"""),
     "gold_features": (("gold",), f"SELECT {GOLD_OUT} FROM gold"),
     "feature_vector": (("vectors",), f"SELECT {ROW}, " + ", ".join(
         f"round({n}, 4) AS {n}" for n in S.FEATURE_NAMES) + " FROM vectors"),
@@ -797,7 +805,7 @@ BY_SERVICE_DATE = (
     "silver_enriched silver_terminus silver_clamped silver_upsert silver_merge_whole_row gold_prev_stop "
     "gold_upstream_mean gold_preceding_trip gold_route_hour gold_route_strict "
     "gold_weather_join gold_features feature_vector feature_csv fill_rate feature_mismatches "
-    "replayed_mismatches backfill_days "
+    "replayed_mismatches backfill_days gold_weather_stored gold_weather_absent training_split "
     "dq_stats dq_rules dedupe_check coverage null_rates recent_days gold_days layer_diff "
     "backtest_daily time_split stream_silver gbt_stumps captured_day"
 ).split()

@@ -33,7 +33,16 @@ from headway.sinks.tables import (
 )
 from headway.sources import adapters
 from headway.sources.static import refresh_static
-from headway.sources.tables import dim_version, read_bronze, read_csv_by_name, read_dim, read_predictions
+from headway.sources.tables import (
+    dim_version,
+    load_split,
+    read_bronze,
+    read_csv_by_name,
+    read_dim,
+    read_predictions,
+    read_weather,
+    table_if_present,
+)
 from headway.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -248,6 +257,30 @@ def gold_weather_join(w: Warehouse) -> DataFrame:
     )
 
 
+@query
+def gold_weather_stored(w: Warehouse) -> DataFrame:
+    """The same join over weather stored as CSV with a header, read by its declared schema."""
+    path = scratch_path(w.spark, "weather-csv")
+    export_csv(w.weather().select(*S.WEATHER_SCHEMA.names), path)
+    stored = read_weather(w.spark, path, "csv")
+    return rounded(gold.join_weather(w.silver(), stored).select(*ROW, *S.WEATHER_FALLBACK), 6)
+
+
+@query
+def gold_weather_absent(w: Warehouse) -> DataFrame:
+    """Without a weather table in the catalog every row takes the defaults."""
+    absent = table_if_present(w.spark, "headway_no_weather")
+    return gold.join_weather(w.silver(), absent).select(*ROW, *S.WEATHER_FALLBACK)
+
+
+@query
+def training_split(w: Warehouse) -> DataFrame:
+    """Vectors and labels of the training split, read back from the stored splits."""
+    path = scratch_path(w.spark, "splits")
+    write_partitions(backtest.time_split(w.gold()), path, ["split"])
+    return rounded(load_split(w.spark, path, "train", ROW), 4)
+
+
 @query
 def gold_features(w: Warehouse) -> DataFrame:
     out = w.fresh_gold().select(*GOLD_OUT)
