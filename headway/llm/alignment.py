@@ -17,7 +17,7 @@ from array import array
 from collections.abc import Iterator
 from hashlib import sha256
 from functools import lru_cache
-from itertools import accumulate, pairwise
+from itertools import chain, compress, pairwise
 
 import numpy as np
 import pandas as pd
@@ -33,6 +33,8 @@ LEFT, RIGHT = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_STRETCHES = 1_000_000
 #: Stretches and characters of them that a task remembers before it starts afresh.
 KNOWN, KNOWN_CHARS = 400_000, 20_000_000
+#: Characters of the texts whose new stretches are learned together.
+PARCEL_CHARS = 2_000_000
 #: How byte-level vocabularies spell bytes: printable ones as themselves, others from U+0100 on.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _OTHERS = [c for c in range(256) if c not in _PRINTABLE]
@@ -45,24 +47,25 @@ _BLOCKS = f"block long, {_DOC}, codes binary, cuts binary, places binary, pairs
 
 def align(
     ids_a: list[int], ends_a: list[int], ids_b: list[int], ends_b: list[int]
-) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]]:
-    """Groups of ids between common ends, and the pairs of ids whose tokens overlap."""
-    at_a = {e: i for i, e in enumerate(ends_a, 1)}
-    at_b = {e: i for i, e in enumerate(ends_b, 1)}
-    groups, links = [], []
-    i = j = 0
-    for end in sorted(at_a.keys() & at_b.keys()):
+) -> tuple[list[tuple[list[int], list[int]]], np.ndarray]:
+    """Groups of ids between common ends, and the pairs of ids whose tokens overlap.
+
+    Ends grow strictly. A pair is ``left id << 32 | right id``. Inside a slice no two ends
+    meet, so a link begins wherever a token of either side does: the link that ends at ``e``
+    is of the tokens that hold the byte before ``e``.
+    """
+    at_a = dict(zip(ends_a, range(1, len(ends_a) + 1), strict=True))
+    at_b = dict(zip(ends_b, range(1, len(ends_b) + 1), strict=True))
+    common = sorted(at_a.keys() & at_b.keys())
+    groups, i, j = [], 0, 0
+    for end in common:
         x, y = at_a[end], at_b[end]
         groups.append((ids_a[i:x], ids_b[j:y]))
-        if x - i == 1 or y - j == 1:  # one token overlaps all of the other side
-            links += [(a, b) for a in ids_a[i:x] for b in ids_b[j:y]]
-            i, j = x, y
-        while i < x and j < y:
-            links.append((ids_a[i], ids_b[j]))
-            left, right = ends_a[i], ends_b[j]
-            i += left <= right
-            j += right <= left
-    return groups, links
+        i, j = x, y
+    ends = np.array(sorted(at_a.keys() | at_b.keys()), np.int64)
+    left = np.array(ids_a, np.int64)[np.searchsorted(np.array(ends_a, np.int64), ends)]
+    right = np.array(ids_b, np.int64)[np.searchsorted(np.array(ends_b, np.int64), ends)]
+    return groups, (left << 32) | right
 
 
 class Aligner:
@@ -88,7 +91,9 @@ class Aligner:
         self.bytes_b = [
             bytes([int(m[1], 16)]) if (m := byte.fullmatch(p)) else p.replace("▁", " ").encode() for p in pieces
         ]
-        self.length_a, self.length_b = ([len(x) for x in known] for known in (self.bytes_a, self.bytes_b))
+        self.length_a, self.length_b = (
+            np.array([len(x) for x in known], np.int64) for known in (self.bytes_a, self.bytes_b)
+        )
         self.endings = {}
         for c in ".,":
             a, b = self.a.encode(c).ids, [k for k, p in enumerate(pieces) if p == c]
@@ -108,39 +113,70 @@ class Aligner:
     def full(self) -> bool:
         return len(self.groups) > KNOWN or self.chars > KNOWN_CHARS
 
-    def _put(self, into: dict[str, int], key: str, groups: str, pairs: bytes, counts: tuple) -> None:
-        into[key] = len(self.groups)
-        self.chars += len(key)
-        self.groups.append(groups)
-        self.pairs.append(pairs)
-        for column, x in zip(self.counts, counts, strict=True):
-            column.append(x)
+    def _put(self, into: dict[str, int], keys: list[str], groups: list[str], pairs: list[bytes], counts) -> None:
+        """``counts``: one sequence of numbers for each of ``_COUNTS``."""
+        into.update(zip(keys, range(len(self.groups), len(self.groups) + len(keys)), strict=True))
+        self.chars += sum(map(len, keys))
+        self.groups += groups
+        self.pairs += pairs
+        for column, xs in zip(self.counts, counts, strict=True):
+            column.extend(xs)
 
     def _learn(self, keys: list[str], into: dict[str, int]) -> None:
-        length_a, length_b = self.length_a.__getitem__, self.length_b.__getitem__
-        token_a, token_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        """Stretches are aligned a few at a time, as if they followed each other in one text."""
         for k in range(0, len(keys), 2000):
             part = keys[k : k + 2000]
             texts = [f" {x}".replace(" \n", "\n") for x in part]
             coded = self._left_ids(part, texts)
             # The second tokenizer puts a blank before every text; before a line feed it is a piece alone.
             pieces = self.b.encode([t.removeprefix(" ") for t in texts], num_threads=1)
-            for key, text, a, b in zip(part, texts, coded, pieces, strict=True):
+            for n, text in enumerate(texts):
                 if text == " ":  # no text, for which it has not even its blank
-                    b = self.b.encode("\n")[:1]
+                    pieces[n] = self.b.encode("\n")[:1]
                 if text[0] == "\n":
-                    b = b[1:]
-                data = text.encode("utf-8", "surrogatepass")
-                if b"".join(map(token_a, a)) != data or b"".join(map(token_b, b)) != data:
-                    self._put(into, key, "", b"", (-1, -1, -1, -1))
-                    continue
-                found, links = align(a, list(accumulate(map(length_a, a))), b, list(accumulate(map(length_b, b))))
-                groups = ";".join([
-                    f"{x[0]}|{y[0]}" if len(x) == len(y) == 1 else f"{','.join(map(str, x))}|{','.join(map(str, y))}"
-                    for x, y in found
-                ])
-                pairs = array("q", [(x << 32) | y for x, y in links]).tobytes()
-                self._put(into, key, groups, pairs, (len(a), len(b), len(found), len(links)))
+                    pieces[n] = pieces[n][1:]
+            data = [t.encode("utf-8", "surrogatepass") for t in texts]
+            self._align_part(into, part, data, coded, pieces)
+
+    def _align_part(self, into: dict[str, int], keys: list, data: list, coded: list, pieces: list) -> None:
+        size = np.fromiter(map(len, data), np.int64, len(data))
+        sides, spelled = [], b"".join(data)
+        for ids, known, lengths in ((coded, self.bytes_a, self.length_a), (pieces, self.bytes_b, self.length_b)):
+            flat = list(chain.from_iterable(ids))
+            upto = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+            ends = np.cumsum(lengths[flat])
+            same = b"".join(map(known.__getitem__, flat)) == spelled and len(flat) > 0
+            if not same or not np.array_equal(np.r_[0, ends][upto], np.cumsum(size)):
+                break
+            sides.append((flat, upto, ends))
+        if len(sides) < 2:  # some are not what their tokens spell
+            right = [
+                b"".join(map(self.bytes_a.__getitem__, a)) == d == b"".join(map(self.bytes_b.__getitem__, b))
+                for a, b, d in zip(coded, pieces, data, strict=True)
+            ]
+            wrong = [x for x, ok in zip(keys, right, strict=True) if not ok]
+            self._put(into, wrong, [""] * len(wrong), [b""] * len(wrong), [[-1] * len(wrong)] * len(_COUNTS))
+            if any(right):
+                self._align_part(into, *[list(compress(x, right)) for x in (keys, data, coded, pieces)])
+            return
+        (a, upto_a, ends_a), (b, upto_b, ends_b) = sides
+        found, links = align(a, ends_a.tolist(), b, ends_b.tolist())
+        groups = [
+            f"{x[0]}|{y[0]}" if len(x) == len(y) == 1 else f"{','.join(map(str, x))}|{','.join(map(str, y))}"
+            for x, y in found
+        ]
+        n_a, n_b = np.diff(upto_a, prepend=0), np.diff(upto_b, prepend=0)
+        ends_groups = np.cumsum(np.fromiter((len(x) for x, _ in found), np.int64, len(found)))
+        upto_groups = np.searchsorted(ends_groups, upto_a) + 1
+        n_groups = np.diff(upto_groups, prepend=0)
+        n_links = n_a + n_b - n_groups
+        stored, upto = links.tobytes(), (8 * np.cumsum(n_links)).tolist()
+        self._put(
+            into, keys,
+            [";".join(groups[i:j]) for i, j in pairwise([0, *upto_groups.tolist()])],
+            [stored[i:j] for i, j in pairwise([0, *upto])],
+            [x.tolist() for x in (n_a, n_b, n_groups, n_links)],
+        )
 
     def _left_ids(self, keys: list[str], texts: list[str]) -> list[list[int]]:
         """Letters after a blank are one unit for the model, spelled in its byte alphabet."""
@@ -159,28 +195,33 @@ class Aligner:
         ended = {p for p in parts if p[-1] in self.endings and p[-2:-1].isalpha()}
         stems = {p[:-1] for p in ended} | ({"\n."[1:], ","} if ended else set())
         self._learn(sorted(((parts - ended) | stems).difference(self.starting)), self.starting)
-        for p in ended:
-            stem = self.starting[p[:-1]]
-            if self.counts[0][stem] < 0:
-                self._learn([p], self.starting)
-                continue
-            groups, pairs, counts = self.endings[p[-1]]
-            both = [c[stem] + n for c, n in zip(self.counts, counts, strict=True)]
-            self._put(self.starting, p, f"{self.groups[stem]};{groups}", self.pairs[stem] + pairs, both)
+        at = {p: self.starting[p[:-1]] for p in ended}
+        unlike = [p for p, stem in at.items() if self.counts[0][stem] < 0]
+        self._learn(unlike, self.starting)
+        for c, (groups, pairs, counts) in self.endings.items():
+            keys = [p for p, stem in at.items() if p[-1] == c and self.counts[0][stem] >= 0]
+            stems = [at[p] for p in keys]
+            self._put(
+                self.starting, keys,
+                [f"{self.groups[k]};{groups}" for k in stems],
+                [self.pairs[k] + pairs for k in stems],
+                [[column[k] + n for k in stems] for column, n in zip(self.counts, counts, strict=True)],
+            )
 
     def stretches(self, text: str) -> np.ndarray:
-        """Numbers of the text's stretches, one after the other."""
-        parts = text.replace("\n", " \n").split(" ")
-        try:
-            return np.fromiter(map(self.starting.__getitem__, parts), np.int32, len(parts))
-        except KeyError:
-            pass
-        new = set(parts).difference(self.starting)
-        starting = {p for p in new if _may_start(p)}
-        self._learn_parts(starting)
-        if len(starting) == len(new):
+        return self.stretches_of([text])[0]
+
+    def stretches_of(self, texts: list[str]) -> list[np.ndarray]:
+        """Numbers of each text's stretches, one after the other; what is new is learned for all texts at once."""
+        split = [t.replace("\n", " \n").split(" ") for t in texts]
+        new = set(chain.from_iterable(split)).difference(self.starting)
+        never = {p for p in new if not _may_start(p)}
+        self._learn_parts(new - never)
+        return [self._numbers(parts, never) for parts in split]
+
+    def _numbers(self, parts: list[str], never: set[str]) -> np.ndarray:
+        if never.isdisjoint(parts):
             return np.fromiter(map(self.starting.__getitem__, parts), np.int32, len(parts))
-        never = new - starting
         keys, last = [], None
         for p in parts:
             if keys and (p in never or (last == "" and not p.startswith("\n"))):
@@ -206,6 +247,20 @@ def _may_start(part: str) -> bool:
     return bool(first) and not first.isspace()
 
 
+def _parcels(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, str]]]:
+    """(doc_id, text) by parcels of ``PARCEL_CHARS``, the last text of a parcel whole."""
+    some, chars = [], 0
+    for b in batches:
+        for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"], strict=True):
+            some.append((doc_id, text.as_py()))
+            chars += len(some[-1][1] or "")
+            if chars >= PARCEL_CHARS:
+                yield some
+                some, chars = [], 0
+    if some:
+        yield some
+
+
 def _blocks(left: str, right: str):
     """A row per document, and per block one that holds its stretches' links and pair counts."""
 
@@ -248,17 +303,16 @@ def _blocks(left: str, right: str):
 
         aligner = _aligner(left, right)
         block, docs, held = TaskContext.get().partitionId() << 32, [], 0
-        for b in batches:
-            for doc_id, text in zip(b["doc_id"].to_pylist(), b["text"], strict=True):
-                text = text.as_py()
-                at = aligner.stretches(text) if text else np.zeros(0, np.int32)
-                docs.append((doc_id, at))
-                held += len(at)
-                if held >= BLOCK_STRETCHES or aligner.full:
-                    yield flush(block, aligner, docs)
-                    block, docs, held = block + 1, [], 0
-                    if aligner.full:
-                        aligner.clear()
+        for some in _parcels(batches):
+            found = iter(aligner.stretches_of([text for _, text in some if text]))
+            for doc_id, text in some:
+                docs.append((doc_id, next(found) if text else np.zeros(0, np.int32)))
+                held += len(docs[-1][1])
+            if held >= BLOCK_STRETCHES or aligner.full:
+                yield flush(block, aligner, docs)
+                block, docs, held = block + 1, [], 0
+                if aligner.full:
+                    aligner.clear()
         if docs:
             yield flush(block, aligner, docs)
 
