@@ -7,10 +7,14 @@ Each piece then finds its place from its rank among the pieces of its length.
 
 from __future__ import annotations
 
+import logging
 import os
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
+from itertools import chain, islice
 from unicodedata import is_normalized
 
 import numpy as np
@@ -22,6 +26,8 @@ from pyspark.sql import functions as F
 
 from headway.llm.common import stage
 
+log = logging.getLogger(__name__)
+
 CAPACITY = 2048
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 0
@@ -33,10 +39,12 @@ _FOLDED = bytes(c + 32 if 65 <= c <= 90 else c for c in _BLANKED)
 #: How byte-level vocabularies spell bytes: printable ones as themselves, others from U+0100 on.
 _PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _SPELLED = {c: 0x100 + k for k, c in enumerate(c for c in range(256) if c not in _PLAIN)}
-#: Nodes a search for one filling may visit, and fillings tried at a branching.
-FILL_NODES, BRANCHES = 1500, 3
-#: Fillings placed over all branches before the best packing so far is taken.
-SEARCH_STEPS = 8_000
+#: Steps of the search before the best packing so far is taken.
+SEARCH_STEPS = 2_000_000
+#: Steps that a test for dominance and a packing begun count for.
+DOMINANCE_STEPS, BRANCH_STEPS = 10, 100
+#: So many fillings of a bin are tried in order of their waste, the others as they are met.
+SORTED_FILLINGS = 30
 #: Pieces of one length ranked together.
 RANK_ROWS = 50_000
 
@@ -126,15 +134,14 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFram
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:
     """No packing has fewer bins (Martello and Toth's L2)."""
-    sizes = np.arange(len(counts))
-    best = -(-int((counts * sizes).sum()) // capacity)
-    for k in range(capacity // 2 + 1):
-        alone = int(counts[capacity - k + 1 :].sum())
-        halves = int(counts[capacity // 2 + 1 : capacity - k + 1].sum())
-        room = halves * capacity - int((counts * sizes)[capacity // 2 + 1 : capacity - k + 1].sum())
-        small = int((counts * sizes)[k : capacity // 2 + 1].sum())
-        best = max(best, alone + halves + max(0, -(-(small - room) // capacity)))
-    return best
+    number = np.cumsum(counts[: capacity + 1])
+    tokens = np.cumsum((counts * np.arange(len(counts)))[: capacity + 1])
+    k, half = np.arange(capacity // 2 + 1), capacity // 2
+    alone = number[-1] - number[capacity - k]
+    halves = number[capacity - k] - number[half]
+    room = halves * capacity - (tokens[capacity - k] - tokens[half])
+    small = tokens[half] - np.r_[0, tokens][k]
+    return int(max(-(-tokens[-1] // capacity), (alone + halves + np.maximum(0, -(-(small - room) // capacity))).max()))
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -171,104 +178,112 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], i
     return [(f, n) for at in by_room.values() for f, n in at.items()]
 
 
-def fillings(
-    counts: np.ndarray, lengths: list[int], room: int, want: int, allowed: int
-) -> list[tuple[int, tuple[int, ...]]]:
-    """Up to ``want`` undominated fillings of ``room`` as (waste, lengths), least waste first.
+def dominated(filling: tuple[int, ...], waste: int, counts: np.ndarray) -> bool:
+    """Whether a longer piece that is left would take the place of one or two of the filling's.
 
-    Lengths are tried in descending order. A branch ends when what it can still add leaves
-    more than the allowed waste or does not beat the worst filling kept. Where two fillings
-    use the same room, the one with fewer, longer pieces dominates: the shorter pieces it
-    saves fit wherever the longer one does. It is met first and kept.
+    What it frees fits wherever it stood itself, so some best packing does without the filling.
     """
-    found: list[tuple[int, tuple[int, ...]]] = []
-    used: set[int] = set()
-    nodes = 0
+    held = Counter(filling)
+    pairs = {(x, y) for k, x in enumerate(filling) for y in filling[k + 1 :]}
+    for length, least in [(x, x + 1) for x in held] + [(x + y, x + y) for x, y in pairs]:
+        for y in (np.flatnonzero(counts[least : length + waste + 1]) + least).tolist():
+            if int(counts[y]) > held[y]:
+                return True
+    return False
 
-    def limit() -> int:
-        return min(allowed, found[-1][0] - 1 if len(found) == want else room)
 
-    def visit(at: int, room: int, chosen: tuple[int, ...]) -> None:
-        nonlocal nodes
-        nodes += 1
-        if nodes > FILL_NODES or (len(found) == want and found[-1][0] == 0):
-            return
+def fillings(counts: np.ndarray, room: int, allowed: int, steps: list[int]) -> Iterator[tuple[int, tuple[int, ...]]]:
+    """Undominated fillings of ``room`` as (waste, lengths), longest pieces first.
+
+    A branch ends when all that is left for it could not bring its waste down to ``allowed``.
+    Each visit takes one from ``steps``; at zero the fillings end.
+    """
+    lengths = np.flatnonzero(counts)[::-1].tolist()
+    lengths = [x for x in lengths if 0 < x <= room]
+    after = np.cumsum([int(counts[x]) * x for x in lengths[::-1]])[::-1].tolist() + [0]
+
+    def visit(at: int, room: int, chosen: tuple[int, ...]) -> Iterator[tuple[int, tuple[int, ...]]]:
+        steps[0] -= 1
         while at < len(lengths) and lengths[at] > room:
             at += 1
         if at == len(lengths):
-            if room <= limit() and room not in used:
-                used.add(room)
-                found.append((room, chosen))
-                found.sort()
-                for waste, _ in found[want:]:
-                    used.discard(waste)
-                del found[want:]
+            if room <= allowed:
+                steps[0] -= DOMINANCE_STEPS
+                if not dominated(chosen, room, counts):
+                    yield room, chosen
             return
         for k in range(at, len(lengths)):
+            if room - after[k] > allowed or steps[0] <= 0:
+                return
             length = lengths[k]
-            most = min(int(counts[length]), room // length)
-            for n in range(most, 0, -1):
-                visit(k + 1, room - n * length, chosen + (length,) * n)
-                if nodes > FILL_NODES or (found and found[0][0] == 0 and want == 1):
-                    return
-        # leaving the room as it is would be dominated by the shortest length that fits
+            for n in range(min(int(counts[length]), room // length), 0, -1):
+                yield from visit(k + 1, room - n * length, chosen + (length,) * n)
+        # with nothing more: dominated, since a piece left fits
 
-    visit(0, room, ())
-    return found
+    return visit(0, room, ())
 
 
 def complete_bins(
-    counts: np.ndarray, capacity: int = CAPACITY
+    counts: np.ndarray, capacity: int = CAPACITY, steps: int = SEARCH_STEPS
 ) -> tuple[list[tuple[tuple[int, ...], int]], int]:
     """Pack a histogram of lengths: (fillings with multiplicities, lower bound).
 
     Best-fit decreasing is the first incumbent. Then the longest piece left is completed by
-    an undominated filling of the rest of its bin, as often as the counts allow. A packing
-    is given up once its waste exceeds what the incumbent allows. Branches take the next
-    best filling at one decision; the search ends at the lower bound or when
-    ``SEARCH_STEPS`` are spent, with the best packing found.
+    each undominated filling of the rest of its bin, depth first, tried as often as the
+    counts allow before it is tried once. A branch is given up when its waste, or the lower
+    bound of what is left, cannot beat the incumbent, and when the same pieces were left
+    before with no more bins used. The packing is a best one unless ``steps`` (visits within
+    fillings, and packings begun) run out first; then it is the best one found, and the
+    lower bound tells how far off it can be.
     """
     counts = np.asarray(counts, np.int64)
     bound = lower_bound(counts, capacity)
     incumbent = best_fit(counts, capacity)
     best = sum(n for _, n in incumbent)
     total = int((counts * np.arange(len(counts))).sum())
-    steps = 0
-    pending: list[tuple[int, int]] = [(-1, 0)]  # decision to deviate at, which filling to take
-    seen = 1
-    while pending and best > bound and steps < SEARCH_STEPS:
-        deviate, choice = pending.pop(0)
-        left, packed, waste, decision = counts.copy(), [], 0, 0
-        lengths = np.flatnonzero(left)[::-1].tolist()
-        while lengths:
-            allowed = (best - 1) * capacity - total - waste
-            if allowed < 0:
-                break
-            top = lengths[0]
-            left[top] -= 1
-            options = fillings(
-                left, [x for x in lengths if left[x]], capacity - top,
-                BRANCHES if decision == deviate else 1, capacity,
-            )
-            left[top] += 1
-            if deviate < 0 and options[0][0] and seen < 64:
-                pending += [(decision, c) for c in range(1, BRANCHES)]
-                seen += 1
-            lost, rest = options[min(choice, len(options) - 1) if decision == deviate else 0]
-            filling = (top, *rest)
-            need = dict(zip(*np.unique(filling, return_counts=True), strict=True))
-            m = min(int(left[x]) // int(k) for x, k in need.items())
-            for x, k in need.items():
-                left[x] -= m * k
-            packed.append((filling, m))
-            waste += lost * m
-            decision += 1
-            steps += 1
-            lengths = [x for x in lengths if left[x]]
-        else:
-            n = sum(m for _, m in packed)
-            if n < best:
-                incumbent, best = packed, n
+    budget, met = [steps], {}
+    chosen: list[tuple[tuple[int, ...], int]] = []
+
+    def options(left: np.ndarray, bins: int, waste: int) -> Iterator[tuple[tuple[int, ...], int, int]]:
+        top = int(np.flatnonzero(left)[-1])
+        rest = left.copy()
+        rest[top] -= 1
+        allowed = (best - 1) * capacity - total - waste
+        found = fillings(rest, capacity - top, allowed, budget)
+        near = sorted(islice(found, SORTED_FILLINGS), key=lambda x: x[0])
+        for lost, others in chain(near, found):
+            filling = (top, *others)
+            most = min(int(left[x]) // n for x, n in Counter(filling).items())
+            yield filling, most, lost
+            if most > 1:
+                yield filling, 1, lost
+
+    branches = []  # (what is left, bins and waste so far, options not yet tried)
+    if best > bound:
+        branches.append((counts.copy(), 0, 0, options(counts, 0, 0)))
+    while branches and best > bound and budget[0] > 0:
+        left, bins, waste, untried = branches[-1]
+        filling, n, lost = next(untried, ((), 0, 0))
+        del chosen[len(branches) - 1 :]
+        if not n:
+            branches.pop()
+            continue
+        budget[0] -= BRANCH_STEPS
+        after, used, spilt = left.copy(), bins + n, waste + n * lost
+        for x, k in Counter(filling).items():
+            after[x] -= n * k
+        chosen.append((filling, n))
+        if not after.any():
+            if used < best:
+                incumbent, best = list(chosen), used
+            continue
+        if total + spilt > (best - 1) * capacity or used + lower_bound(after, capacity) >= best:
+            continue
+        state = blake2b(after.tobytes(), digest_size=16).digest()
+        if met.get(state, used + 1) <= used:
+            continue
+        met[state] = used
+        branches.append((after, used, spilt, options(after, used, spilt)))
     return incumbent, bound
 
 
@@ -302,7 +317,10 @@ def pack_sequences(
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in pieces.groupBy("length").count().collect():  # at most ``capacity`` rows
         counts[length] = n
-    places = _places(complete_bins(counts, capacity)[0])
+    plan, bound = complete_bins(counts, capacity)
+    if (used := sum(n for _, n in plan)) > bound:
+        log.warning("packed into %d sequences; the lower bound is %d", used, bound)
+    places = _places(plan)
     # Ranks: within slices of a length, after the counts of the slices before.
     slices = max(64, int(counts.max()) // RANK_ROWS + 1)
     sliced = pieces.withColumn(

@@ -84,3 +84,38 @@ def test_bin_completion_is_as_good_as_brute_force():
 
 def test_no_rows(spark):
     assert op.pack_sequences(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def exact_bins(sizes: list[int], capacity: int) -> int:
+    """Fewest bins, by dynamic programming over subsets."""
+    best = [(len(sizes) + 1, 0)] * (1 << len(sizes))
+    best[0] = (1, 0)
+    for held, (bins, used) in enumerate(best):
+        for k, size in enumerate(sizes):
+            if not held >> k & 1:
+                put = (bins, used + size) if used + size <= capacity else (bins + 1, size)
+                best[held | 1 << k] = min(best[held | 1 << k], put)
+    return best[-1][0]
+
+
+def test_branch_and_bound_equals_the_exact_optimum():
+    rng = np.random.default_rng(5)
+    cases = [(184, [29, 38, 42, 48, 50, 60, 63, 71, 76, 76, 81, 92])]
+    while len(cases) < 60:
+        capacity = int(rng.integers(60, 400))
+        sizes = rng.integers(capacity // 7, capacity // 2 + 1, 12).tolist()
+        counts = np.bincount(sizes, minlength=capacity + 1)
+        if sum(n for _, n in op.best_fit(counts, capacity)) > op.lower_bound(counts, capacity):
+            cases.append((capacity, sizes))
+    for capacity, sizes in cases:
+        packing, bound = op.complete_bins(np.bincount(sizes, minlength=capacity + 1), capacity)
+        assert sorted(x for f, n in packing for x in f * n) == sorted(sizes)
+        assert all(sum(f) <= capacity for f, _ in packing)
+        assert bound <= sum(n for _, n in packing) == exact_bins(sizes, capacity)
+
+
+def test_a_search_that_ends_early_still_packs_everything():
+    sizes = np.random.default_rng(2).integers(520, 1000, 3000)
+    packing, bound = op.complete_bins(np.bincount(sizes, minlength=2049), 2048, steps=5000)
+    assert sorted(x for f, n in packing for x in f * n) == sorted(sizes.tolist())
+    assert sum(n for _, n in packing) >= bound
