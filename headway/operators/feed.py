@@ -135,17 +135,22 @@ def unpack_rows(df: DataFrame, col: str = "value") -> DataFrame:
     )
 
 
-def parse_rows(df: DataFrame, schema: T.StructType = S.BRONZE_ROW) -> tuple[DataFrame, DataFrame]:
-    """Parsed rows, and the lines that are no such JSON object."""
+def parse_lines(df: DataFrame, schema: T.StructType = S.BRONZE_ROW) -> DataFrame:
+    """The columns of ``df``, the parsed ``_row``, and ``_bad`` for lines that are no such JSON object."""
     corrupt = "_corrupt"
     with_corrupt = T.StructType(schema.fields + [T.StructField(corrupt, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
     # Behind a generator the parsed row is a value, so the filters below test it instead of
     # parsing the line once more each.
     row = F.explode(F.array(F.from_json("line", with_corrupt, options))).alias("_row")
-    parsed = df.select("*", row)
-    others = [c for c in df.columns if c != "line"]
     is_bad = F.col("_row").isNull() | F.col(f"_row.{corrupt}").isNotNull()
-    good = parsed.where(~is_bad).select(*others, *[F.col(f"_row.{n}") for n in schema.names])
-    bad = parsed.where(is_bad).select(*others, "line")
+    return df.select("*", row).withColumn("_bad", is_bad)
+
+
+def parse_rows(df: DataFrame, schema: T.StructType = S.BRONZE_ROW) -> tuple[DataFrame, DataFrame]:
+    """Parsed rows, and the lines that are no such JSON object."""
+    parsed = parse_lines(df, schema)
+    others = [c for c in df.columns if c != "line"]
+    good = parsed.where(~F.col("_bad")).select(*others, *[F.col(f"_row.{n}") for n in schema.names])
+    bad = parsed.where("_bad").select(*others, "line")
     return good, bad

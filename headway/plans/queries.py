@@ -770,10 +770,8 @@ def stream_landing(w: Warehouse) -> DataFrame:
     columns = list(S.BRONZE_ROW.names)
     stream = streams.stream_rows(w.spark, _packed(w, _both_feeds(w).select(*columns)))
     root, checkpoint = scratch_path(w.spark, "bronze"), scratch_path(w.spark, "bronze-log")
-    for running in streams.land_bronze(
-        stream, root, checkpoint, ONCE, F.timestamp_seconds("ingest_ts")
-    ):
-        running.awaitTermination()
+    arrived = F.timestamp_seconds("ingest_ts")
+    streams.start_landing(stream, root, checkpoint, ONCE, arrived).awaitTermination()
     landed = w.spark.read.parquet(f"{root}/raw")
     return landed.groupBy("record_type", F.col("dt").cast("date").alias("dt")).agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("trip_id").alias("trips")

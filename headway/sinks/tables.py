@@ -11,8 +11,8 @@ from headway.session import stage
 from headway.sources.tables import read_or_empty
 
 
-def write_partitions(df: DataFrame, path: str, by: Sequence[str], files: int | None = None
-                     ) -> None:
+def write_partitions(df: DataFrame, path: str, by: Sequence[str], files: int | None = None,
+                     format: str = "parquet") -> None:
     """Replace exactly the partitions that ``df`` holds; all others stay.
 
     The overwrite mode is set on this write, so it cannot leak into the session. Without
@@ -24,7 +24,8 @@ def write_partitions(df: DataFrame, path: str, by: Sequence[str], files: int | N
         laid_out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
-        .parquet(path)
+        .format(format)
+        .save(path)
     )
 
 

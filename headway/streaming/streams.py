@@ -13,10 +13,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from headway import schemas as S
 from headway.functions.columns import blank_to_null, number, plausible
-from headway.operators.feed import PACKED_SCHEMA, parse_rows, unpack_rows
+from headway.operators.feed import PACKED_SCHEMA, parse_lines, parse_rows, unpack_rows
 from headway.operators.live import live_arrivals, prior_state, route_state_batch, stop_key, stop_state
 from headway.operators.silver import build_silver, upsert_silver
-from headway.sinks.tables import reject_undated, upsert
+from headway.sinks.tables import reject_undated, upsert, write_partitions
 
 log = logging.getLogger(__name__)
 
@@ -86,6 +86,42 @@ def land_bronze(stream: DataFrame, root: str, checkpoint: str,
     )
 
 
+def start_landing(stream: DataFrame, root: str, checkpoint: str,
+                  trigger: Mapping[str, object] | None = None, arrived: Column | None = None
+                  ) -> StreamingQuery:
+    """``land_bronze`` as one query: each line is parsed once for both tables, in few files.
+
+    Rows go to ``raw`` by record type, arrival hour and batch, all other lines as they came
+    to ``errors`` by day and batch. A batch delivered twice replaces its own folders: what
+    stands for the arrival is in the stream, or is the trigger's time, which the
+    checkpoint keeps.
+    """
+    parsed = parse_lines(stream)
+    if arrived is None:
+        arrived = F.col("arrived") if "arrived" in stream.columns else F.current_timestamp()
+    kept = [c for c in stream.columns if c not in S.BRONZE_ROW.names]
+    rows = parsed.select(*kept, "_bad", *[F.col(f"_row.{n}") for n in S.BRONZE_ROW.names])
+    typed = F.col("record_type").isin("trip_updates", "vehicle_positions")
+    rows = rows.select(
+        *S.BRONZE_ROW.names, "line", (~F.col("_bad") & F.coalesce(typed, F.lit(False))).alias("routed"),
+        F.date_format(arrived, "yyyy-MM-dd").alias("dt"), F.date_format(arrived, "HH").alias("hour"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd").alias("seen"),
+    )
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.withColumn("batch", F.lit(batch_id)).persist()
+        try:
+            landed = batch.where("routed").select(*S.BRONZE_ROW.names, "dt", "hour", "batch")
+            write_partitions(landed, f"{root}/raw", ["record_type", "dt", "hour", "batch"])
+            rejected = batch.where("NOT routed").select("line", F.col("seen").alias("dt"), "batch")
+            write_partitions(rejected, f"{root}/errors", ["dt", "batch"], format="json")
+        finally:
+            batch.unpersist()
+
+    writer = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return _start(writer, trigger or {"processingTime": "300 seconds"})
+
+
 def write_state(state: DataFrame, path: str, version: str | tuple[str, ...],
                 buckets: int = STATE_BUCKETS) -> None:
     """One write per key and batch into the state table, newest version kept.

@@ -107,6 +107,24 @@ def test_landing_routes_by_type_and_keeps_bad_lines(spark, tmp_path):
     assert len(errors) == 3 and "{broken" in errors
 
 
+def test_landing_in_one_pass_replaces_a_batch_that_comes_again(spark, tmp_path):
+    feed, root = str(tmp_path / "feed"), str(tmp_path / "bronze")
+    put(spark, feed, live_rows(spark, [
+        ("R", "a", None, 3600 * 5, "10", UP), ("R", None, "V", 3600 * 6, None, POS), ("R", "a", None, 1, "1", "alerts"),
+        ("R", "b", None, None, "1", UP),
+    ]).withColumn("arrival_delay", F.col("arrival_delay").cast("int")))
+    spark.createDataFrame([("k", "{broken\n", 1)], "partition_key string, value string, rows int").write.mode(
+        "append").parquet(feed)
+    for log in ("log", "again"):  # a fresh checkpoint delivers batch 0 once more
+        T.start_landing(T.stream_rows(spark, feed), root, str(tmp_path / log), ONCE,
+                        F.coalesce(F.timestamp_seconds("ingest_ts"), F.lit("1970-01-01").cast("timestamp"))).awaitTermination()
+        updates = read_bronze(spark, f"{root}/raw", "trip_updates", "1970-01-01").collect()
+        assert sorted((r["stop_id"], r["arrival_delay"], r["hour"]) for r in updates) == [("a", 10, "05"), ("b", 1, "00")]
+        assert read_bronze(spark, f"{root}/raw", "vehicle_positions").count() == 1
+        errors = sorted(r["line"] for r in spark.read.json(f"{root}/errors").collect())
+        assert len(errors) == 2 and any("alerts" in e for e in errors) and "{broken" in errors
+
+
 def test_streamed_silver_equals_the_batch(spark, tmp_path):
     w = Warehouse(spark, SF)
     rows = w.trip_updates().select(*S.TRIP_UPDATES_ROW.names)
