@@ -89,7 +89,7 @@ def land_bronze(stream: DataFrame, root: str, checkpoint: str,
 def start_landing(stream: DataFrame, root: str, checkpoint: str,
                   trigger: Mapping[str, object] | None = None, arrived: Column | None = None
                   ) -> StreamingQuery:
-    """``land_bronze`` as one query: each line is parsed once for both tables, in few files.
+    """``land_bronze`` as one query: each line is parsed once for both tables.
 
     Rows go to ``raw`` by record type, arrival hour and batch, all other lines as they came
     to ``errors`` by day and batch. A batch delivered twice replaces its own folders: what
