@@ -105,13 +105,27 @@ def historical_priors_by_day(silver: DataFrame, days: DataFrame,
 def priors_of_histograms_by_day(daily: DataFrame, days: DataFrame,
                                 lookback: int = S.LOOKBACK_DAYS,
                                 min_count: int = S.MIN_CELL_ROWS) -> DataFrame:
-    """``historical_priors_by_day`` from kept daily histograms."""
+    """``historical_priors_by_day`` from kept daily histograms.
+
+    Where cells are asked for, a histogram row is handed out in the join: time is cut into slots
+    of ``lookback`` days, and a date looks into its own slot and the one before. Rows copied to
+    each of their run dates beforehand would be shuffled and sorted ``lookback`` times.
+    """
     daily = labelled(daily)
-    later = F.sequence(F.date_add("service_date", 1), F.date_add("service_date", lookback))
-    asked = ["as_of", *CELL] if set(CELL) <= set(days.columns) else ["as_of"]
-    spread = daily.withColumn("as_of", F.explode(later)).join(
-        days.select(*asked).distinct(), asked, "left_semi"
-    )
+    if set(CELL) <= set(days.columns):
+        slots = max(lookback, 1)
+        slot = F.floor(F.unix_date(F.col("as_of")) / slots)
+        asked = days.select("as_of", *CELL).distinct().withColumn("_slot", F.explode(F.array(slot - 1, slot)))
+        own = daily.withColumn("_slot", F.floor(F.unix_date("service_date") / slots))
+        spread = own.join(asked, ["_slot", *CELL]).where(
+            (F.col("service_date") < F.col("as_of"))
+            & (F.col("service_date") >= F.date_sub("as_of", lookback))
+        ).repartition("as_of", *CELL)
+    else:
+        later = F.sequence(F.date_add("service_date", 1), F.date_add("service_date", lookback))
+        spread = daily.withColumn("as_of", F.explode(later)).join(
+            days.select("as_of").distinct(), "as_of", "left_semi"
+        )
     counts = spread.groupBy("as_of", *CELL, S.TARGET).agg(F.sum("n").alias("n"))
     return _priors(counts, ("as_of", *CELL), min_count)
 

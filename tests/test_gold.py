@@ -68,6 +68,26 @@ def test_many_days_at_once_equal_one_day_each(spark, silver):
         )
 
 
+def test_asked_cells_are_met_in_slots_of_the_lookback(spark):
+    """Over five slots of three days, with repeated, unknown and NULL cells: as by one date each."""
+    made = [
+        (date(2024, 1, 1) + timedelta(days=k % 14), None if k % 17 == 0 else f"R{k % 2}", "S", 0, k % 3, (k * 37) % 50)
+        for k in range(400)
+    ]
+    daily = spark.createDataFrame(made, "service_date date, route_id string, stop_id string, is_weekend int, "
+                                        "hour_of_day int, observed_delay_sec int").withColumn("n", F.lit(1))
+    days = [date(2023, 12, 30) + timedelta(days=k) for k in range(20)]
+    cells = daily.select(*G.CELL).union(daily.select(F.lit("R9"), "stop_id", "is_weekend", "hour_of_day"))
+    asked = spark.createDataFrame([(d,) for d in days], "as_of date").crossJoin(cells)
+    got = G.priors_of_histograms_by_day(daily, asked, lookback=3, min_count=2)
+    known = daily.where("route_id IS NOT NULL")
+    expected = [row for d in days for row in as_set(G.priors_of_histograms(known, d, 3, 2).select(
+        F.lit(d).alias("as_of"), "*"))]
+    assert expected and as_set(got) == sorted(expected)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in plan  # no row is copied to its dates before the shuffle
+
+
 def test_features_of_one_day_equal_the_backfilled_day(spark, silver):
     one = G.build_features(silver, DAY, min_count=2, exact=True)
     assert one.columns == S.TRAINING_FEATURES_SCHEMA.names
