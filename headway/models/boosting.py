@@ -1,9 +1,10 @@
 """Gradient boosting on absolute error over binned features, with early stopping.
 
-The rows stay in Spark as binned features with their prediction so far. A tree grows level by
-level: tasks add up gradients per node, feature and bin, one shuffle sums them, and a task per
-node picks the split. A node of few rows goes to one task, which grows the rest of its subtree
-alone. Leaves hold the lower median of what is left to explain. Gradients are signs, so their sums
+The rows stay in Spark as binned features with their prediction so far, in blocks: a block is one
+row of arrays, so that a round moves and joins a few large values instead of every row. A tree
+grows level by level: tasks add up gradients per node, feature and bin, one shuffle sums them, and
+a task per node picks the split. A node of few rows goes to one task, which grows the rest of its
+subtree alone. Leaves hold the lower median of what is left to explain. Gradients are signs, so their sums
 are exact, and rows and features are sampled by seeded hashes: the same rows give the same
 model, however they are partitioned.
 """
@@ -23,13 +24,16 @@ from pyspark.sql import functions as F
 from headway.session import stage
 
 #: A node with at most so many rows is grown to its leaves by one task.
-SUBTREE_ROWS = 100_000
+SUBTREE_ROWS = 400_000
 #: Rounds after which the rows are written and read back, to cut their lineage.
 STAGE_EVERY = 25
 #: Accuracy of the quantiles: exact up to so many different values.
 ACCURACY = 10_000
 
-_STATE = "bins binary, y double, pred double, held boolean, key long"
+#: A block: arrays of its rows, then the absolute errors of its held rows added up, and their number.
+_ARRAYS = {"bins": np.uint8, "y": np.float64, "pred": np.float64, "held": np.int8, "key": np.int64}
+_STATE = ", ".join(f"{n} binary" for n in _ARRAYS) + ", error double, n_held long"
+_SUMS = "node int, gradient binary, n binary"
 _NODES = "node int, feature int, cut int, value double, rows long"
 
 
@@ -67,6 +71,8 @@ class Tree:
         for _ in range(int(len(self.feature)).bit_length() - 2):
             f = self.feature[node]
             inner = f >= 0
+            if not inner.any():
+                break
             right = bins[every, np.maximum(f, 0)] > self.cut[node]
             node = np.where(inner, 2 * node + right, node)
         return node
@@ -126,38 +132,50 @@ def _median(values: np.ndarray) -> float:
 
 
 def _sums(bins: np.ndarray, gradients: np.ndarray, params: TrainParams) -> tuple[np.ndarray, np.ndarray]:
-    n, features = bins.shape
-    at = (bins.astype(np.int64) + np.arange(features) * params.bins).ravel()
-    size = features * params.bins
-    shape = (features, params.bins)
-    weights = np.repeat(gradients, features)
-    return np.bincount(at, weights, size).reshape(shape), np.bincount(at, minlength=size).reshape(shape)
+    gradient, n = np.zeros((bins.shape[1], params.bins)), np.zeros((bins.shape[1], params.bins), np.int64)
+    for k in range(bins.shape[1]):
+        column = bins[:, k].astype(np.intp)
+        gradient[k] = np.bincount(column, gradients, params.bins)
+        n[k] = np.bincount(column, minlength=params.bins)
+    return gradient, n
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """The arrays of each block; ``bins`` has a row per row."""
+    for b in batches:
+        for k in range(b.num_rows):
+            block = {n: np.frombuffer(b[n][k].as_buffer(), t) for n, t in _ARRAYS.items()}
+            yield block | {"bins": block["bins"].reshape(len(block["y"]), -1)}
 
 
-def _matrix(column: pd.Series | pa.ChunkedArray | pa.Array) -> np.ndarray:
-    data = b"".join(column if isinstance(column, pd.Series) else column.to_pylist())
-    return np.frombuffer(data, np.uint8).reshape(len(column), -1) if len(column) else np.zeros((0, 0), np.uint8)
+def _joined(column: pd.Series, dtype: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype)
 
 
 def _subtree(params: TrainParams, used: np.ndarray):
     """All nodes below and including the given one, from its rows."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        bins = _matrix(rows["bins"])[:, used]
-        rest = rows["rest"].to_numpy()
-        sign = np.sign(rest)
-        out, open_ = [], [(int(key[0]), np.arange(len(rest)))]
+        rest = _joined(rows["rest"], np.float64)
+        bins = _joined(rows["bins"], np.uint8).reshape(len(rest), len(used))
+        sign, every = np.sign(rest), np.arange(len(rest))
+        out, open_ = [], [(int(key[0]), every, _sums(bins, sign, params))]
         while open_:
-            node, at = open_.pop()
+            node, at, sums = open_.pop()
             split = None
             if node.bit_length() <= params.max_depth and len(at) >= 2 * params.min_child:
-                split = best_split(*_sums(bins[at], sign[at], params), params)
+                split = best_split(*sums, params)
             if split is None:
                 out.append((node, -1, 0, _median(rest[at]), len(at)))
                 continue
             out.append((node, int(used[split[0]]), split[1], 0.0, len(at)))
             right = bins[at, split[0]] > split[1]
-            open_ += [(2 * node, at[~right]), (2 * node + 1, at[right])]
+            children = at[~right], at[right]
+            # Only the smaller child's rows are added up; the other has what is left, exactly.
+            fewer = int(len(children[1]) < len(children[0]))
+            own = _sums(bins[children[fewer]], sign[children[fewer]], params)
+            both = own, tuple(x - y for x, y in zip(sums, own, strict=True))
+            open_ += [(2 * node + k, children[k], both[k != fewer]) for k in (0, 1)]
         return pd.DataFrame(out, columns=["node", "feature", "cut", "value", "rows"])
 
     return run
@@ -172,43 +190,59 @@ def _sampled(keys: np.ndarray, turn: int, params: TrainParams) -> np.ndarray:
     return x < np.uint64(min(2**64 - 1, int(params.subsample * 2**64)))
 
 
-def _routed(tree: Tree, open_: list[int], turn: int, params: TrainParams):
-    """Sampled training rows at open nodes, with what is left to explain."""
+def _at_nodes(tree: Tree, open_: list[int], turn: int, params: TrainParams, used: np.ndarray):
+    """Per block: (node, used bins, what is left to explain) of its sampled training rows at open nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for block in _blocks(batches):
+            keep = (block["held"] == 0) & _sampled(block["key"], turn, params)
+            bins, rest = block["bins"][keep], (block["y"] - block["pred"])[keep]
+            node = tree.leaves(bins)
+            bins = bins[:, used]
+            for k in np.intersect1d(node, open_).tolist():
+                at = node == k
+                yield k, bins[at], rest[at]
+
+    return run
+
+
+def _partial_sums(at_nodes, params: TrainParams):
+    """(node, gradient, n) of a task's rows, both by feature and bin."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = _sampled(np.asarray(b["key"]), turn, params)
-            b = b.filter(pa.array(keep))
-            if not b.num_rows:
-                continue
-            node = tree.leaves(_matrix(b["bins"])).astype(np.int32)
-            rest = np.asarray(b["y"]) - np.asarray(b["pred"])
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(node), b["bins"], pa.array(rest)], names=["node", "bins", "rest"]
+        sums: dict[int, list[np.ndarray]] = {}
+        for k, bins, rest in at_nodes(batches):
+            new = _sums(bins, np.sign(rest), params)
+            sums[k] = [x + y for x, y in zip(sums[k], new, strict=True)] if k in sums else list(new)
+        for k, found in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k], pa.int32()), *[pa.array([x.astype(np.int64).tobytes()], pa.binary()) for x in found]],
+                names=["node", "gradient", "n"],
             )
-            yield out.filter(pa.array(np.isin(node, open_)))
 
     return run
 
 
-def _partial_sums(params: TrainParams, used: np.ndarray):
-    """(node, feature, bin, gradient, n) of a task's rows."""
+def _parts(at_nodes):
+    """A row of arrays per node and block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, list[np.ndarray]] = {}
-        for b in batches:
-            node, bins, sign = np.asarray(b["node"]), _matrix(b["bins"]), np.sign(np.asarray(b["rest"]))
-            for k in np.unique(node).tolist():
-                at = node == k
-                new = _sums(bins[at][:, used], sign[at], params)
-                sums[k] = [x + y for x, y in zip(sums[k], new, strict=True)] if k in sums else list(new)
-        for k, (gradient, n) in sums.items():
-            feature, at = np.nonzero(n)
+        for k, bins, rest in at_nodes(batches):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(at), k, np.int32)), pa.array(feature.astype(np.int32)),
-                 pa.array(at.astype(np.int32)), pa.array(gradient[feature, at].astype(np.int64)),
-                 pa.array(n[feature, at].astype(np.int64))],
-                names=["node", "feature", "bin", "gradient", "n"],
+                [pa.array([k], pa.int32()), pa.array([bins.tobytes()], pa.binary()), pa.array([rest.tobytes()], pa.binary())],
+                names=["node", "bins", "rest"],
+            )
+
+    return run
+
+
+def _rests(at_nodes):
+    """A row per row, with what is left to explain."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, _, rest in at_nodes(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(rest), k, np.int32)), pa.array(rest)], names=["node", "rest"]
             )
 
     return run
@@ -216,10 +250,10 @@ def _partial_sums(params: TrainParams, used: np.ndarray):
 
 def _split_node(params: TrainParams, used: np.ndarray):
     def run(key: tuple, sums: pd.DataFrame) -> pd.DataFrame:
-        gradient, n = (np.zeros((len(used), params.bins)) for _ in range(2))
-        at = sums["feature"].to_numpy(), sums["bin"].to_numpy()
-        gradient[at], n[at] = sums["gradient"].to_numpy(), sums["n"].to_numpy()
-        split = best_split(gradient, n, params)
+        gradient, n = (
+            _joined(sums[c], np.int64).reshape(len(sums), len(used), params.bins).sum(axis=0) for c in ("gradient", "n")
+        )
+        split = best_split(gradient.astype(float), n.astype(float), params)
         left = int(n[split[0], : split[1] + 1].sum()) if split else 0
         feature, cut = (int(used[split[0]]), split[1]) if split else (-1, 0)
         return pd.DataFrame(
@@ -235,17 +269,15 @@ def grow_tree(state: DataFrame, rows: int, turn: int, params: TrainParams, width
         width, max(1, round(params.colsample * width)), replace=False
     )
     used = np.sort(chosen)
-    tree, train = empty_tree(params.max_depth), state.where("NOT held")
+    tree = empty_tree(params.max_depth)
     large, small, leaves = ([1], [], []) if rows > SUBTREE_ROWS else ([], [1], [])
     counts = {1: rows}
 
-    def at_nodes(nodes: list[int]) -> DataFrame:
-        return train.mapInArrow(_routed(tree, nodes, turn, params), "node int, bins binary, rest double")
+    def at_nodes(nodes: list[int]):
+        return _at_nodes(tree, nodes, turn, params, used)
 
     while large:
-        sums = at_nodes(large).mapInArrow(
-            _partial_sums(params, used), "node int, feature int, bin int, gradient long, n long"
-        ).groupBy("node", "feature", "bin").agg(F.sum("gradient").alias("gradient"), F.sum("n").alias("n"))
+        sums = state.mapInArrow(_partial_sums(at_nodes(large), params), _SUMS)
         found = {r["node"]: r for r in sums.groupBy("node").applyInPandas(_split_node(params, used), _NODES).collect()}
         following = []
         for node in large:
@@ -265,35 +297,47 @@ def grow_tree(state: DataFrame, rows: int, turn: int, params: TrainParams, width
         large = following
     if leaves:
         median = F.percentile_approx("rest", 0.5, ACCURACY)
-        for node, value in at_nodes(leaves).groupBy("node").agg(median).collect():
+        rests = state.mapInArrow(_rests(at_nodes(leaves)), "node int, rest double")
+        for node, value in rests.groupBy("node").agg(median).collect():
             tree.value[node] = value
     if small:
-        for r in at_nodes(small).groupBy("node").applyInPandas(_subtree(params, used), _NODES).collect():
+        parts = state.mapInArrow(_parts(at_nodes(small)), "node int, bins binary, rest binary")
+        for r in parts.groupBy("node").applyInPandas(_subtree(params, used), _NODES).collect():
             tree.feature[r["node"]], tree.cut[r["node"]], tree.value[r["node"]] = r["feature"], r["cut"], r["value"]
     return tree
 
 
+def _block(arrays: dict[str, np.ndarray]) -> pa.RecordBatch:
+    held = arrays["held"] == 1
+    error = np.abs(arrays["y"] - arrays["pred"])[held].sum()
+    return pa.RecordBatch.from_arrays(
+        [*[pa.array([arrays[n].astype(t, copy=False).tobytes()], pa.binary()) for n, t in _ARRAYS.items()],
+         pa.array([float(error)]), pa.array([int(held.sum())], pa.int64())],
+        names=[*_ARRAYS, "error", "n_held"],
+    )
+
+
 def _advanced(tree: Tree, eta: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                pred = np.asarray(b["pred"]) + eta * tree.value[tree.leaves(_matrix(b["bins"]))]
-                yield b.set_column(b.schema.get_field_index("pred"), "pred", pa.array(pred))
+        for block in _blocks(batches):
+            yield _block(block | {"pred": block["pred"] + eta * tree.value[tree.leaves(block["bins"])]})
 
     return run
 
 
 def _initial(cuts: tuple[np.ndarray, ...], base: float):
+    """A block per Arrow batch."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            bins = _binned(np.array(b["features"].to_pylist(), float).reshape(b.num_rows, len(cuts)), cuts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r.tobytes() for r in bins], pa.binary()), b["y"],
-                 pa.array(np.full(b.num_rows, base)), b["held"], b["key"]],
-                names=["bins", "y", "pred", "held", "key"],
-            )
+            features = np.array(b["features"].to_pylist(), float).reshape(b.num_rows, len(cuts))
+            yield _block({
+                "bins": _binned(features, cuts), "y": np.asarray(b["y"]), "pred": np.full(b.num_rows, base),
+                # 2: NULL, in neither part
+                "held": b["held"].cast(pa.int8()).fill_null(2).to_numpy(), "key": np.asarray(b["key"]),
+            })
 
     return run
 
@@ -322,7 +366,7 @@ def boost(rows: DataFrame, params: TrainParams = TrainParams()) -> Boosted:
     trees, errors = [], []
 
     def error(df: DataFrame) -> float:
-        return round(df.where("held").agg(F.avg(F.abs(F.col("y") - F.col("pred")))).first()[0], 9)
+        return round(df.agg(F.sum("error") / F.sum("n_held")).first()[0], 9)
 
     validated = bool(counts.get(True))
     if validated:

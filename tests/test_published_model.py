@@ -84,6 +84,22 @@ def test_levels_and_subtrees_grow_the_same_tree(spark, monkeypatch):
         assert one.value.tolist() == other.value.tolist()
 
 
+def test_rows_travel_in_blocks(spark, monkeypatch):
+    """A round moves arrays of many rows, never a row at a time; NULL ``held`` is in neither part."""
+    seen, grow = [], B.grow_tree
+
+    def grown(state, *rest):
+        seen.append((state.count(), state.agg(F.sum("n_held")).first()[0]))
+        return grow(state, *rest)
+
+    monkeypatch.setattr(B, "grow_tree", grown)
+    df = rows(spark).coalesce(2)
+    more = df.limit(30).withColumn("held", F.lit(None).cast("boolean"))
+    model = B.boost(df.union(more), replace(SMALL, rounds=2))
+    assert len(seen) == 2 and all(blocks <= 4 and held == 120 for blocks, held in seen)
+    assert plain(model)[2] == plain(B.boost(df, replace(SMALL, rounds=2)))[2]
+
+
 def test_the_same_rows_give_the_same_model(spark):
     df = rows(spark)
     assert plain(B.boost(df, SMALL)) == plain(B.boost(df.orderBy("y").repartition(13), SMALL))
