@@ -690,11 +690,16 @@ def score_features(w: Warehouse) -> DataFrame:
 # --- streams: a whole run of the query over packed records of the feed ----------------
 
 
+def _pack(rows: DataFrame, path: str) -> None:
+    """Add packed records of ``rows`` to the folder, with a malformed line each."""
+    broken = F.concat("value", F.lit('{"record_type": "trip_upd\n'))
+    feed.pack_rows(rows).withColumn("value", broken).write.mode("append").parquet(path)
+
+
 def _packed(w: Warehouse, rows: DataFrame) -> str:
-    """Packed records of ``rows`` as a folder to stream from, with a malformed line each."""
+    """Packed records of ``rows`` as a folder to stream from."""
     path = scratch_path(w.spark, "packed")
-    broken = F.concat("value", F.lit('{"record_type": "trip_upd\n'))
-    feed.pack_rows(rows).withColumn("value", broken).write.parquet(path)
+    _pack(rows, path)
     return path
 
 
@@ -781,9 +786,15 @@ def stream_landing(w: Warehouse) -> DataFrame:
 @query
 def stream_silver(w: Warehouse) -> DataFrame:
     rows = w.trip_updates().select(*S.TRIP_UPDATES_ROW.names)
-    # Split by hour: trips then arrive in parts, over several triggers.
-    packed = _packed(w, rows.repartition(4, F.pmod(F.hour(F.timestamp_seconds("ingest_ts")), F.lit(4))))
-    stream = streams.stream_rows(w.spark, packed, max_files=1)
+    # Split by hour: trips then arrive in parts, over several triggers. Each part is packed by as
+    # many tasks as read the feed, and a trigger takes as many files as the largest part has.
+    part = F.coalesce(F.pmod(F.hour(F.timestamp_seconds("ingest_ts")), F.lit(4)), F.lit(0))
+    packed, files = scratch_path(w.spark, "packed"), [0]
+    for k in range(4):
+        _pack(rows.where(part == k), packed)
+        files.append(len(w.spark.read.parquet(packed).inputFiles()))
+    largest = max(b - a for a, b in zip(files, files[1:], strict=False))
+    stream = streams.stream_rows(w.spark, packed, max_files=largest)
     path, checkpoint = scratch_path(w.spark, "silver-stream"), scratch_path(w.spark, "silver-log")
     streams.start_silver(stream, path, checkpoint, w.dims(), ONCE).awaitTermination()
     return _silver_out(w.spark.read.schema(S.STOP_EVENTS_SCHEMA).parquet(path))

@@ -207,3 +207,24 @@ def test_changed_keys_only_and_expired_keys_leave(spark, tmp_path):
     assert fourth - third == {("c", 900, False)}
     alive = {r["stop_id"]: r["current_delay"] for r in T.state_of_changes(spark.read.parquet(out)).collect()}
     assert alive == {"a": 30.0, "c": 40.0}
+
+
+def test_stream_silver_packs_in_the_tasks_that_read(spark, tmp_path, monkeypatch):
+    """No part of the feed is gathered in one task; parts by hour, also of rows without a time, give silver."""
+    from headway.plans import queries as registered
+    from headway.plans.warehouse import Warehouse
+
+    spark.range(600).repartition(6).selectExpr(
+        "id AS event_id", "timestamp_seconds(1704067200 + id * 900) AS ts", "id % 60 AS user_id",
+        "element_at(array('signup', 'view', 'click'), cast(id % 3 AS int) + 1) AS event_type",
+        "cast(id % 120 AS double) AS value", "concat('{\"k\": ', cast(id % 40 AS string), '}') AS props",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    packed, asked, pack, read = [], [], registered.feed.pack_rows, registered.streams.stream_rows
+    monkeypatch.setattr(registered.feed, "pack_rows", lambda rows: packed.append(rows) or pack(rows))
+    monkeypatch.setattr(registered.streams, "stream_rows", lambda *a, max_files: asked.append(max_files) or read(*a, max_files=max_files))
+    got = registered.queries()["stream_silver"](spark, str(tmp_path))
+    plans = [rows._jdf.queryExecution().optimizedPlan().toString() for rows in packed]
+    assert len(packed) == 4 and not any("Repartition" in p for p in plans)
+    assert sum(rows.count() for rows in packed) == 600 and asked[0] >= 1
+    silver = registered.dates_as_text(registered._silver_out(Warehouse(spark, str(tmp_path)).silver()))
+    assert sorted(map(str, got.collect())) == sorted(map(str, silver.collect())) != []
