@@ -54,7 +54,10 @@ def small(df: DataFrame) -> DataFrame:
 
 
 def lower_ascii(text: Column) -> Column:
-    return F.translate(text, UPPER, LOWER)
+    """A-Z in lower case, all else as it is; ``translate`` makes a string of every character,
+    so it is left to texts that hold others than ASCII."""
+    plain = F.length(text) == F.octet_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def _roots(parent: dict[int, int], x: int) -> int:

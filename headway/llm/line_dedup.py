@@ -23,6 +23,8 @@ MIN_DOCS = 10
 BLANKS = " \t\n\x0b\x0c\r"
 #: Line keys per range partition.
 KEYS_PER_TASK = 2_000_000
+#: Documents that a task takes apart and hands back at once.
+ROWS_AT_ONCE = 1_000
 
 _RUNS = (
     "kind int, h1 long, h2 long, rid long, th long, pos int, n_lines int, "
@@ -180,7 +182,7 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 def _unpack(keep_name: str, n_lines_name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (b.slice(k, ROWS_AT_ONCE) for b in batches for k in range(0, b.num_rows, ROWS_AT_ONCE)):
             kept, n_lines = [], []
             for text, keep in zip(b["text"].to_pylist(), b[keep_name].to_pylist(), strict=True):
                 lines = (text or "").split("\n")

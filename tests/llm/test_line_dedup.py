@@ -5,8 +5,10 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions
 
 from headway.llm import line_dedup as op
+from headway.llm.common import lower_ascii
 from tests.llm.frames import DOCS, corpus, documents
 
 LOW = {c: c + 32 for c in range(65, 91)}
@@ -57,3 +59,23 @@ def test_a_hot_line_in_any_number_of_partitions(spark, tasks, monkeypatch):
 
 def test_no_rows(spark):
     assert op.drop_shared_lines(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_documents_come_back_few_at_a_time(monkeypatch):
+    """A batch of many texts is taken apart and handed back in slices; none is lost."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(op, "ROWS_AT_ONCE", 3)
+    texts = [None if k == 4 else f"a{k}\nb" for k in range(8)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(8)), "text": pa.array(texts, pa.string()),
+                                        "keep": pa.array([None] * 8, pa.binary())})
+    out = list(op._unpack("keep", "n")([batch]))
+    assert [b.num_rows for b in out] == [3, 3, 2]
+    assert pa.Table.from_batches(out).column("text").to_pylist() == texts
+
+
+def test_lower_ascii_leaves_other_letters(spark):
+    texts = ["ABC xyz", "\u00c4B\u00c9", "\u0130I", "K\u212a", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(lower_ascii(functions.col("t")).alias("l"))
+    assert [r["l"] for r in df.collect()] == ["abc xyz", "\u00c4b\u00c9", "\u0130i", "k\u212a", "", None]
+    assert "lower(" in df._jdf.queryExecution().optimizedPlan().toString()
