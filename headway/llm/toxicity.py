@@ -9,13 +9,11 @@ words, which a long text would dilute.
 
 from __future__ import annotations
 
-import pickle
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +30,8 @@ MAX_PER_CLASS = 2_500
 #: Used where the calibration rows lack a class: weights of the features, and a constant.
 PLAIN = (0.5, 1.0, 0.0, -6.0)
 CACHED_WORDS = 300_000
+#: Documents that a task scores and hands back at once.
+ROWS_AT_ONCE = 256
 FEATURES = ("strongest", "three", "per_char")
 _START, _END = "\x02", "\x03"
 
@@ -123,6 +123,15 @@ class _Table:
         self.values = [v[order].astype(np.float32) for v in values]
         self.starts = None
 
+    def arrays(self) -> tuple:
+        return self.keys, self.values
+
+    @classmethod
+    def of(cls, arrays: tuple) -> _Table:
+        table = cls.__new__(cls)
+        (table.keys, table.values), table.starts = arrays, None
+        return table
+
     def _index(self) -> None:
         bits = max(1, (2 * len(self.keys)).bit_length())
         self.shift = np.uint64(64 - bits)
@@ -184,6 +193,19 @@ class KneserNey:
             own = np.maximum(times - DISCOUNT, 0) + DISCOUNT * kinds[where] * below
             self.lower.append((_Table(keys, own / total[where]), share))
 
+    def arrays(self) -> tuple:
+        """The model as plain arrays, which workers read without this package."""
+        lower = [(table.arrays(), share.arrays()) for table, share in self.lower]
+        return self.order, self.grams.arrays(), self.contexts.arrays(), lower
+
+    @classmethod
+    def of(cls, arrays: tuple) -> KneserNey:
+        model = cls.__new__(cls)
+        model.order, grams, contexts, lower = arrays
+        model.grams, model.contexts = _Table.of(grams), _Table.of(contexts)
+        model.lower = [(_Table.of(table), _Table.of(share)) for table, share in lower]
+        return model
+
     def _shared(self, chain: list[np.ndarray], at: np.ndarray) -> np.ndarray:
         """Estimates of the highest order that both classes share, at the given places."""
         p = np.ones(len(at))
@@ -283,12 +305,13 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_PER_CLASS):
         return None
     flat = [np.frombuffer(b"".join(c.to_pylist()), ">u4") for c in table["gram"].chunks]
     del table
-    model = cloudpickle.dumps(KneserNey(np.concatenate(flat).reshape(-1, ORDER), n0, n1))
+    # Arrays, which a worker holds once for all its tasks, and not beside the bytes they came in.
+    model = KneserNey(np.concatenate(flat).reshape(-1, ORDER), n0, n1).arrays()
     shared = docs.sparkSession.sparkContext.broadcast(model)
     del model, flat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = pickle.loads(shared.value), {}
+        model, known = KneserNey.of(shared.value), {}
         for b in batches:
             f = _features(model, b["text"].to_pylist(), known)
             yield pa.RecordBatch.from_arrays(
@@ -320,17 +343,12 @@ def score_toxicity(
     shared, weights = trained
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = pickle.loads(shared.value), {}
-        for b in batches:
-            scores = []
-            texts = b["text"]
-            for k in range(0, len(texts), 256):
-                f = _features(model, texts.slice(k, 256).to_pylist(), known)
-                z = np.clip(f @ np.array(weights[:-1]) + weights[-1], -500, 500)
-                scores.append(1 / (1 + np.exp(-z)))
+        model, known = KneserNey.of(shared.value), {}
+        for b in (b.slice(k, ROWS_AT_ONCE) for b in batches for k in range(0, b.num_rows, ROWS_AT_ONCE)):
+            f = _features(model, b["text"].to_pylist(), known)
+            z = np.clip(f @ np.array(weights[:-1]) + weights[-1], -500, 500)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(np.concatenate([*scores, []]), pa.float64())],
-                names=[*b.schema.names, name],
+                [*b.columns, pa.array(1 / (1 + np.exp(-z)), pa.float64())], names=[*b.schema.names, name]
             )
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
