@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from headway.llm import toxicity as op
@@ -133,3 +135,35 @@ def test_workers_hold_the_model_once_and_hand_back_few_texts_at_a_time(spark):
     model = op.KneserNey(codes, np.array([3.0, 1, 0]), np.array([0.0, 2, 5]))
     again = op.KneserNey.of(model.arrays())
     assert model.evidence(["ab", "bcd", "x"]).tolist() == again.evidence(["ab", "bcd", "x"]).tolist()
+
+
+def test_long_texts_reach_workers_a_few_megabytes_at_a_time(spark):
+    """A batch of 10,000 long texts is held once more by the executor and stays with its idle workers."""
+    session = spark.newSession()
+    docs = session.range(0, 4000, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 500) AS text")
+    labels = session.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int")
+
+    def probe(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    op.score_toxicity(docs, labels)
+    sizes = [r.n for r in docs.mapInArrow(probe, "n long").collect()]
+    assert sum(sizes) > 12_000_000 and max(sizes) < 3_000_000
+    session.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1m")
+    op.score_toxicity(docs, labels)
+    assert session.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "1m"
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 300_000])
+def test_a_table_finds_its_keys_and_is_indexed_in_little_room(n):
+    rng = np.random.default_rng(3)
+    keys = np.unique(np.r_[rng.integers(0, 2**64, n, np.uint64), np.array([0, 2**64 - 1], np.uint64)[:n]])
+    table = op._Table(keys, np.arange(len(keys)))
+    tracemalloc.start()
+    table._index()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * len(keys) + 10_000
+    others = np.setdiff1d(rng.integers(0, 2**64, 1000, np.uint64), keys)
+    assert (table.find(keys) == np.arange(len(keys))).all() and (table.find(others) == -1).all()
