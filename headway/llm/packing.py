@@ -13,6 +13,7 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 from itertools import chain, islice
 from unicodedata import is_normalized
@@ -25,14 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.common import stage
+from headway.session import bound_batches
 
 log = logging.getLogger(__name__)
 
 CAPACITY = 2048
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 0
-#: Distinct words whose ids a task remembers before it starts afresh.
-CACHED_WORDS = 700_000
+#: Bytes that the words and ids remembered by a worker may take, and what each takes besides its own.
+CACHED_BYTES, ENTRY_BYTES = 64 << 20, 150
 #: Byte tables: line end to blank, and A-Z to a-z besides. Other white space stays in words.
 _BLANKED = bytes(32 if c == 10 else c for c in range(256))
 _FOLDED = bytes(c + 32 if 65 <= c <= 90 else c for c in _BLANKED)
@@ -57,7 +59,8 @@ class WordIds:
     No token spans white space and none depends on what stands before it, so a word always
     has the same ids; only words not met before are encoded. The vocabulary has no capitals,
     and a full stop or comma after a letter is a token of its own, so words that differ in
-    no more are encoded once.
+    no more are encoded once. What is remembered takes ``CACHED_BYTES`` between texts, however
+    long the words are.
     """
 
     def __init__(self, path: str) -> None:
@@ -66,6 +69,7 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.held = 0
 
     def _learn(self, words: list[bytes]) -> None:
         mixed = []
@@ -94,14 +98,31 @@ class WordIds:
         known = self.known
         new = set(words).difference(known)
         if new:
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
-                new = set(words)
+            before = len(known)
             ended = {w for w in new if w[-1:] in (b".", b",") and w[-2:-1].isalpha()}
             stems = (new - ended) | {w[:-1] for w in ended} | {b".", b","}
             self._learn([w for w in stems if w not in known])
             known.update((w, known[w[:-1]] + known[w[-1:]]) for w in ended)
-        return b"".join(map(known.__getitem__, words))
+            self.held += sum(_room(*x) for x in islice(reversed(known.items()), len(known) - before))
+        ids = b"".join(map(known.__getitem__, words))
+        if self.held > CACHED_BYTES:
+            self._forget()
+        return ids
+
+    def _forget(self) -> None:
+        """The words met first, among them the common ones, stay in half the room."""
+        while self.held > CACHED_BYTES // 2:
+            self.held -= _room(*self.known.popitem())
+
+
+def _room(word: bytes, ids: bytes) -> int:
+    return len(word) + len(ids) + ENTRY_BYTES
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """The one of this worker process, which its tasks use in turn."""
+    return WordIds(path)
 
 
 def cut_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -113,7 +134,7 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFram
     step = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = word_ids(path)
         end = END_ID.to_bytes(4, "little")
         for b in batches:
             rows = []
@@ -312,6 +333,7 @@ def pack_sequences(
     ids are NULL. Other columns are not used. An empty table gives an empty table.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     path = path or public_tokenizers.path(VOCABULARY)
     pieces = stage(cut_pieces(docs, path, capacity), "pieces")
     counts = np.zeros(capacity + 1, np.int64)

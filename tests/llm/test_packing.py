@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import pickle
 import zlib
 from itertools import combinations_with_replacement
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark import cloudpickle
 from tokenizers import Tokenizer
 
 from headway.llm import packing as op
@@ -119,3 +121,39 @@ def test_a_search_that_ends_early_still_packs_everything():
     packing, bound = op.complete_bins(np.bincount(sizes, minlength=2049), 2048, steps=5000)
     assert sorted(x for f, n in packing for x in f * n) == sorted(sizes.tolist())
     assert sum(n for _, n in packing) >= bound
+
+
+def test_remembered_words_take_bounded_room(monkeypatch):
+    monkeypatch.setattr(op, "CACHED_BYTES", 200_000, raising=False)
+    words, tokenizer = op.WordIds(PATH), Tokenizer.from_file(PATH)
+    rng = np.random.default_rng(3)
+    for k in range(60):
+        long = "".join(rng.choice(list("abcdef123"), 5_000))
+        text = " ".join(["the cat,", long, *(f"w{k}x{j}." for j in range(40)), "the cat,"])
+        ids = np.frombuffer(words.encode(text), "<u4").tolist()
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+        assert sum(len(w) + len(ids) for w, ids in words.known.items()) <= 200_000
+    assert b"the" in words.known  # met first, so it stays
+
+
+def test_a_word_longer_than_all_room_is_forgotten(monkeypatch):
+    monkeypatch.setattr(op, "CACHED_BYTES", 1000, raising=False)
+    words = op.WordIds(PATH)
+    for text in ("b1" * 3000, "x y", "b1" * 3000 + " z"):
+        ids = np.frombuffer(words.encode(text), "<u4").tolist()
+        assert [*ids, op.END_ID] == whole(text)
+        assert sum(map(len, words.known)) <= 1000
+
+
+def test_tasks_of_a_worker_share_words():
+    assert pickle.loads(cloudpickle.dumps(op.word_ids))(PATH) is op.word_ids(PATH)
+
+
+def test_texts_travel_in_small_batches_unless_the_session_names_a_bound(spark):
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    session = spark.newSession()
+    op.pack_sequences(session.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    assert session.conf.get(bound) == "2m"
+    session.conf.set(bound, "1m")
+    op.pack_sequences(session.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    assert session.conf.get(bound) == "1m"
